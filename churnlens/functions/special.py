@@ -52,6 +52,31 @@ def digamma(z) -> Column:
     return asym - shift
 
 
+def lgamma_np(z) -> np.ndarray:
+    """numpy twin of :func:`lgamma` (same shift and series)."""
+    z = np.asarray(z, dtype="float64")
+    w = z + _SHIFT
+    w2 = w * w
+    stirling = ((w - 0.5) * np.log(w) - w + _HALF_LN_2PI
+                + (1.0 / 12.0 - (1.0 / 360.0 - (1.0 / 1260.0 - 1.0 / (1680.0 * w2)) / w2) / w2) / w)
+    prod = z.copy()
+    for k in range(1, _SHIFT):
+        prod = prod * (z + k)
+    return stirling - np.log(prod)
+
+
+def digamma_np(z) -> np.ndarray:
+    """numpy twin of :func:`digamma`."""
+    z = np.asarray(z, dtype="float64")
+    w = z + _SHIFT
+    iw2 = 1.0 / (w * w)
+    asym = np.log(w) - 0.5 / w - iw2 * (1.0 / 12 - iw2 * (1.0 / 120 - iw2 * (1.0 / 252 - iw2 / 240)))
+    shift = np.zeros_like(z)
+    for k in range(_SHIFT):
+        shift = shift + 1.0 / (z + k)
+    return asym - shift
+
+
 def hyp2f1_np(a, b, c, z, tol: float = 1e-15, max_terms: int = 500_000) -> np.ndarray:
     """Gauss ₂F₁(a, b; c; z) for 0 <= z < 1, elementwise on numpy arrays."""
     a, b, c, z = (np.asarray(v, dtype="float64") for v in np.broadcast_arrays(a, b, c, z))

@@ -9,8 +9,9 @@ event at t_x and age T (weeks):
 
 The fit compresses customers to distinct ``(x, t_x, T)`` with a weight,
 checkpoints that table, and evaluates the likelihood AND its analytic
-gradient as one Spark aggregation per optimiser step.  Only the 4
-parameters live on the driver (a small BFGS with backtracking).
+gradient as one Spark job per optimiser step (numpy per partition, one
+partial row per task, summed by Spark).  Only the 4 parameters live on the
+driver (a small BFGS with backtracking).
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from churnlens.functions.columns import frac_days
-from churnlens.functions.special import digamma, hyp2f1_np, lgamma
+from churnlens.functions.special import digamma_np, hyp2f1_np, lgamma_np
 
 
 # ------------------------------------------------------------------ summary
@@ -83,25 +84,27 @@ PARAMS_SCHEMA = ("r double, alpha double, a double, b double, neg_mean_log_lik d
                  "iterations int, converged boolean")
 
 
-def _terms(r, al, a, b, x: Column, tx: Column, T: Column):
-    r, al, a, b = (F.lit(float(v)) for v in (r, al, a, b))
+def bgnbd_terms(params, x, tx, T):
+    """Per-row log-likelihood and its gradient w.r.t. (r, alpha, a, b) (numpy)."""
+    r, al, a, b = (float(v) for v in params)
+    x, tx, T = (np.asarray(v, dtype="float64") for v in (x, tx, T))
     pos = x > 0
-    a3 = -(r + x) * F.log(al + T)
-    a4 = F.when(pos, F.log(a) - F.log(b + x - 1) - (r + x) * F.log(al + tx))
-    m = F.greatest(a3, F.coalesce(a4, a3))
-    w3 = F.exp(a3 - m)
-    w4 = F.coalesce(F.exp(a4 - m), F.lit(0.0))
+    a3 = -(r + x) * np.log(al + T)
+    bx1 = np.where(pos, b + x - 1, 1.0)
+    a4 = np.where(pos, np.log(a) - np.log(bx1) - (r + x) * np.log(al + tx), -np.inf)
+    m = np.maximum(a3, a4)
+    w3, w4 = np.exp(a3 - m), np.exp(a4 - m)
     s = w3 + w4
-    ll = (lgamma(r + x) - lgamma(r) + r * F.log(al)
-          + lgamma(a + b) + lgamma(b + x) - lgamma(b) - lgamma(a + b + x)
-          + m + F.log(s))
-    g_r = digamma(r + x) - digamma(r) + F.log(al) + (
-        w3 * -F.log(al + T) + w4 * F.coalesce(-F.log(al + tx), F.lit(0.0))) / s
+    ll = (lgamma_np(r + x) - lgamma_np(r) + r * np.log(al)
+          + lgamma_np(a + b) + lgamma_np(b + x) - lgamma_np(b) - lgamma_np(a + b + x)
+          + m + np.log(s))
+    g_r = (digamma_np(r + x) - digamma_np(r) + np.log(al)
+           + (w3 * -np.log(al + T) + w4 * -np.log(al + tx)) / s)
     g_al = r / al + (w3 * (-(r + x) / (al + T)) + w4 * (-(r + x) / (al + tx))) / s
-    g_a = digamma(a + b) - digamma(a + b + x) + (w4 / a) / s
-    g_b = (digamma(a + b) + digamma(b + x) - digamma(b) - digamma(a + b + x)
-           + (w4 * -(F.lit(1.0) / (b + x - 1))) / s)
-    return ll, [g_r, g_al, g_a, g_b]
+    g_a = digamma_np(a + b) - digamma_np(a + b + x) + (w4 / a) / s
+    g_b = (digamma_np(a + b) + digamma_np(b + x) - digamma_np(b) - digamma_np(a + b + x)
+           + (w4 * -(1.0 / bx1)) / s)
+    return ll, (g_r, g_al, g_a, g_b)
 
 
 def compress(summary: DataFrame) -> DataFrame:
@@ -110,31 +113,71 @@ def compress(summary: DataFrame) -> DataFrame:
                            F.col("T")).agg(F.count(F.lit(1)).cast("double").alias("n"))
 
 
-def _objective(table: DataFrame, theta: np.ndarray, penalizer: float):
-    p = np.exp(theta)
-    ll, grads = _terms(*p, F.col("x"), F.col("tx"), F.col("T"))
-    n = F.col("n")
-    row = table.agg(F.sum(n).alias("w"), F.sum(n * ll).alias("ll"),
-                    *[F.sum(n * g).alias(f"g{i}") for i, g in enumerate(grads)]).first()
-    w = row["w"]
-    if not w or row["ll"] is None or not math.isfinite(row["ll"]):
-        return float("inf"), np.zeros(4)
-    f = -row["ll"] / w + penalizer * float(np.sum(p ** 2))
-    g_param = np.array([-row[f"g{i}"] / w for i in range(4)]) + 2 * penalizer * p
-    return f, g_param * p   # chain rule to log-parameters
+_PARTIAL_SCHEMA = "w double, ll double, g0 double, g1 double, g2 double, g3 double"
+
+
+def _objectives(table: DataFrame, thetas: list[np.ndarray], penalizer: float):
+    """Objective and gradient (log-parameters) at several points in ONE job.
+
+    Each partition of the compressed table returns one row of weighted sums
+    per point (numpy inside the task; parameters travel in the closure, so
+    nothing is re-compiled per step); Spark adds the partial rows.  The
+    objective is the mean negative log-likelihood plus ``penalizer * Σ p²``.
+    """
+    ps = [np.exp(t) for t in thetas]
+    k = len(ps)
+
+    def partial_sums(batches):
+        acc = np.zeros((k, 6))
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            n = pdf["n"].to_numpy()
+            for i, p in enumerate(ps):
+                with np.errstate(all="ignore"):
+                    ll, grads = bgnbd_terms(p, pdf["x"], pdf["tx"], pdf["T"])
+                acc[i] += [n.sum(), n @ ll, *[n @ g for g in grads]]
+        yield pd.DataFrame({"point": np.arange(k, dtype="int32"),
+                            **{c: acc[:, j] for j, c in enumerate(("w", "ll", "g0", "g1", "g2", "g3"))}})
+
+    # One partial row per (partition, point): bounded by the partition count
+    # of the compressed table, so the final add happens on the driver
+    # without a shuffle stage.
+    parts = table.mapInPandas(partial_sums, "point int, " + _PARTIAL_SCHEMA).collect()
+    tot = np.zeros((k, 6))
+    for row in parts:
+        tot[row["point"]] += [row[c] for c in ("w", "ll", "g0", "g1", "g2", "g3")]
+    out = []
+    for i, p in enumerate(ps):
+        w, ll = tot[i, 0], tot[i, 1]
+        if not w or not math.isfinite(ll):
+            out.append((float("inf"), np.zeros(4)))
+            continue
+        f = -ll / w + penalizer * float(np.sum(p ** 2))
+        g = -tot[i, 2:] / w + 2 * penalizer * p
+        out.append((f, g * p) if np.all(np.isfinite(g)) else (float("inf"), np.zeros(4)))
+    return out
+
+
+_STEPS = [2.0 ** -i for i in range(8)]
+# Compressed rows per task of the fit (numpy work per row is ~8 points x 30 flops).
+ROWS_PER_TASK = 500_000
 
 
 def fit_bgnbd(summary: DataFrame, penalizer: float = 1e-8, max_iter: int = 200,
-              tol: float = 1e-7, init=(1.0, 1.0, 1.0, 1.0)) -> BGNBDParams:
+              tol: float = 1e-7, ftol: float = 1e-9, init=(1.0, 1.0, 1.0, 1.0)) -> BGNBDParams:
     """Maximum-likelihood BG/NBD fit; the data never leaves the executors.
 
-    The compressed table is checkpointed (reliable, in the cluster's
-    checkpoint directory) so each optimiser step re-reads it instead of
-    recomputing the summary lineage.
+    BFGS on log-parameters.  Each iteration is one Spark job that evaluates
+    all backtracking step sizes at once.  The compressed table is
+    checkpointed (reliable, in the cluster's checkpoint directory) so each
+    step re-reads it instead of recomputing the summary lineage.
     """
     table = compress(summary).checkpoint(eager=True)
+    n_rows = table.count()
+    table = table.coalesce(max(1, min(table.rdd.getNumPartitions(), -(-n_rows // ROWS_PER_TASK))))
     theta = np.log(np.asarray(init, dtype=float))
-    f, g = _objective(table, theta, penalizer)
+    f, g = _objectives(table, [theta], penalizer)[0]
     H = np.eye(4)
     it, converged = 0, False
     for it in range(1, max_iter + 1):
@@ -143,26 +186,36 @@ def fit_bgnbd(summary: DataFrame, penalizer: float = 1e-8, max_iter: int = 200,
             break
         d = -H @ g
         if g @ d >= 0:
-            H = np.eye(4)
-            d = -g
-        step, accepted = 1.0, False
-        while step > 1e-10:
-            cand = theta + step * d
-            fc, gc = _objective(table, cand, penalizer)
-            if fc <= f + 1e-4 * step * (g @ d):
-                accepted = True
+            H, d = np.eye(4), -g
+        chosen = None
+        for scale in (1.0, 2.0 ** -8, 2.0 ** -16):
+            steps = [scale * s for s in _STEPS]
+            res = _objectives(table, [theta + s * d for s in steps], penalizer)
+            for s, (fc, gc) in zip(steps, res):
+                if fc <= f + 1e-4 * s * (g @ d):
+                    chosen = (s, fc, gc)
+                    break
+            if chosen:
                 break
-            step *= 0.5
-        if not accepted:
+        if chosen is None:
             converged = np.linalg.norm(g, np.inf) < 1e-4
             break
-        s, y = cand - theta, gc - g
-        theta, f, g = cand, fc, gc
-        sy = s @ y
+        s_, fc, gc = chosen
+        step_vec, y = s_ * d, gc - g
+        theta, f_prev, f, g = theta + step_vec, f, fc, gc
+        sy = step_vec @ y
         if sy > 1e-12:
+            if it == 1:  # scale the initial inverse Hessian (Nocedal & Wright 6.20)
+                H = np.eye(4) * (sy / (y @ y))
             rho = 1.0 / sy
             I4 = np.eye(4)
-            H = (I4 - rho * np.outer(s, y)) @ H @ (I4 - rho * np.outer(y, s)) + rho * np.outer(s, s)
+            H = (I4 - rho * np.outer(step_vec, y)) @ H @ (I4 - rho * np.outer(y, step_vec)) \
+                + rho * np.outer(step_vec, step_vec)
+        # Function no longer improves: a boundary optimum (a parameter
+        # drifting to 0 or infinity in log space) stops here too.
+        if abs(f_prev - f) <= ftol * max(1.0, abs(f)):
+            converged = True
+            break
     p = np.exp(theta)
     return BGNBDParams(*map(float, p), neg_mean_log_lik=float(f), iterations=it,
                        converged=bool(converged))
