@@ -130,15 +130,23 @@ def repo_contributors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- files
 
+# Microsecond timestamps survive a CSV round trip (the default keeps milliseconds).
+_CSV_TS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+           "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> DataFrame:
-    """CSV with header and a declared schema; several paths stack."""
-    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(
-        list(paths) if not isinstance(paths, str) else paths)
+    """CSV with header and a declared schema; several paths stack.
+
+    Values that do not parse as the declared type become null (PERMISSIVE).
+    """
+    return (spark.read.schema(schema).options(header=True, mode="PERMISSIVE", **_CSV_TS)
+            .csv(list(paths) if not isinstance(paths, str) else paths))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """K1: CSV with header, overwriting; one file per partition (sharded)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(header=True, **_CSV_TS).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
