@@ -744,7 +744,8 @@ from churnlens.plans.lifetime import fit_bgnbd, params_frame, score_lifetime  #
 from churnlens.plans.scoring import (at_risk_report, probability_histogram,  # noqa: E402
                                      score_by_segment, validate_by_segment, whatif_scores)
 from churnlens.plans.segments import cluster_summary  # noqa: E402
-from churnlens.plans.training import segmented_features, train_churn_models  # noqa: E402
+from churnlens.plans.training import (cached_churn_models, cached_segmented_features,  # noqa: E402
+                                      memoized, segmented_features)
 
 # Out-of-time validation window: one week later than the training window.
 LATER_SPEC = replace(DEFAULT_SPEC, first_period=(dt.datetime(2024, 1, 8), dt.datetime(2024, 1, 23)),
@@ -753,26 +754,26 @@ LATER_SPEC = replace(DEFAULT_SPEC, first_period=(dt.datetime(2024, 1, 8), dt.dat
 
 @q("m4_m5_kmeans_segments")
 def m4_m5_kmeans_segments(spark, sf):
-    seg, data = segmented_features(spark, sf, SPEC)
+    seg, data = cached_segmented_features(spark, sf, SPEC)
     info = cluster_summary(seg)
     return data.select("login", "segment", "high_low_user", F.lit(info["wssse"]).alias("wssse"))
 
 
 @q("a19_high_activity_share")
 def a19_high_activity_share(spark, sf):
-    _, data = segmented_features(spark, sf, SPEC)
+    _, data = cached_segmented_features(spark, sf, SPEC)
     return stats.value_share(data.where(F.col("company") == 0), "high_low_user", 0)
 
 
 @q("m9_m15_segment_scores")
 def m9_m15_segment_scores(spark, sf):
-    cm = train_churn_models(spark, sf, SPEC)
+    cm = cached_churn_models(spark, sf, SPEC)
     return score_by_segment(cm.models, cm.data, keep=("login", "label"))
 
 
 @q("m10_weighted_lr_scores")
 def m10_weighted_lr_scores(spark, sf):
-    _, data = segmented_features(spark, sf, SPEC)
+    _, data = cached_segmented_features(spark, sf, SPEC)
     feats = feature_columns(data, SPEC)
     weighted = class_weights(data, "label")
     train, test = hash_split(weighted, "login", 0.7, 2018)
@@ -784,7 +785,7 @@ def m10_weighted_lr_scores(spark, sf):
 
 @q("m11_gbt_scores")
 def m11_gbt_scores(spark, sf):
-    _, data = segmented_features(spark, sf, SPEC)
+    _, data = cached_segmented_features(spark, sf, SPEC)
     feats = feature_columns(data, SPEC)
     train, test = hash_split(data, "login", 0.7, 2018)
     model = mdl.fit_classifier(train, feats, mdl.gbt(max_iter=20))
@@ -792,7 +793,7 @@ def m11_gbt_scores(spark, sf):
 
 
 def _holdout_lr(spark, sf):
-    _, data = segmented_features(spark, sf, SPEC)
+    _, data = cached_segmented_features(spark, sf, SPEC)
     feats = feature_columns(data, SPEC)
     train, test = hash_split(data, "login", 0.7, 2018)
     return mdl.fit_classifier(train, feats), feats, test
@@ -814,7 +815,7 @@ def m12_holdout_auc(spark, sf):
 
 @q("m14_cross_validation")
 def m14_cross_validation(spark, sf):
-    _, data = segmented_features(spark, sf, SPEC)
+    _, data = cached_segmented_features(spark, sf, SPEC)
     feats = feature_columns(data, SPEC)
     train, _ = hash_split(data, "login", 0.7, 2018)
     best, metrics = mdl.cross_validate(train, feats, grid="balanced", folds=3, parallelism=4)
@@ -828,49 +829,65 @@ def _contributors(spark, sf):
 
 @q("m16_repo_at_risk")
 def m16_repo_at_risk(spark, sf):
-    cm = train_churn_models(spark, sf, SPEC)
+    cm = cached_churn_models(spark, sf, SPEC)
     scored = score_by_segment(cm.models, cm.data)
     return at_risk_report(scored, _contributors(spark, sf), k=25)
 
 
 @q("m16_a10_probability_histogram")
 def m16_a10_probability_histogram(spark, sf):
-    cm = train_churn_models(spark, sf, SPEC)
+    cm = cached_churn_models(spark, sf, SPEC)
     scored = score_by_segment(cm.models, cm.data)
     return probability_histogram(scored, _contributors(spark, sf), bins=10)
 
 
 @q("m17_whatif_scores")
 def m17_whatif_scores(spark, sf):
-    cm = train_churn_models(spark, sf, SPEC)
+    cm = cached_churn_models(spark, sf, SPEC)
     return whatif_scores(cm.models, cm.segment_model, _churn(spark, sf), SPEC)
 
 
 @q("m18_out_of_time_validation")
 def m18_out_of_time_validation(spark, sf):
-    cm = train_churn_models(spark, sf, SPEC)
+    cm = cached_churn_models(spark, sf, SPEC)
     _, later = segmented_features(spark, sf, LATER_SPEC, segment_model=cm.segment_model)
     m = validate_by_segment(cm.models, later)
     return m
 
 
+def _bgnbd(spark, sf):
+    return memoized(spark, ("bgnbd", sf), lambda: fit_bgnbd(_lifetime_summary(spark, sf)))
+
+
 @q("m20_bgnbd_fit")
 def m20_bgnbd_fit(spark, sf):
-    params = fit_bgnbd(_lifetime_summary(spark, sf))
-    return params_frame(spark, params)
+    return params_frame(spark, _bgnbd(spark, sf))
 
 
 @q("m21_a17_expected_purchases")
 def m21_a17_expected_purchases(spark, sf):
     summ = _lifetime_summary(spark, sf)
-    params = fit_bgnbd(summ)
-    scored = score_lifetime(summ, params, SPEC.horizon_weeks)
+    scored = score_lifetime(summ, _bgnbd(spark, sf), SPEC.horizon_weeks)
     return scored
 
 
 @q("o2_top_expected_purchases")
 def o2_top_expected_purchases(spark, sf):
     summ = _lifetime_summary(spark, sf)
-    params = fit_bgnbd(summ)
-    scored = score_lifetime(summ, params, SPEC.horizon_weeks)
+    scored = score_lifetime(summ, _bgnbd(spark, sf), SPEC.horizon_weeks)
     return top_k(scored, [F.desc("predicted_purchases"), F.col("login")], 5)
+
+
+# ====================================================================== streaming
+
+@q("st_a2_live_activity_profile",
+   f"SELECT user_id AS actor, {sq.profile_select_sql(SPEC)} FROM events GROUP BY user_id")
+def st_a2_live_activity_profile(spark, sf):
+    """The whole event log streamed through the live profile, then read back."""
+    import uuid
+    from churnlens.session import checkpoint_dir as _ckpt
+    from churnlens.streaming import latest_profiles, run_profile_changelog
+    base = f"{_ckpt(spark).rstrip('/')}/live-{uuid.uuid4().hex}"
+    run_profile_changelog(spark, sf, f"{base}/profiles", SPEC, checkpoint=f"{base}/ckpt",
+                          file_glob="events.parquet")
+    return latest_profiles(spark, f"{base}/profiles", SPEC)

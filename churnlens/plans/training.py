@@ -46,3 +46,38 @@ def train_churn_models(spark: SparkSession, sf_dir: str, spec: ChurnSpec = DEFAU
     feats = feature_columns(data, spec)
     models = fit_segment_models(data, feats, estimator_factory, SEGMENTS)
     return ChurnModels(seg, models, feats, data)
+
+
+# Train once, score many: the fitted artefacts of one (session, data, spec) are
+# kept for the life of the session, like models saved once and loaded by every
+# scoring request.  Feature tables are reliable checkpoints, so reuse is safe
+# after executor loss.
+_MEMO: dict = {}
+
+
+def _key(spark: SparkSession, *parts):
+    return (id(spark.sparkContext), *parts)
+
+
+def cached_segmented_features(spark: SparkSession, sf_dir: str, spec: ChurnSpec = DEFAULT_SPEC):
+    k = _key(spark, "seg", sf_dir, spec)
+    if k not in _MEMO:
+        _MEMO[k] = segmented_features(spark, sf_dir, spec)
+    return _MEMO[k]
+
+
+def cached_churn_models(spark: SparkSession, sf_dir: str, spec: ChurnSpec = DEFAULT_SPEC) -> ChurnModels:
+    k = _key(spark, "models", sf_dir, spec)
+    if k not in _MEMO:
+        seg, data = cached_segmented_features(spark, sf_dir, spec)
+        feats = feature_columns(data, spec)
+        _MEMO[k] = ChurnModels(seg, fit_segment_models(data, feats, logistic, SEGMENTS), feats, data)
+    return _MEMO[k]
+
+
+def memoized(spark: SparkSession, key: tuple, build):
+    """Generic session-scoped memo for other fitted artefacts (e.g. BG/NBD)."""
+    k = _key(spark, *key)
+    if k not in _MEMO:
+        _MEMO[k] = build()
+    return _MEMO[k]
