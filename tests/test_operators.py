@@ -214,8 +214,11 @@ def test_top_k_ties_deterministic(spark):
 def test_top_k_per_group_exact_with_hot_group(spark):
     rows = [("hot", i, float(i % 97)) for i in range(3000)] + [("cold", i, float(i)) for i in range(5)]
     df = spark.createDataFrame(rows, "repo string, login long, p double")
-    got = top_k_per_group(df, ["repo"], [F.col("p"), F.col("login")], 25, salt_key="login", salt_buckets=8)
-    hot = [(r.login, r["rank"]) for r in got.where("repo = 'hot'").orderBy("rank").collect()]
     want = sorted(((i % 97, i) for i in range(3000)))[:25]
-    assert [x[0] for x in hot] == [w[1] for w in want]
-    assert got.where("repo = 'cold'").count() == 5
+    for force in (False, True):
+        got = top_k_per_group(df, ["repo"], [F.col("p"), F.col("login")], 25, salt_key="login",
+                              salt_buckets=8, force_salt=force)
+        hot = [(r.login, r["rank"]) for r in got.where("repo = 'hot'").orderBy("rank").collect()]
+        assert [x[0] for x in hot] == [w[1] for w in want]
+        assert [x[1] for x in hot] == list(range(1, 26))
+        assert got.where("repo = 'cold'").count() == 5
