@@ -788,7 +788,7 @@ def m11_gbt_scores(spark, sf):
     _, data = cached_segmented_features(spark, sf, SPEC)
     feats = feature_columns(data, SPEC)
     train, test = hash_split(data, "login", 0.7, 2018)
-    model = mdl.fit_classifier(train, feats, mdl.gbt(max_iter=20))
+    model = mdl.fit_classifier(train, feats, mdl.gbt(max_iter=50))
     return mdl.coefficient_table(spark, model, feats)
 
 
@@ -813,14 +813,28 @@ def m12_holdout_auc(spark, sf):
     return mdl.auc(scored, "p", "label", resolution=None)
 
 
+def _cv_frame(spark, metrics):
+    return spark.createDataFrame([(i, float(m)) for i, m in enumerate(metrics)],
+                                 "candidate int, avg_auc double")
+
+
 @q("m14_cross_validation")
 def m14_cross_validation(spark, sf):
     _, data = cached_segmented_features(spark, sf, SPEC)
     feats = feature_columns(data, SPEC)
     train, _ = hash_split(data, "login", 0.7, 2018)
-    best, metrics = mdl.cross_validate(train, feats, grid="balanced", folds=3, parallelism=4)
-    return spark.createDataFrame([(i, float(m)) for i, m in enumerate(metrics)],
-                                 "candidate int, avg_auc double")
+    _, metrics = mdl.cross_validate(train, feats, grid="full", folds=5)
+    return _cv_frame(spark, metrics)
+
+
+@q("m14_weighted_cross_validation")
+def m14_weighted_cross_validation(spark, sf):
+    _, data = cached_segmented_features(spark, sf, SPEC)
+    feats = feature_columns(data, SPEC)
+    train, _ = hash_split(class_weights(data, "label"), "login", 0.7, 2018)
+    _, grid_metrics = mdl.cross_validate(train, feats, grid="balanced", folds=5)
+    _, single = mdl.cross_validate(train, feats, grid="none", folds=5)
+    return _cv_frame(spark, grid_metrics + single)
 
 
 def _contributors(spark, sf):

@@ -39,7 +39,7 @@ def test_kmeans_seeded_repeatable(spark, trained):
     again = fit_segments(trained.data.drop("segment", "high_low_user"), seed=DEFAULT_SPEC.seed)
     c1 = sorted(map(tuple, trained.segment_model.stages[-1].clusterCenters()))
     c2 = sorted(map(tuple, again.stages[-1].clusterCenters()))
-    assert c1 == pytest.approx(c2) if False else all(a == pytest.approx(b) for a, b in zip(c1, c2))
+    assert all(a == pytest.approx(b) for a, b in zip(c1, c2))
 
 
 def test_routing_scores_every_row_once(trained):
@@ -103,7 +103,10 @@ def test_model_save_load_roundtrip(spark, trained, scratch):
     assert [tuple(r) for r in a] == [tuple(r) for r in b]
 
 
-def test_cross_validation_grid(spark, trained):
-    train = trained.data.where(F.col("segment") != "company")
+def test_cross_validation_grids(spark, trained):
+    from churnlens.operators.sampling import class_weights
+    train = class_weights(trained.data.where(F.col("segment") != "company"), "label")
     best, metrics = mdl.cross_validate(train, trained.features, grid="balanced", folds=2)
     assert len(metrics) == 12 and isinstance(best, PipelineModel)
+    _, one = mdl.cross_validate(train, trained.features, grid="none", folds=2)
+    assert len(one) == 1 and 0.0 <= one[0] <= 1.0
