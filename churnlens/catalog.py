@@ -19,10 +19,10 @@ from churnlens.functions.columns import (day_diff, frac_days, json_field, narrow
 from churnlens.operators import activity as act
 from churnlens.operators import stats
 from churnlens.operators.membership import members_only, not_yet_known
-from churnlens.operators.merge import churn_table, merge_profiles, outlier_share
+from churnlens.operators.merge import churn_table, merge_profiles, outlier_share, serving_fill
 from churnlens.operators.ranking import top_k, top_k_per_group
 from churnlens.operators.sampling import (class_weights, hash_split, key_uniform, next_batch,
-                                          undersample_majority)
+                                          seeded_shuffle, undersample_majority)
 from churnlens.plans.features import feature_columns, feature_table
 from churnlens.plans.lifetime import BGNBDParams, lifetime_summary, p_alive
 from churnlens.plans.models import auc
@@ -413,6 +413,30 @@ def m23_repo_contrib_history(spark, sf):
     return j.join(users, "login", "left")
 
 
+_SERVING_FILL = dt.datetime(2024, 1, 31, 1, 0, 0)
+
+
+@q("p11_p12_p15_serving_fill", USERS + "," + sq.periods_cte(SPEC) + f""",
+contrib AS (
+  SELECT p_brand AS repo, o_custkey AS login, CAST(count(*) AS INTEGER) AS repo_contributions_count
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
+  GROUP BY p_brand, o_custkey)
+SELECT c.repo, c.login, c.repo_contributions_count,
+       coalesce(f.event_count, 0) AS frequency,
+       coalesce(f.last_event, TIMESTAMP '{_SERVING_FILL:%Y-%m-%d %H:%M:%S}') AS last_event,
+       coalesce(f.first_event, TIMESTAMP '{_SERVING_FILL:%Y-%m-%d %H:%M:%S}') AS first_event,
+       {', '.join(f'coalesce(f.{x}, 0) AS {x}' for x in SPEC.count_columns)},
+       coalesce(p.followers_count, 0) AS followers_count, coalesce(p.following_count, 0) AS following_count
+FROM contrib c LEFT JOIN first_period f ON c.login = f.actor LEFT JOIN profiles p ON c.login = p.login""")
+def p11_p12_p15_serving_fill(spark, sf):
+    contrib = repo_contributors(spark, sf)
+    first = act.activity_profile(_ev(spark, sf), *SPEC.first_period, spec=SPEC)
+    users = user_profiles(spark, sf).select("login", "followers_count", "following_count")
+    j = (contrib.join(first, contrib.login == first.actor, "left").drop("actor")
+         .join(users, "login", "left"))
+    return serving_fill(j, SPEC, _SERVING_FILL)
+
+
 # ====================================================================== aggregations
 
 @q("a6_segment_counts", CHURN + """
@@ -440,6 +464,12 @@ def a7_summary_stats(spark, sf):
 _A8_COLS = ["frequency", "recency", "followers_count", "following_count", "click_count"]
 
 
+@q("a7_summary_quartiles")
+def a7_summary_quartiles(spark, sf):
+    """A7 with approximate quartiles (bounded memory at any scale)."""
+    return stats.summary_stats(_churn(spark, sf), _A7_COLS, quartiles=True)
+
+
 @q("a8_correlation_pairs", CHURN + "\n" + "\nUNION ALL\n".join(
     f"SELECT '{a}' AS c1, '{b}' AS c2, round(corr({a}, {b}), 6) AS r FROM churn"
     for i, a in enumerate(_A8_COLS) for b in _A8_COLS[i + 1:]))
@@ -719,6 +749,12 @@ pa AS (SELECT login, second_period_event_count,
        FROM summ)"""
 
 
+@q("o8_seeded_shuffle", _LIFETIME_CTES + "\nSELECT login, frequency FROM summ")
+def o8_seeded_shuffle(spark, sf):
+    """Seeded total order of the lifetime table (rows compared, not order)."""
+    return seeded_shuffle(_lifetime_summary(spark, sf), "login", seed=0).select("login", "frequency")
+
+
 @q("m22_p_alive_fixed", _PALIVE_SQL + "\nSELECT login, round(p, 6) AS probability_alive, p > 0.5 AS alive FROM pa")
 def m22_p_alive_fixed(spark, sf):
     s = _lifetime_summary(spark, sf)
@@ -759,6 +795,18 @@ def m4_m5_kmeans_segments(spark, sf):
     return data.select("login", "segment", "high_low_user", F.lit(info["wssse"]).alias("wssse"))
 
 
+@q("m1_kmeans_original_features")
+def m1_kmeans_original_features(spark, sf):
+    """M1/M4 variant: K-means on the derived activity features (non-passive
+    events, repos + gists) instead of scaled frequency/recency."""
+    from churnlens.plans.segments import fit_segments
+    _, data = cached_segmented_features(spark, sf, SPEC)
+    model = fit_segments(data.drop("segment", "high_low_user"), seed=SPEC.seed, original=True)
+    out = model.transform(data.where(F.col("company") == 0))
+    return out.select("login", F.col("cluster").alias("cluster"),
+                      F.lit(cluster_summary(model)["wssse"]).alias("wssse"))
+
+
 @q("a19_high_activity_share")
 def a19_high_activity_share(spark, sf):
     _, data = cached_segmented_features(spark, sf, SPEC)
@@ -805,6 +853,12 @@ def m13_o4_coefficients(spark, sf):
     return mdl.coefficient_table(spark, model, feats)
 
 
+@q("o5_sorted_coefficients")
+def o5_sorted_coefficients(spark, sf):
+    model, feats, _ = _holdout_lr(spark, sf)
+    return mdl.coefficient_table(spark, model, feats).orderBy("weight", "feature")
+
+
 @q("m12_holdout_auc")
 def m12_holdout_auc(spark, sf):
     from churnlens.functions.columns import vector_element

@@ -86,3 +86,19 @@ def outlier_share(users: DataFrame, events: DataFrame, spec: ChurnSpec = DEFAULT
     return out.select("n_total_users", "n_users",
                       F.round(F.lit(100.0) - F.try_divide(F.col("n_users") * 100.0, F.col("n_total_users")), 2)
                       .alias("pct_dropped"))
+
+
+def serving_fill(df: DataFrame, spec: ChurnSpec = DEFAULT_SPEC, fill_ts=None) -> DataFrame:
+    """P15 (P3+P11+P12): ``event_count`` -> ``frequency``; null counts and
+    scale columns -> 0; null first/last event -> ``fill_ts``.  One projection."""
+    fills0 = set(spec.count_columns) | set(spec.scale_columns)
+    out = []
+    for f in df.schema.fields:
+        name = "frequency" if f.name == "event_count" else f.name
+        c = F.col(f.name)
+        if name in fills0:
+            c = F.coalesce(c, F.lit(0).cast(f.dataType))
+        elif name in ("last_event", "first_event") and fill_ts is not None:
+            c = F.coalesce(c, F.lit(fill_ts).cast(f.dataType))
+        out.append(c.alias(name))
+    return df.select(out)

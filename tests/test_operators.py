@@ -222,3 +222,19 @@ def test_top_k_per_group_exact_with_hot_group(spark):
         assert [x[0] for x in hot] == [w[1] for w in want]
         assert [x[1] for x in hot] == list(range(1, 26))
         assert got.where("repo = 'cold'").count() == 5
+
+
+def test_assembler_skips_invalid_rows(spark):
+    from churnlens.plans.features import assembler
+    df = spark.createDataFrame([(1.0, 2.0), (None, 1.0), (float("nan"), 3.0)], "a double, b double")
+    out = assembler(["a", "b"]).transform(df)
+    assert out.count() == 1
+
+
+def test_serving_fill(spark):
+    from churnlens.operators.merge import serving_fill
+    df = spark.createDataFrame([(1, None, None, None, None)],
+                               "login long, event_count long, click_count long, followers_count int, "
+                               "last_event timestamp_ntz")
+    r = serving_fill(df, ChurnSpec(), dt.datetime(2018, 8, 1, 1)).collect()[0]
+    assert (r.frequency, r.click_count, r.followers_count, r.last_event) == (0, 0, 0, dt.datetime(2018, 8, 1, 1))
