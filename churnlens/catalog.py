@@ -864,7 +864,7 @@ def m12_holdout_auc(spark, sf):
     from churnlens.functions.columns import vector_element
     model, _, test = _holdout_lr(spark, sf)
     scored = model.transform(test).select(vector_element("probability", 1).alias("p"), "label")
-    return mdl.auc(scored, "p", "label", resolution=None)
+    return mdl.auc(scored, "p", "label")
 
 
 def _cv_frame(spark, metrics):

@@ -36,5 +36,10 @@ def members_only(events: DataFrame, users: DataFrame, event_key: str = "actor",
 
 
 def not_yet_known(candidates: DataFrame, known: DataFrame, key: str) -> DataFrame:
-    """Candidates whose key is not in ``known``."""
-    return candidates.join(known.select(key), key, "left_anti")
+    """Candidates whose key is not in ``known``.
+
+    ``known`` is reduced to its distinct keys first (partial aggregation
+    before the shuffle), so a key repeated in a third of the rows of
+    ``known`` travels once per map task.
+    """
+    return candidates.join(known.select(key).distinct(), key, "left_anti")

@@ -238,3 +238,17 @@ def test_serving_fill(spark):
                                "last_event timestamp_ntz")
     r = serving_fill(df, ChurnSpec(), dt.datetime(2018, 8, 1, 1)).collect()[0]
     assert (r.frequency, r.click_count, r.followers_count, r.last_event) == (0, 0, 0, dt.datetime(2018, 8, 1, 1))
+
+
+def test_hot_user_third_of_rows(spark):
+    """One user holds a third of all events: results stay exact and whole."""
+    rows = [(1, "a" if i % 3 else "b", ts(1 + i % 9, i % 24)) for i in range(3000)]
+    rows += [(2 + i % 500, "a", ts(1 + i % 9, 5)) for i in range(6000)]
+    ev = events(spark, rows).repartition(16)
+    prof = {r.actor: r for r in act.activity_profile(ev, *SPEC.first_period, spec=SPEC).collect()}
+    assert len(prof) == 501 and prof[1].event_count == 3000 and prof[1].b_count == 1000
+    spec = ChurnSpec(**{**SPEC.__dict__, "outlier_limit": 10_000})
+    churn = {r.login: r for r in churn_table(users(spark, [1, 2, 3]), ev, spec).collect()}
+    assert churn[1].frequency == 3000 and churn[2].frequency == 12
+    fresh = not_yet_known(spark.range(600).withColumnRenamed("id", "actor"), ev, "actor")
+    assert fresh.count() == 600 - 501 - 1 + 1  # ids 0 and 501..599 were never seen
