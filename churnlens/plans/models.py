@@ -58,9 +58,18 @@ def fit_classifier(train: DataFrame, features: Sequence[str], estimator=None) ->
 
 def fit_segment_models(data: DataFrame, features: Sequence[str], estimator_factory=logistic,
                        segments: Sequence[str] = SEGMENTS) -> dict[str, PipelineModel]:
-    """One model per segment (the segment set is fixed and small)."""
-    return {s: fit_classifier(data.where(F.col("segment") == s), features, estimator_factory())
-            for s in segments}
+    """One model per segment (the segment set is fixed and small).
+
+    The fits are independent distributed jobs, submitted concurrently from
+    driver threads so the cluster runs them side by side.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    def fit(s):
+        return s, fit_classifier(data.where(F.col("segment") == s), features, estimator_factory())
+
+    with ThreadPoolExecutor(max_workers=max(1, len(segments))) as pool:
+        return dict(pool.map(fit, segments))
 
 
 def coefficient_table(spark: SparkSession, model: PipelineModel,
@@ -80,7 +89,7 @@ GRID_BALANCED = {"elasticNetParam": [0.0, 0.8, 0.08], "regParam": [0.3, 0.03], "
 
 
 def cross_validate(train: DataFrame, features: Sequence[str], grid: str = "full",
-                   folds: int = 5, seed: int = 2018, parallelism: int = 4):
+                   folds: int = 5, seed: int = 2018, parallelism: int | None = None):
     """K-fold CV with an AUC evaluator; returns (best PipelineModel, avg metrics).
 
     ``grid``: "full" (18 candidates, plain LR), "balanced" (12 candidates,
@@ -96,8 +105,14 @@ def cross_validate(train: DataFrame, features: Sequence[str], grid: str = "full"
     pb = ParamGridBuilder()
     for name, vals in values.items():
         pb = pb.addGrid(lr.getParam(name), vals)
+    maps = pb.build()
+    if parallelism is None:
+        # candidates of a fold are fitted concurrently; beyond the cluster's
+        # capacity extra threads would only queue jobs
+        slots = train.sparkSession.sparkContext.defaultParallelism
+        parallelism = max(1, min(len(maps), 2 * slots))
     pipe = Pipeline(stages=[assembler(list(features)), lr])
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=pb.build(),
+    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps,
                         evaluator=BinaryClassificationEvaluator(labelCol="label"),
                         numFolds=folds, seed=seed, parallelism=parallelism)
     data = train.persist(StorageLevel.MEMORY_AND_DISK)
