@@ -28,7 +28,8 @@ from churnlens.plans.lifetime import BGNBDParams, lifetime_summary, p_alive
 from churnlens.plans.models import auc
 from churnlens import sql_twins as sq
 from churnlens.sources.logs import orders_log
-from churnlens.sources.tables import event_log, read_table, repo_contributors, user_profiles
+from churnlens.sources.tables import (event_log, read_table, repo_contributors, stored_user_profiles,
+                                      user_profiles)
 
 SPEC = DEFAULT_SPEC
 # Later analysis window on the orders log (two halves of 1997) for lifetime value.
@@ -59,7 +60,7 @@ def _ev(spark, sf):
 
 
 def _churn(spark, sf) -> DataFrame:
-    return churn_table(user_profiles(spark, sf), _ev(spark, sf), SPEC)
+    return churn_table(stored_user_profiles(spark, sf), _ev(spark, sf), SPEC)
 
 
 def _r(c, n=6):
@@ -117,6 +118,7 @@ def s9_repo_contributors(spark, sf):
 
 @q("s10_user_profiles", USERS + "\nSELECT * FROM profiles")
 def s10_user_profiles(spark, sf):
+    """The profile build itself (always computed from the source tables)."""
     return user_profiles(spark, sf)
 
 
@@ -203,7 +205,7 @@ SELECT count(*) AS n_total_users,
                      * 100.0 / count(*), 2) AS pct_dropped
 FROM merged""")
 def a14_outlier_share(spark, sf):
-    return outlier_share(user_profiles(spark, sf), _ev(spark, sf), SPEC)
+    return outlier_share(stored_user_profiles(spark, sf), _ev(spark, sf), SPEC)
 
 
 @q("m24_churn_table_keep_inactive", "WITH " + sq.users_cte(SPEC) + "," + sq.periods_cte(SPEC) + ","
@@ -211,7 +213,7 @@ def a14_outlier_share(spark, sf):
 SELECT * FROM merged WHERE frequency < {SPEC.outlier_limit}
   AND second_period_event_count < {SPEC.outlier_limit}""")
 def m24_churn_table_keep_inactive(spark, sf):
-    return churn_table(user_profiles(spark, sf), _ev(spark, sf), SPEC, keep_inactive=True)
+    return churn_table(stored_user_profiles(spark, sf), _ev(spark, sf), SPEC, keep_inactive=True)
 
 
 # ====================================================================== projections
@@ -221,7 +223,7 @@ SELECT p.login, CAST({' + '.join('f.' + c for c in SPEC.count_columns)} AS BIGIN
        CAST({' + '.join(f'coalesce(f.{c}, 0)' for c in SPEC.count_columns)} AS BIGINT) AS frequency_filled
 FROM profiles p LEFT JOIN first_period f ON p.login = f.actor""")
 def p4_row_sum(spark, sf):
-    users = user_profiles(spark, sf)
+    users = stored_user_profiles(spark, sf)
     first = act.activity_profile(_ev(spark, sf), *SPEC.first_period, spec=SPEC)
     j = users.join(first, users.login == first.actor, "left")
     return j.select("login", row_sum(SPEC.count_columns).alias("frequency"),
@@ -240,7 +242,7 @@ def p6_narrow_bigints(spark, sf):
 SELECT login, CAST(blog IS NOT NULL AS INTEGER) AS blog, CAST(company IS NOT NULL AS INTEGER) AS company,
        CAST(hireable IS NOT NULL AS INTEGER) AS hireable FROM profiles""")
 def p8_presence_flags(spark, sf):
-    return user_profiles(spark, sf).select(
+    return stored_user_profiles(spark, sf).select(
         "login", *[presence_flag(c).alias(c) for c in ("blog", "company", "hireable")])
 
 
@@ -370,7 +372,7 @@ def f7_string_equality(spark, sf):
 SELECT p.login, f.event_count, f.last_event, coalesce(s.second_period_event_count, 0) AS second_period_event_count
 FROM profiles p LEFT JOIN first_period f ON p.login = f.actor LEFT JOIN second_period s ON p.login = s.actor""")
 def j1_j2_profile_joins(spark, sf):
-    users = user_profiles(spark, sf)
+    users = stored_user_profiles(spark, sf)
     ev = _ev(spark, sf)
     first = act.activity_profile(ev, *SPEC.first_period, spec=SPEC)
     second = (ev.where(act.in_period(*SPEC.second_period) & F.col("type").isin(*SPEC.event_types))
@@ -405,7 +407,7 @@ FROM contrib c LEFT JOIN first_period f ON c.login = f.actor LEFT JOIN profiles
 def m23_repo_contrib_history(spark, sf):
     contrib = repo_contributors(spark, sf)
     first = act.activity_profile(_ev(spark, sf), *SPEC.first_period, spec=SPEC)
-    users = user_profiles(spark, sf).select("login", "followers_count", "following_count", "created_at")
+    users = stored_user_profiles(spark, sf).select("login", "followers_count", "following_count", "created_at")
     j = contrib.join(first, contrib.login == first.actor, "left").drop("actor")
     filled = [F.coalesce(F.col(c), F.lit(0)).cast("int").alias(c)
               for c in ("event_count", *SPEC.count_columns)]
@@ -431,7 +433,7 @@ FROM contrib c LEFT JOIN first_period f ON c.login = f.actor LEFT JOIN profiles
 def p11_p12_p15_serving_fill(spark, sf):
     contrib = repo_contributors(spark, sf)
     first = act.activity_profile(_ev(spark, sf), *SPEC.first_period, spec=SPEC)
-    users = user_profiles(spark, sf).select("login", "followers_count", "following_count")
+    users = stored_user_profiles(spark, sf).select("login", "followers_count", "following_count")
     j = (contrib.join(first, contrib.login == first.actor, "left").drop("actor")
          .join(users, "login", "left"))
     return serving_fill(j, SPEC, _SERVING_FILL)
@@ -703,7 +705,7 @@ def m12_roc_auc(spark, sf):
 # ====================================================================== lifetime (exact parts)
 
 def _lifetime_summary(spark, sf) -> DataFrame:
-    users = user_profiles(spark, sf)
+    users = stored_user_profiles(spark, sf)
     cohort = _churn(spark, sf).select("login", "created_at")
     later = churn_table(users, orders_log(spark, sf), ORDERS_SPEC)
     return lifetime_summary(later, cohort, LIFETIME_END, LIFETIME_FILL)

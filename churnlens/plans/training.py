@@ -19,7 +19,7 @@ from churnlens.plans.features import feature_columns, feature_table
 from churnlens.plans.models import SEGMENTS, fit_segment_models, logistic
 from churnlens.plans.segments import assign_segments, fit_segments
 from churnlens.session import checkpoint_dir
-from churnlens.sources.tables import event_log, user_profiles
+from churnlens.sources.tables import event_log, stored_user_profiles
 
 
 @dataclass
@@ -33,7 +33,7 @@ class ChurnModels:
 def segmented_features(spark: SparkSession, sf_dir: str, spec: ChurnSpec = DEFAULT_SPEC,
                        segment_model: PipelineModel | None = None):
     """Feature table with ``segment``; fits the segment model when not given."""
-    churn = churn_table(user_profiles(spark, sf_dir), event_log(spark, sf_dir, spec), spec)
+    churn = churn_table(stored_user_profiles(spark, sf_dir), event_log(spark, sf_dir, spec), spec)
     checkpoint_dir(spark)
     ft = feature_table(churn, spec).checkpoint(eager=True)
     seg = segment_model or fit_segments(ft, seed=spec.seed)

@@ -160,3 +160,26 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Reload a table written by ``write_parquet``."""
     return spark.read.parquet(path)
+
+
+# ---------------------------------------------------------------- stored profile table
+
+_STORED: dict = {}
+
+
+def stored_user_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S10 as a stored table: built once per session, written to the shared
+    checkpoint folder, then read by every analysis.
+
+    Mirrors the reference's flow (profiles fetched once, saved, read by each
+    notebook) and cuts the line-item aggregation out of every later plan.
+    """
+    from churnlens.session import checkpoint_dir
+    key = (id(spark.sparkContext), sf_dir)
+    if key not in _STORED:
+        import uuid
+        path = f"{checkpoint_dir(spark).rstrip('/')}/user-profiles-{uuid.uuid4().hex}"
+        user_profiles(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _STORED[key] = path
+    prof = user_profiles(spark, sf_dir)
+    return spark.read.schema(prof.schema).parquet(_STORED[key])
