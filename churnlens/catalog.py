@@ -919,10 +919,17 @@ def m17_whatif_scores(spark, sf):
 
 @q("m18_out_of_time_validation")
 def m18_out_of_time_validation(spark, sf):
+    """Earlier-window models scored on a later window, balanced like the
+    reference (all churners + an equal-size key-hash sample of actives);
+    metrics per segment and for an unsegmented model ("nofilters")."""
     cm = cached_churn_models(spark, sf, SPEC)
     _, later = segmented_features(spark, sf, LATER_SPEC, segment_model=cm.segment_model)
-    m = validate_by_segment(cm.models, later)
-    return m
+    balanced = undersample_majority(later, "label", "login", seed=0, minority_value=0.0)
+    per_segment = validate_by_segment(cm.models, balanced).where(F.col("segment") != "all")
+    nf_feats = cm.features + ["company", "public_repos_count", "public_gists_count"]
+    nofilter = memoized(spark, ("nofilter", sf), lambda: mdl.fit_classifier(cm.data, nf_feats))
+    nf = stats.confusion_metrics(nofilter.transform(balanced), "prediction", "label")
+    return per_segment.unionByName(nf.withColumn("segment", F.lit("nofilters")))
 
 
 def _bgnbd(spark, sf):
