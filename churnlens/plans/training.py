@@ -56,7 +56,8 @@ _MEMO: dict = {}
 
 
 def _key(spark: SparkSession, *parts):
-    return (id(spark.sparkContext), *parts)
+    sc = spark.sparkContext
+    return (sc.applicationId, id(sc), *parts)
 
 
 def cached_segmented_features(spark: SparkSession, sf_dir: str, spec: ChurnSpec = DEFAULT_SPEC):

@@ -175,7 +175,7 @@ def stored_user_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     notebook) and cuts the line-item aggregation out of every later plan.
     """
     from churnlens.session import checkpoint_dir
-    key = (id(spark.sparkContext), sf_dir)
+    key = (spark.sparkContext.applicationId, id(spark.sparkContext), sf_dir)
     if key not in _STORED:
         import uuid
         path = f"{checkpoint_dir(spark).rstrip('/')}/user-profiles-{uuid.uuid4().hex}"
