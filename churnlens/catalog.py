@@ -180,6 +180,27 @@ def a5_json_field_counts(spark, sf):
                                  dt.date(2024, 1, 20))
 
 
+@q("a3_sql_events_per_month", ORACLE["a3_monthly_events"])
+def a3_sql_events_per_month(spark, sf):
+    from churnlens import sql as ssql
+    ssql.register_views(spark, sf, SPEC)
+    return ssql.events_per_month(spark)
+
+
+@q("a4_sql_active_users_per_month", ORACLE["a4_monthly_active_users"])
+def a4_sql_active_users_per_month(spark, sf):
+    from churnlens import sql as ssql
+    ssql.register_views(spark, sf, SPEC)
+    return ssql.active_users_per_month(spark)
+
+
+@q("a2_sql_activity_export", ORACLE["a2_public_activity_profile"])
+def a2_sql_activity_export(spark, sf):
+    from churnlens import sql as ssql
+    ssql.register_views(spark, sf, SPEC)
+    return ssql.activity_export(spark, *SPEC.first_period, spec=SPEC, public_only=True)
+
+
 # ====================================================================== merged churn table
 
 @q("m24_churn_table", CHURN + "\nSELECT * FROM churn")

@@ -252,3 +252,19 @@ def test_hot_user_third_of_rows(spark):
     assert churn[1].frequency == 3000 and churn[2].frequency == 12
     fresh = not_yet_known(spark.range(600).withColumnRenamed("id", "actor"), ev, "actor")
     assert fresh.count() == 600 - 501 - 1 + 1  # ids 0 and 501..599 were never seen
+
+
+def test_sql_entry_binds_parameters(spark):
+    from churnlens import sql as ssql
+    from tests.conftest import SF_SMALL
+    ssql.register_views(spark, SF_SMALL)
+    quoted = ssql.user_events(spark, 7).collect()
+    assert len(quoted) == 1
+    via_df = act.user_activity(event_log_small(spark), 7).collect()[0]
+    assert quoted[0].asDict() == via_df.asDict()
+
+
+def event_log_small(spark):
+    from churnlens.sources.tables import event_log
+    from tests.conftest import SF_SMALL
+    return event_log(spark, SF_SMALL)
