@@ -36,6 +36,9 @@ class ChurnSpec:
     lifetime_end: dt.datetime = dt.datetime(2024, 1, 16)
     horizon_weeks: float = 22.0
     seed: int = 1
+    # Date-typed partition column of the event log, if it is laid out by day
+    # (period filters then also prune whole partitions).
+    partition_column: str | None = None
     extra: dict = field(default_factory=dict, compare=False)
 
     @property

@@ -20,9 +20,18 @@ from churnlens.config import DEFAULT_SPEC, ChurnSpec
 from churnlens.functions.columns import json_field, month_of
 
 
-def in_period(start: dt.datetime, end: dt.datetime, ts: str = "created_at") -> Column:
-    """Half-open slice [start, end) of the event time."""
-    return (F.col(ts) >= F.lit(start)) & (F.col(ts) < F.lit(end))
+def in_period(start: dt.datetime, end: dt.datetime, ts: str = "created_at",
+              partition_column: str | None = None) -> Column:
+    """Half-open slice [start, end) of the event time.
+
+    With a date ``partition_column`` the same range is also stated on it, so
+    the scan prunes whole partitions before reading any file.
+    """
+    cond = (F.col(ts) >= F.lit(start)) & (F.col(ts) < F.lit(end))
+    if partition_column:
+        last_day = (end - dt.timedelta(microseconds=1)).date()
+        cond = cond & F.col(partition_column).between(F.lit(start.date()), F.lit(last_day))
+    return cond
 
 
 def day_range(first_day: dt.date, last_day: dt.date, ts: str = "created_at") -> Column:
@@ -62,7 +71,7 @@ def activity_profile(events: DataFrame, start: dt.datetime | None = None,
     """
     ev = events
     if start is not None and end is not None:
-        ev = ev.where(in_period(start, end))
+        ev = ev.where(in_period(start, end, partition_column=spec.partition_column))
     if public_only:
         ev = ev.where(F.col("public"))
     return ev.groupBy(key).agg(*_profile_aggs(spec.event_types))
@@ -122,7 +131,7 @@ def two_period_profile(events: DataFrame, spec: ChurnSpec = DEFAULT_SPEC,
     f0, f1 = spec.first_period
     s0, s1 = spec.second_period
     lo, hi = min(f0, s0), max(f1, s1)
-    ev = events.where(in_period(lo, hi))
+    ev = events.where(in_period(lo, hi, partition_column=spec.partition_column))
     if public_only:
         ev = ev.where(F.col("public"))
     first = in_period(f0, f1)

@@ -48,7 +48,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def event_log(spark: SparkSession, sf_dir: str, spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:
+def event_log(spark: SparkSession, sf_dir: str, spec: ChurnSpec = DEFAULT_SPEC,
+              path: str | None = None) -> DataFrame:
     """The raw event log under the names the operators use.
 
     ``actor`` is the user key, ``type`` the event type, ``created_at`` the
@@ -56,8 +57,10 @@ def event_log(spark: SparkSession, sf_dir: str, spec: ChurnSpec = DEFAULT_SPEC)
     fixed rule of the spec.  Renames are free: Catalyst folds them into the
     scan's projection.
     """
-    ev = read_table(spark, sf_dir, "events")
+    ev = read_table(spark, sf_dir, "events") if path is None else spark.read.parquet(path)
+    extra = [F.col(spec.partition_column)] if spec.partition_column else []
     return ev.select(
+        *extra,
         F.col("event_id"),
         F.col("user_id").alias("actor"),
         F.col("event_type").alias("type"),

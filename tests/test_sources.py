@@ -53,3 +53,20 @@ def test_params_roundtrip(spark, scratch):
     write_parquet(params_frame(spark, p), f"{scratch}/params")
     r = read_parquet(spark, f"{scratch}/params").first()
     assert (r.r, r.alpha, r.a, r.b, r.converged) == (0.3, 4.0, 0.8, 2.5, True)
+
+
+def test_period_filters_prune_day_partitions(spark, scratch):
+    from dataclasses import replace
+
+    from churnlens.config import DEFAULT_SPEC
+    from churnlens.operators.activity import two_period_profile
+    from churnlens.sources.tables import event_log
+    ev = read_table(spark, SF_SMALL, "events").withColumn("day", F.to_date("ts"))
+    write_parquet(ev, f"{scratch}/events_by_day", partition_by=["day"])
+    spec = replace(DEFAULT_SPEC, partition_column="day")
+    log = event_log(spark, SF_SMALL, spec, path=f"{scratch}/events_by_day")
+    prof = two_period_profile(log, spec)
+    plan = prof._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "2024-01-16" in plan
+    plain = two_period_profile(event_log(spark, SF_SMALL), DEFAULT_SPEC)
+    assert prof.exceptAll(plain).count() == 0 and plain.exceptAll(prof).count() == 0
