@@ -32,6 +32,11 @@ class ChurnSpec:
     binarised_types: tuple[str, ...] = ("signup", "error")
     # Event types treated as passive for the K-means activity feature.
     passive_types: tuple[str, ...] = ("view", "error")
+    # Rare event types left out of the model features entirely.
+    dropped_types: tuple[str, ...] = ()
+    # What-if roles -> event types: "watch", "fork", "comment" (SURVEY B5).
+    whatif_types: tuple[tuple[str, str], ...] = (("watch", "click"), ("fork", "purchase"),
+                                                 ("comment", "view"))
     # Lifetime model: end of the study and the prediction horizon in weeks.
     lifetime_end: dt.datetime = dt.datetime(2024, 1, 16)
     horizon_weeks: float = 22.0
@@ -45,5 +50,39 @@ class ChurnSpec:
     def count_columns(self) -> list[str]:
         return [f"{t}_count" for t in self.event_types]
 
+    def whatif_column(self, role: str) -> str:
+        return f"{dict(self.whatif_types)[role]}_count"
+
+    @classmethod
+    def for_year(cls, year: int, **overrides) -> "ChurnSpec":
+        """The reference's yearly convention for the GitHub event archive.
+
+        Fixed values: first period Jan 1 - Jun 1, second period Jun 2 - Nov 1
+        of ``year``; outlier limit 200 events for 2016 and 600 for other
+        years; the 14 counted event types below.
+        """
+        fields = dict(
+            event_types=GITHUB_EVENT_TYPES,
+            first_period=(dt.datetime(year, 1, 1), dt.datetime(year, 6, 1)),
+            second_period=(dt.datetime(year, 6, 2), dt.datetime(year, 11, 1)),
+            outlier_limit=200 if year == 2016 else 600,
+            private_types=(),
+            binarised_types=("Public", "Release"),
+            passive_types=("Delete", "Gollum", "IssueComment", "Member", "Watch"),
+            dropped_types=("Gollum", "CommitComment", "Member"),
+            whatif_types=(("watch", "Watch"), ("fork", "Fork"), ("comment", "IssueComment")),
+            lifetime_end=dt.datetime(year, 6, 1, 23, 59, 59),
+        )
+        fields.update(overrides)
+        return cls(**fields)
+
+
+# The 14 GitHub event types counted per user by the reference
+# (column ``<type>_count``; e.g. ``Push_count`` for PushEvent rows once the
+# ``Event`` suffix is stripped from the type).
+GITHUB_EVENT_TYPES = ("CommitComment", "Create", "Delete", "Fork", "Gollum", "IssueComment",
+                      "Issues", "Member", "Public", "PullRequest", "PullRequestReviewComment",
+                      "Push", "Release", "Watch")
+
 
 DEFAULT_SPEC = ChurnSpec()

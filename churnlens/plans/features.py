@@ -52,7 +52,8 @@ def feature_table(churn: DataFrame, spec: ChurnSpec = DEFAULT_SPEC,
 def feature_columns(df: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> list[str]:
     """P10: int/double columns minus the exclusion list and binarised types,
     then the binarised substitutes (order of the schema)."""
-    dropped = set(EXCLUDED_FEATURES) | {f"{t}_count" for t in spec.binarised_types}
+    dropped = (set(EXCLUDED_FEATURES) | {f"{t}_count" for t in spec.binarised_types}
+               | {f"{t}_count" for t in spec.dropped_types})
     bins = [f"{t}_count_bin" for t in spec.binarised_types]
     picked = [f.name for f in df.schema.fields
               if isinstance(f.dataType, (T.IntegerType, T.DoubleType))

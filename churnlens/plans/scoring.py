@@ -64,22 +64,19 @@ def probability_histogram(scored: DataFrame, contributors: DataFrame, bins: int
 
 # ------------------------------------------------------------------ what-if
 
-def whatif_fields(segment: str, has_blog: bool) -> list[str]:
+def whatif_fields(segment: str, has_blog: bool, spec: ChurnSpec = DEFAULT_SPEC) -> list[str]:
     """B5 pinned: the three fields nudged per segment, by blog presence."""
+    watch, fork, comment = (spec.whatif_column(r) for r in ("watch", "fork", "comment"))
     if segment == "company":
-        return ["click_count", "followers_count", "purchase_count"]
+        return [watch, "followers_count", fork]
     if segment == "low":
-        return (["following_count", "followers_count", "view_count"] if has_blog
-                else ["blog", "followers_count", "view_count"])
-    return (["click_count", "followers_count", "purchase_count"] if has_blog
-            else ["click_count", "blog", "followers_count"])
+        return (["following_count", "followers_count", comment] if has_blog
+                else ["blog", "followers_count", comment])
+    return ([watch, "followers_count", fork] if has_blog
+            else [watch, "blog", "followers_count"])
 
 
-_ALL_FIELDS = ("click_count", "followers_count", "purchase_count", "following_count",
-               "view_count", "blog")
-
-
-def scenarios(churn_with_segment: DataFrame) -> DataFrame:
+def scenarios(churn_with_segment: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:
     """Explode each user into 5 scenario rows: nochange, +1 on each of the
     three fields of its segment, and +1 on all three (B7: +1 on the RAW value,
     ``blog`` set to 1)."""
@@ -89,7 +86,7 @@ def scenarios(churn_with_segment: DataFrame) -> DataFrame:
 
     def fields_expr(i: int):
         def pick(segment, blog):
-            return F.lit(whatif_fields(segment, blog)[i])
+            return F.lit(whatif_fields(segment, blog, spec)[i])
         return (F.when(seg == "company", pick("company", True))
                 .when((seg == "low") & has_blog, pick("low", True))
                 .when(seg == "low", pick("low", False))
@@ -102,8 +99,9 @@ def scenarios(churn_with_segment: DataFrame) -> DataFrame:
         F.struct(F.lit("all").alias("change"), F.array(*f).alias("bump")),
     )
     ex = df.withColumn("__s", F.explode(scen))
+    typed = [spec.whatif_column(r) for r in ("watch", "fork", "comment")]
     bumped = {}
-    for c in _ALL_FIELDS:
+    for c in ["followers_count", "following_count", "blog", *typed]:
         hit = F.array_contains(F.col("__s.bump"), c)
         if c == "blog":
             bumped[c] = F.when(hit, F.lit(1)).otherwise(F.col(c))
@@ -111,8 +109,7 @@ def scenarios(churn_with_segment: DataFrame) -> DataFrame:
             bumped[c] = F.when(hit, F.col(c) + 1).otherwise(F.col(c))
     if "frequency" in df.columns:
         # frequency is the row sum of the type counts: keep it consistent
-        extra = sum(F.array_contains(F.col("__s.bump"), c).cast("int")
-                    for c in ("click_count", "purchase_count", "view_count"))
+        extra = sum(F.array_contains(F.col("__s.bump"), c).cast("int") for c in typed)
         bumped["frequency"] = F.col("frequency") + extra
     return ex.withColumns(bumped).withColumn("change", F.col("__s.change")).drop("__s")
 
@@ -126,7 +123,7 @@ def whatif_scores(models: Mapping[str, PipelineModel], segment_model: PipelineMo
     """
     base = assign_segments(segment_model, feature_table(churn, spec)).select("login", "segment")
     raw = churn.join(base, "login")
-    rows = scenarios(raw)
+    rows = scenarios(raw, spec)
     feats = feature_table(rows, spec)
     return score_by_segment(models, feats, keep=("login", "change"))
 

@@ -110,3 +110,23 @@ def test_cross_validation_grids(spark, trained):
     assert len(metrics) == 12 and isinstance(best, PipelineModel)
     _, one = mdl.cross_validate(train, trained.features, grid="none", folds=2)
     assert len(one) == 1 and 0.0 <= one[0] <= 1.0
+
+
+def test_api_end_to_end(spark, scratch):
+    from churnlens import api
+    from churnlens.config import ChurnSpec
+    from churnlens.sources.tables import stored_user_profiles
+    churn = api.build_churn_table(spark, stored_user_profiles(spark, SF_MID), event_log(spark, SF_MID))
+    tm = api.train(spark, churn)
+    tm.save(f"{scratch}/models")
+    back = api.TrainedModels.load(f"{scratch}/models", tm.features)
+    scored = api.score(back, churn)
+    assert scored.count() == churn.count()
+    top, hist = api.repo_report(scored, repo_contributors(spark, SF_MID), "Brand#13")
+    assert 0 < top.count() <= 25 and hist.count() == 10
+    login = churn.select("login").orderBy("login").first().login
+    w = api.user_whatif(back, churn, login)
+    assert w.count() == 5
+    spec = ChurnSpec.for_year(2016)
+    assert spec.outlier_limit == 200 and ChurnSpec.for_year(2017).outlier_limit == 600
+    assert len(spec.count_columns) == 14 and spec.count_columns[0] == "CommitComment_count"
