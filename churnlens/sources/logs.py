@@ -13,3 +13,20 @@ def orders_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("actor"), F.col("o_orderstatus").alias("type"),
         F.col("o_orderdate").alias("created_at"), F.lit(True).alias("public"))
+
+
+def archive_event_log(raw: DataFrame) -> DataFrame:
+    """The GitHub archive's event schema (type, public, repo{name},
+    actor{login}, created_at, payload JSON) as the canonical event log.
+
+    ``type`` loses its ``Event`` suffix so it matches ``ChurnSpec.for_year``'s
+    type names (``PushEvent`` -> ``Push`` -> column ``Push_count``).
+    """
+    return raw.select(
+        F.col("actor.login").alias("actor"),
+        F.regexp_replace("type", "Event$", "").alias("type"),
+        F.col("created_at").alias("created_at"),
+        F.col("payload").alias("payload"),
+        F.col("public").alias("public"),
+        F.col("repo.name").alias("repo"),
+    )

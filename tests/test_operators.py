@@ -268,3 +268,19 @@ def event_log_small(spark):
     from churnlens.sources.tables import event_log
     from tests.conftest import SF_SMALL
     return event_log(spark, SF_SMALL)
+
+
+def test_archive_event_log_with_yearly_spec(spark):
+    from churnlens.sources.logs import archive_event_log
+    raw = spark.createDataFrame(
+        [("PushEvent", True, ("a/b",), ("alice",), dt.datetime(2016, 2, 1), '{"action": "x"}'),
+         ("WatchEvent", True, ("a/b",), ("alice",), dt.datetime(2016, 7, 1), None),
+         ("PushEvent", False, ("c/d",), ("bob",), dt.datetime(2016, 3, 1), None)],
+        "type string, public boolean, repo struct<name:string>, actor struct<login:string>, "
+        "created_at timestamp, payload string")
+    spec = ChurnSpec.for_year(2016)
+    ev = archive_event_log(raw)
+    p = {r.actor: r for r in act.activity_profile(ev, *spec.first_period, spec=spec, public_only=True).collect()}
+    assert set(p) == {"alice"} and p["alice"].Push_count == 1 and p["alice"].Watch_count == 0
+    two = {r.actor: r for r in act.two_period_profile(ev, spec).collect()}
+    assert two["alice"].second_period_event_count == 1
