@@ -772,6 +772,34 @@ pa AS (SELECT login, second_period_event_count,
        FROM summ)"""
 
 
+def _hist_sql(src: str, col: str, bins: int) -> str:
+    return f"""SELECT '{col}' AS "column", bins.bin, round(lo + bins.bin * ((hi - lo) / {bins}), 6) AS lower,
+       round(lo + (bins.bin + 1) * ((hi - lo) / {bins}), 6) AS upper, coalesce(n, 0) AS count
+FROM (SELECT CAST(range AS INTEGER) AS bin FROM range({bins})) bins
+CROSS JOIN (SELECT CAST(min({col}) AS DOUBLE) AS lo,
+                   CASE WHEN max({col}) = min({col}) THEN CAST(min({col}) AS DOUBLE) + 1
+                        ELSE CAST(max({col}) AS DOUBLE) END AS hi FROM {src}) rng
+LEFT JOIN (SELECT CAST(least(floor(({col} - r.lo) / ((r.hi - r.lo) / {bins})), {bins - 1}) AS INTEGER) AS bin,
+                  count(*) AS n
+           FROM {src}, (SELECT CAST(min({col}) AS DOUBLE) AS lo,
+                          CASE WHEN max({col}) = min({col}) THEN CAST(min({col}) AS DOUBLE) + 1
+                               ELSE CAST(max({col}) AS DOUBLE) END AS hi FROM {src}) r
+           GROUP BY 1) b ON bins.bin = b.bin"""
+
+
+_LT_HIST_COLS = ("frequency", "recency", "T")
+
+
+@q("a9_lifetime_histograms", _LIFETIME_CTES + "\n" + "\nUNION ALL\n".join(
+    _hist_sql("summ", c, 20) for c in _LT_HIST_COLS))
+def a9_lifetime_histograms(spark, sf):
+    summ = _lifetime_summary(spark, sf).checkpoint(eager=True)
+    parts = [stats.histogram(summ, c, 20).select(F.lit(c).alias("column"), "bin", _r("lower").alias("lower"),
+                                                 _r("upper").alias("upper"), "count")
+             for c in _LT_HIST_COLS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @q("o8_seeded_shuffle", _LIFETIME_CTES + "\nSELECT login, frequency FROM summ")
 def o8_seeded_shuffle(spark, sf):
     """Seeded total order of the lifetime table (rows compared, not order)."""
