@@ -487,10 +487,24 @@ def a7_summary_stats(spark, sf):
 _A8_COLS = ["frequency", "recency", "followers_count", "following_count", "click_count"]
 
 
-@q("a7_summary_quartiles")
+def _quartiles_sql(c: str) -> str:
+    # percentile_approx returns the smallest value whose cumulative count
+    # reaches p * n; exact while n is below the sketch accuracy (10,000).
+    ranked = (f"(SELECT {c} AS v, row_number() OVER (ORDER BY {c}) AS rn, count(*) OVER () AS n "
+              f"FROM churn WHERE {c} IS NOT NULL)")
+    q = ", ".join(f"CAST(max(CASE WHEN rn = CAST(ceil({p} * n) AS BIGINT) THEN v END) AS DOUBLE) AS p{int(p * 100)}"
+                  for p in (0.25, 0.5, 0.75))
+    return (f"SELECT '{c}' AS \"column\", count(v) AS count, round(avg(v), 6) AS mean, "
+            f"round(stddev_samp(v), 6) AS stddev, CAST(min(v) AS DOUBLE) AS min, "
+            f"CAST(max(v) AS DOUBLE) AS max, {q} FROM {ranked} t")
+
+
+@q("a7_summary_quartiles", CHURN + "\n" + "\nUNION ALL\n".join(_quartiles_sql(c) for c in _A7_COLS))
 def a7_summary_quartiles(spark, sf):
     """A7 with approximate quartiles (bounded memory at any scale)."""
-    return stats.summary_stats(_churn(spark, sf), _A7_COLS, quartiles=True)
+    s = stats.summary_stats(_churn(spark, sf), _A7_COLS, quartiles=True)
+    return s.select("column", "count", _r("mean").alias("mean"), _r("stddev").alias("stddev"), "min", "max",
+                    "p25", "p50", "p75")
 
 
 @q("a8_correlation_pairs", CHURN + "\n" + "\nUNION ALL\n".join(
