@@ -808,10 +808,8 @@ _LT_HIST_COLS = ("frequency", "recency", "T")
     _hist_sql("summ", c, 20) for c in _LT_HIST_COLS))
 def a9_lifetime_histograms(spark, sf):
     summ = _lifetime_summary(spark, sf).checkpoint(eager=True)
-    parts = [stats.histogram(summ, c, 20).select(F.lit(c).alias("column"), "bin", _r("lower").alias("lower"),
-                                                 _r("upper").alias("upper"), "count")
-             for c in _LT_HIST_COLS]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    h = stats.histograms(summ, list(_LT_HIST_COLS), 20)
+    return h.select("column", "bin", _r("lower").alias("lower"), _r("upper").alias("upper"), "count")
 
 
 @q("o8_seeded_shuffle", _LIFETIME_CTES + "\nSELECT login, frequency FROM summ")

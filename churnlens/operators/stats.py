@@ -97,6 +97,39 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     return fixed_histogram(df, col, bins, lo, hi)
 
 
+def histograms(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
+    """A9 for several columns at once (``df.hist()``): one aggregation for all
+    ranges, one grouped count over (column, bin), empty bins 0.
+
+    Each row contributes one (column, bin) pair per column via ``inline`` of
+    a fixed-size array, so the shuffle carries at most columns x bins partial
+    rows per map task.
+    """
+    rng = df.agg(*[F.min(F.col(c).cast("double")).alias(f"lo{i}") for i, c in enumerate(cols)],
+                 *[F.max(F.col(c).cast("double")).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
+    bounds = []
+    for i, _ in enumerate(cols):
+        lo, hi = rng[f"lo{i}"], rng[f"hi{i}"]
+        lo = 0.0 if lo is None else float(lo)
+        hi = lo + 1.0 if hi is None or float(hi) == lo else float(hi)
+        bounds.append((lo, hi, (hi - lo) / bins))
+    pairs = F.array(*[
+        F.struct(F.lit(c).alias("column"),
+                 F.least(F.floor((F.col(c).cast("double") - F.lit(lo)) / F.lit(w)), F.lit(bins - 1))
+                 .cast("int").alias("bin"))
+        for c, (lo, hi, w) in zip(cols, bounds)])
+    counts = (df.select(F.inline(pairs)).where(F.col("bin").isNotNull())
+              .groupBy("column").agg(F.array(*[F.count(F.when(F.col("bin") == b, 1)) for b in range(bins)])
+                                     .alias("__c")))
+    edges = F.create_map(*[x for c, (lo, hi, w) in zip(cols, bounds) for x in (F.lit(c), F.array(
+        F.lit(lo), F.lit(w)))])
+    out = counts.select("column", F.posexplode("__c").alias("bin", "count"))
+    e = edges[F.col("column")]
+    return out.select("column", F.col("bin").cast("int").alias("bin"),
+                      (e[0] + F.col("bin") * e[1]).alias("lower"),
+                      (e[0] + (F.col("bin") + 1) * e[1]).alias("upper"), "count")
+
+
 def histogram_2d(df: DataFrame, x: str | Column, y: str | Column, x_range: tuple[float, float],
                  y_range: tuple[float, float], bins: int = 20) -> DataFrame:
     """2-D binned density (non-empty cells only)."""

@@ -284,3 +284,13 @@ def test_archive_event_log_with_yearly_spec(spark):
     assert set(p) == {"alice"} and p["alice"].Push_count == 1 and p["alice"].Watch_count == 0
     two = {r.actor: r for r in act.two_period_profile(ev, spec).collect()}
     assert two["alice"].second_period_event_count == 1
+
+
+def test_multi_histogram_matches_single(spark):
+    df = spark.createDataFrame([(float(i), float(i * i % 7), None if i % 5 == 0 else float(i % 3))
+                                for i in range(40)], "a double, b double, c double")
+    multi = {(r.column, r.bin): (r["count"], round(r.lower, 9)) for r in stats.histograms(df, ["a", "b", "c"], 6).collect()}
+    for c in ("a", "b", "c"):
+        for r in stats.histogram(df, c, 6).collect():
+            assert multi[(c, r.bin)] == (r["count"], round(r.lower, 9))
+    assert len(multi) == 18
