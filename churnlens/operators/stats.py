@@ -115,7 +115,9 @@ def histograms(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
         bounds.append((lo, hi, (hi - lo) / bins))
     pairs = F.array(*[
         F.struct(F.lit(c).alias("column"),
-                 F.least(F.floor((F.col(c).cast("double") - F.lit(lo)) / F.lit(w)), F.lit(bins - 1))
+                 # least() skips nulls: guard so a null value gets no bin
+                 F.when(F.col(c).isNotNull(),
+                        F.least(F.floor((F.col(c).cast("double") - F.lit(lo)) / F.lit(w)), F.lit(bins - 1)))
                  .cast("int").alias("bin"))
         for c, (lo, hi, w) in zip(cols, bounds)])
     counts = (df.select(F.inline(pairs)).where(F.col("bin").isNotNull())

@@ -55,7 +55,8 @@ def probability_histogram(scored: DataFrame, contributors: DataFrame, bins: int
     right-closed, empty bins 0 — one grouped aggregation of conditional
     counts, exploded to rows (no cross join with a bin table)."""
     j = contributors.join(scored, "login")
-    b = F.least(F.floor(F.col("p_active") * bins), F.lit(bins - 1)).cast("int")
+    p = F.col("p_active")
+    b = F.when(p.between(0.0, 1.0), F.least(F.floor(p * bins), F.lit(bins - 1))).cast("int")
     counts = F.array(*[F.count(F.when(b == i, 1)) for i in range(bins)])
     per_repo = j.groupBy("repo").agg(counts.alias("__c"))
     return per_repo.select("repo", F.posexplode("__c").alias("bin", "count")).select(
