@@ -1,8 +1,11 @@
 """Special functions for the lifetime model.
 
 ``lgamma`` and ``digamma`` are plain column expressions (shift by 8, then the
-asymptotic series), so the BG/NBD likelihood and its gradient run as JVM-side
-aggregations with no Python worker.  ``hyp2f1`` is the one vectorised
+asymptotic series) for evaluating the BG/NBD likelihood of fixed parameters
+inside whole-stage codegen; ``lgamma_np``/``digamma_np`` are the same
+formulas in numpy, used by the fit per partition (an optimiser step changes
+the parameters, and literals in a column expression would force new
+generated code every step).  ``hyp2f1`` is the one vectorised
 ``pandas_udf``: the Gauss series has a data-dependent number of terms.
 """
 
