@@ -24,7 +24,7 @@ from churnlens.operators.ranking import top_k, top_k_per_group
 from churnlens.operators.sampling import (class_weights, hash_split, key_uniform, next_batch,
                                           seeded_shuffle, undersample_majority)
 from churnlens.plans.features import feature_columns, feature_table
-from churnlens.plans.lifetime import BGNBDParams, lifetime_summary, p_alive
+from churnlens.plans.lifetime import BGNBDParams, lifetime_summary, log_likelihood, p_alive
 from churnlens.plans.models import auc
 from churnlens import sql_twins as sq
 from churnlens.sources.logs import orders_log
@@ -818,6 +818,27 @@ def o8_seeded_shuffle(spark, sf):
     return seeded_shuffle(_lifetime_summary(spark, sf), "login", seed=0).select("login", "frequency")
 
 
+_LL_SQL = _LIFETIME_CTES + f""",
+ll AS (SELECT login,
+         lgamma({_PA.r} + frequency) - lgamma({_PA.r}) + {_PA.r} * ln({_PA.alpha})
+         + lgamma({_PA.a} + {_PA.b}) + lgamma({_PA.b} + frequency) - lgamma({_PA.b})
+         - lgamma({_PA.a} + {_PA.b} + frequency) AS base,
+         -({_PA.r} + frequency) * ln({_PA.alpha} + T) AS a3,
+         CASE WHEN frequency > 0 THEN ln({_PA.a}) - ln({_PA.b} + frequency - 1)
+              - ({_PA.r} + frequency) * ln({_PA.alpha} + recency) END AS a4
+       FROM summ)
+SELECT login, round(base + CASE WHEN a4 IS NULL THEN a3
+                                WHEN a4 > a3 THEN a4 + ln(1 + exp(a3 - a4))
+                                ELSE a3 + ln(1 + exp(a4 - a3)) END, 6) AS log_lik
+FROM ll"""
+
+
+@q("m20_log_likelihood_fixed", _LL_SQL)
+def m20_log_likelihood_fixed(spark, sf):
+    s = _lifetime_summary(spark, sf)
+    return s.select("login", _r(log_likelihood(FIXED_BGNBD)).alias("log_lik"))
+
+
 @q("m22_p_alive_fixed", _PALIVE_SQL + "\nSELECT login, round(p, 6) AS probability_alive, p > 0.5 AS alive FROM pa")
 def m22_p_alive_fixed(spark, sf):
     s = _lifetime_summary(spark, sf)

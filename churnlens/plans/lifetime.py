@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from churnlens.functions.columns import frac_days
-from churnlens.functions.special import digamma_np, hyp2f1_np, lgamma_np
+from churnlens.functions.special import digamma_np, hyp2f1_np, lgamma, lgamma_np
 
 
 # ------------------------------------------------------------------ summary
@@ -262,6 +262,21 @@ def p_alive(params: BGNBDParams, x: str = "frequency", tx: str = "recency", T: s
     return F.when(xc > 0, F.lit(1.0) / (F.lit(1.0) + odds)).otherwise(F.lit(1.0))
 
 
+def log_likelihood(params: BGNBDParams, x: str = "frequency", tx: str = "recency",
+                   T: str = "T") -> Column:
+    """Per-customer BG/NBD log-likelihood at fixed parameters (column
+    expression, codegen'd; model diagnostics and the exactness check of the
+    column ``lgamma``)."""
+    r, al, a, b = (F.lit(float(v)) for v in (params.r, params.alpha, params.a, params.b))
+    xc, txc, Tc = F.col(x).cast("double"), F.col(tx).cast("double"), F.col(T).cast("double")
+    a3 = -(r + xc) * F.log(al + Tc)
+    a4 = F.log(a) - F.log(b + xc - 1) - (r + xc) * F.log(al + txc)
+    mix = F.when(xc > 0, F.when(a4 > a3, a4 + F.log1p(F.exp(a3 - a4)))
+                 .otherwise(a3 + F.log1p(F.exp(a4 - a3)))).otherwise(a3)
+    return (lgamma(r + xc) - lgamma(r) + r * F.log(al)
+            + lgamma(a + b) + lgamma(b + xc) - lgamma(b) - lgamma(a + b + xc) + mix)
+
+
 def expected_purchases_np(t: float, r: float, al: float, a: float, b: float,
                           x, tx, T) -> np.ndarray:
     """E[X(t) | x, t_x, T] via the Gauss series (numpy, vectorised)."""

@@ -169,3 +169,13 @@ def test_lifetime_summary_cleaning(spark):
     assert set(out) == {1, 2, 4}
     assert out[2].recency == 0.0 and out[4].frequency == 0.0 and out[4].recency == 0.0
     assert out[1].recency == pytest.approx(425 / 7) and out[1].T == pytest.approx(518 / 7)
+
+
+@pytest.mark.parametrize("params", PARAMS)
+def test_log_likelihood_column_matches_numpy(spark, params):
+    from churnlens.plans.lifetime import log_likelihood
+    df = spark.createDataFrame([(float(x), tx, T) for x, tx, T in CASES],
+                               "frequency double, recency double, T double")
+    got = [r.ll for r in df.select(log_likelihood(BGNBDParams(*params)).alias("ll")).collect()]
+    want, _ = bgnbd_terms(params, *map(np.array, zip(*CASES)))
+    assert np.allclose(got, want, atol=1e-9)
