@@ -905,14 +905,21 @@ def m9_m15_segment_scores(spark, sf):
 
 @q("m10_weighted_lr_scores")
 def m10_weighted_lr_scores(spark, sf):
+    """Per segment: class weights from that segment's balance, weighted LR
+    (maxIter 150, threshold 0.6) on a 70 % key-hash split, metrics on the rest."""
+    from churnlens.plans.models import SEGMENTS
     _, data = cached_segmented_features(spark, sf, SPEC)
     feats = feature_columns(data, SPEC)
-    weighted = class_weights(data, "label")
-    train, test = hash_split(weighted, "login", 0.7, 2018)
-    model = mdl.fit_classifier(train, feats, mdl.logistic(max_iter=150, weight_col="class_weight",
-                                                          threshold=0.6))
-    scored = model.transform(test)
-    return stats.confusion_metrics(scored, "prediction", "label")
+    out = None
+    for seg in SEGMENTS:
+        part = class_weights(data.where(F.col("segment") == seg), "label")
+        train, test = hash_split(part, "login", 0.7, 2018)
+        model = mdl.fit_classifier(train, feats, mdl.logistic(max_iter=150, weight_col="class_weight",
+                                                              threshold=0.6))
+        m = stats.confusion_metrics(model.transform(test), "prediction", "label").withColumn(
+            "segment", F.lit(seg))
+        out = m if out is None else out.unionByName(m)
+    return out
 
 
 @q("m11_gbt_scores")
