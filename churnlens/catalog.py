@@ -514,6 +514,22 @@ def a8_correlation_pairs(spark, sf):
     return stats.correlation_pairs(_churn(spark, sf), _A8_COLS).select("c1", "c2", _r("r").alias("r"))
 
 
+# Numeric columns of the churn table (schema order), key excluded.
+_A8_ALL = [c for c in sq.churn_column_names(SPEC)
+           if c not in ("login", "created_at", "updated_at", "last_event", "first_event")]
+
+
+@q("a8_correlation_all_numeric", CHURN + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS c1, '{b}' AS c2, CASE WHEN stddev_samp({a}) > 0 AND stddev_samp({b}) > 0 "
+    f"THEN round(corr({a}, {b}), 6) END AS r FROM churn"
+    for i, a in enumerate(_A8_ALL) for b in _A8_ALL[i + 1:]))
+def a8_correlation_all_numeric(spark, sf):
+    c = _churn(spark, sf)
+    cols = stats.numeric_columns(c, exclude=["login"])
+    assert cols == _A8_ALL, cols
+    return stats.correlation_pairs(c, cols).select("c1", "c2", _r("r").alias("r"))
+
+
 @q("a9_histogram", CHURN + """,
 rng AS (SELECT CAST(min(frequency) AS DOUBLE) AS lo, CAST(max(frequency) AS DOUBLE) AS hi FROM churn),
 b AS (SELECT CAST(least(floor((frequency - lo) / ((hi - lo) / 30)), 29) AS INTEGER) AS bin, count(*) AS n

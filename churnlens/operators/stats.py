@@ -51,16 +51,30 @@ def summary_stats(df: DataFrame, cols: Sequence[str], quartiles: bool = False,
     return wide.select(F.inline(F.array(*rows)))
 
 
+def pearson(a: str | Column, b: str | Column) -> Column:
+    """Pearson r over the rows where both are present; null (not an ANSI
+    division error, as ``corr`` raises) when either side has no variance."""
+    x, y = _c(a).cast("double"), _c(b).cast("double")
+    x2, y2 = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_samp(x2, y2), F.stddev_samp(x2) * F.stddev_samp(y2))
+
+
 def correlation_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson r for every pair c1 < c2 (upper triangle), one scan."""
     pairs = list(itertools.combinations(cols, 2))
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}")
-                    for i, (a, b) in enumerate(pairs)])
+    wide = df.agg(*[pearson(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     return wide.select(F.inline(F.array(*[
         F.struct(F.lit(a).alias("c1"), F.lit(b).alias("c2"), F.col(f"r{i}").alias("r"))
         for i, (a, b) in enumerate(pairs)])))
 
 
+def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
+    """Columns of numeric type (int/long/double/...), schema order."""
+    from pyspark.sql.types import NumericType
+    return [f.name for f in df.schema.fields
+            if isinstance(f.dataType, NumericType) and f.name not in set(exclude)]
+
+
 def _bins_frame(spark: SparkSession, n: int) -> DataFrame:
     return spark.range(n).select(F.col("id").cast("int").alias("bin"))
 
@@ -150,7 +164,7 @@ def mean_se_by_group(df: DataFrame, group: str | Column, value: str | Column) ->
     v = _c(value).cast("double")
     return df.groupBy(_c(group).alias("group")).agg(
         F.count(v).alias("n"), F.avg(v).alias("mean"),
-        (F.stddev_samp(v) / F.sqrt(F.count(v))).alias("se"))
+        F.try_divide(F.stddev_samp(v), F.sqrt(F.count(v))).alias("se"))
 
 
 def churn_rate(df: DataFrame, by: Sequence[str | Column] = (),
@@ -183,7 +197,7 @@ def confusion_metrics(df: DataFrame, prediction: str | Column = "prediction",
 def pearson_rmse(df: DataFrame, predicted: str | Column, actual: str | Column) -> DataFrame:
     """Pearson r and RMSE of predicted vs actual."""
     a, b = _c(predicted).cast("double"), _c(actual).cast("double")
-    return df.agg(F.corr(a, b).alias("pearson_r"),
+    return df.agg(pearson(a, b).alias("pearson_r"),
                   F.sqrt(F.avg(F.pow(a - b, 2))).alias("rmse"), F.count(F.lit(1)).alias("n"))
 
 

@@ -111,3 +111,9 @@ def churn_ctes(spec: ChurnSpec = DEFAULT_SPEC, prefix: str = "", source: str = "
 def churn_cte(spec: ChurnSpec = DEFAULT_SPEC) -> str:
     """WITH-list ending in ``churn``: the merged table after the outlier filter."""
     return "WITH " + users_cte(spec) + "," + churn_ctes(spec)
+
+
+def churn_column_names(spec: ChurnSpec = DEFAULT_SPEC) -> list[str]:
+    """Column order of the merged churn table (mirrors ``merge.churn_columns``)."""
+    from churnlens.operators.merge import churn_columns
+    return churn_columns(spec)

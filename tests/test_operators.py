@@ -294,3 +294,17 @@ def test_multi_histogram_matches_single(spark):
         for r in stats.histogram(df, c, 6).collect():
             assert multi[(c, r.bin)] == (r["count"], round(r.lower, 9))
     assert len(multi) == 18
+
+
+def test_correlation_constant_column_is_null_not_error(spark):
+    df = spark.createDataFrame([(1.0, 0, 2.0), (2.0, 0, None), (3.0, 0, 6.0), (4.0, 0, 8.0)],
+                               "a double, k int, b double")
+    r = {(x.c1, x.c2): x.r for x in stats.correlation_pairs(df, ["a", "k", "b"]).collect()}
+    assert r[("a", "k")] is None and r[("a", "b")] == pytest.approx(1.0)
+    assert stats.pearson_rmse(df, "k", "k").first().pearson_r is None
+
+
+def test_mean_se_all_null_group(spark):
+    df = spark.createDataFrame([("x", None), ("y", 1.0), ("y", 3.0)], "g string, v double")
+    r = {x.group: x for x in stats.mean_se_by_group(df, "g", "v").collect()}
+    assert r["x"].n == 0 and r["x"].se is None and r["y"].se == pytest.approx(1.0)
