@@ -51,18 +51,33 @@ def summary_stats(df: DataFrame, cols: Sequence[str], quartiles: bool = False,
     return wide.select(F.inline(F.array(*rows)))
 
 
-def pearson(a: str | Column, b: str | Column) -> Column:
+def pearson(a: str | Column, b: str | Column, a_nullable: bool = True,
+            b_nullable: bool = True) -> Column:
     """Pearson r over the rows where both are present; null (not an ANSI
-    division error, as ``corr`` raises) when either side has no variance."""
+    division error, as ``corr`` raises) when either side has no variance.
+
+    A side known to hold no nulls needs no pairwise mask on the other, which
+    lets Catalyst share its ``stddev_samp`` between all pairs of one ``agg``.
+    """
     x, y = _c(a).cast("double"), _c(b).cast("double")
-    x2, y2 = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    x2 = F.when(y.isNotNull(), x) if b_nullable else x
+    y2 = F.when(x.isNotNull(), y) if a_nullable else y
     return F.try_divide(F.covar_samp(x2, y2), F.stddev_samp(x2) * F.stddev_samp(y2))
 
 
 def correlation_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson r for every pair c1 < c2 (upper triangle), one scan."""
+    """Pearson r for every pair c1 < c2 (upper triangle).
+
+    One small aggregation finds the columns holding nulls, then one scan
+    computes every pair; per-column moments are shared between pairs
+    wherever no pairwise mask is needed.
+    """
     pairs = list(itertools.combinations(cols, 2))
-    wide = df.agg(*[pearson(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    nulls = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(f"n{i}")
+                     for i, c in enumerate(cols)]).first()
+    nullable = {c: bool(nulls[f"n{i}"]) for i, c in enumerate(cols)}
+    wide = df.agg(*[pearson(a, b, nullable[a], nullable[b]).alias(f"r{i}")
+                    for i, (a, b) in enumerate(pairs)])
     return wide.select(F.inline(F.array(*[
         F.struct(F.lit(a).alias("c1"), F.lit(b).alias("c2"), F.col(f"r{i}").alias("r"))
         for i, (a, b) in enumerate(pairs)])))
