@@ -28,8 +28,8 @@ from churnlens.plans.lifetime import BGNBDParams, lifetime_summary, log_likeliho
 from churnlens.plans.models import auc
 from churnlens import sql_twins as sq
 from churnlens.sources.logs import orders_log
-from churnlens.sources.tables import (event_log, read_table, repo_contributors, stored_user_profiles,
-                                      user_profiles)
+from churnlens.sources.tables import (event_log, read_table, repo_contributors, stored_repo_contributors,
+                                      stored_user_profiles, user_profiles)
 
 SPEC = DEFAULT_SPEC
 # Later analysis window on the orders log (two halves of 1997) for lifetime value.
@@ -113,6 +113,7 @@ def s6_multi_year_scan(spark, sf):
    "FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey "
    "GROUP BY p_brand, o_custkey")
 def s9_repo_contributors(spark, sf):
+    """The contributor build itself (always computed from the source tables)."""
     return repo_contributors(spark, sf)
 
 
@@ -426,7 +427,7 @@ FROM contrib c LEFT JOIN first_period f ON c.login = f.actor LEFT JOIN profiles
 
 @q("m23_repo_contrib_history", _M23_SQL)
 def m23_repo_contrib_history(spark, sf):
-    contrib = repo_contributors(spark, sf)
+    contrib = stored_repo_contributors(spark, sf)
     first = act.activity_profile(_ev(spark, sf), *SPEC.first_period, spec=SPEC)
     users = stored_user_profiles(spark, sf).select("login", "followers_count", "following_count", "created_at")
     j = contrib.join(first, contrib.login == first.actor, "left").drop("actor")
@@ -452,7 +453,7 @@ SELECT c.repo, c.login, c.repo_contributions_count,
        coalesce(p.followers_count, 0) AS followers_count, coalesce(p.following_count, 0) AS following_count
 FROM contrib c LEFT JOIN first_period f ON c.login = f.actor LEFT JOIN profiles p ON c.login = p.login""")
 def p11_p12_p15_serving_fill(spark, sf):
-    contrib = repo_contributors(spark, sf)
+    contrib = stored_repo_contributors(spark, sf)
     first = act.activity_profile(_ev(spark, sf), *SPEC.first_period, spec=SPEC)
     users = stored_user_profiles(spark, sf).select("login", "followers_count", "following_count")
     j = (contrib.join(first, contrib.login == first.actor, "left").drop("actor")
@@ -657,7 +658,7 @@ ranked AS (
 SELECT repo, CAST(rank AS INTEGER) AS rank, login, round(p, 6) AS p_active FROM ranked WHERE rank <= 25""")
 def o1_at_risk_ranking(spark, sf):
     c = _churn(spark, sf).select("login", _score_col().alias("p"))
-    contrib = repo_contributors(spark, sf).select("repo", "login")
+    contrib = stored_repo_contributors(spark, sf).select("repo", "login")
     j = contrib.join(c, "login")
     top = top_k_per_group(j, ["repo"], [F.col("p").asc(), F.col("login").asc()], 25, salt_key="login")
     return top.select("repo", "rank", "login", _r("p").alias("p_active"))
@@ -999,7 +1000,7 @@ def m14_weighted_cross_validation(spark, sf):
 
 
 def _contributors(spark, sf):
-    return repo_contributors(spark, sf)
+    return stored_repo_contributors(spark, sf)
 
 
 @q("m16_repo_at_risk")

@@ -170,6 +170,20 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 _STORED: dict = {}
 
 
+def _stored(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
+    """Write ``build()`` once per session under the shared checkpoint folder
+    and read it back (S4: reload the saved table)."""
+    from churnlens.session import checkpoint_dir
+    key = (spark.sparkContext.applicationId, id(spark.sparkContext), name, sf_dir)
+    df = build()
+    if key not in _STORED:
+        import uuid
+        path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        df.write.mode("overwrite").parquet(path)
+        _STORED[key] = path
+    return spark.read.schema(df.schema).parquet(_STORED[key])
+
+
 def stored_user_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S10 as a stored table: built once per session, written to the shared
     checkpoint folder, then read by every analysis.
@@ -177,12 +191,9 @@ def stored_user_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     Mirrors the reference's flow (profiles fetched once, saved, read by each
     notebook) and cuts the line-item aggregation out of every later plan.
     """
-    from churnlens.session import checkpoint_dir
-    key = (spark.sparkContext.applicationId, id(spark.sparkContext), sf_dir)
-    if key not in _STORED:
-        import uuid
-        path = f"{checkpoint_dir(spark).rstrip('/')}/user-profiles-{uuid.uuid4().hex}"
-        user_profiles(spark, sf_dir).write.mode("overwrite").parquet(path)
-        _STORED[key] = path
-    prof = user_profiles(spark, sf_dir)
-    return spark.read.schema(prof.schema).parquet(_STORED[key])
+    return _stored(spark, "user-profiles", sf_dir, lambda: user_profiles(spark, sf_dir))
+
+
+def stored_repo_contributors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S9 + S4: the contributor table saved once and reloaded by the reports."""
+    return _stored(spark, "repo-contributors", sf_dir, lambda: repo_contributors(spark, sf_dir))
