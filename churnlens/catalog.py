@@ -1074,3 +1074,24 @@ def st_a2_live_activity_profile(spark, sf):
     run_profile_changelog(spark, sf, f"{base}/profiles", SPEC, checkpoint=f"{base}/ckpt",
                           file_glob="events.parquet")
     return latest_profiles(spark, f"{base}/profiles", SPEC)
+
+
+@q("a16_a17_clv_prediction_quality")
+def a16_a17_clv_prediction_quality(spark, sf):
+    """With the fitted BG/NBD model, in one aggregation: Pearson r and RMSE of
+    predicted purchases over the horizon vs the actual later count (A17), and
+    the alive-vs-returned confusion counts with precision/recall (A16)."""
+    summ = _lifetime_summary(spark, sf)
+    scored = score_lifetime(summ, _bgnbd(spark, sf), SPEC.horizon_weeks)
+    pred, act_ = F.col("predicted_purchases"), F.col("second_period_event_count").cast("double")
+    alive, returned = F.col("alive"), act_ > 0
+    row = scored.agg(
+        stats.pearson(pred, act_).alias("pearson_r"),
+        F.sqrt(F.avg(F.pow(pred - act_, 2))).alias("rmse"),
+        F.count(F.when(alive & returned, 1)).alias("tp"),
+        F.count(F.when(~alive & returned, 1)).alias("fn"),
+        F.count(F.when(alive & ~returned, 1)).alias("fp"),
+        F.count(F.when(~alive & ~returned, 1)).alias("tn"))
+    tp, fn, fp = (F.col(c).cast("double") for c in ("tp", "fn", "fp"))
+    return row.select("*", F.try_divide(tp, tp + fp).alias("precision"),
+                      F.try_divide(tp, tp + fn).alias("recall"))
