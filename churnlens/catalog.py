@@ -856,6 +856,39 @@ def m20_log_likelihood_fixed(spark, sf):
     return s.select("login", _r(log_likelihood(FIXED_BGNBD)).alias("log_lik"))
 
 
+_EP_TERMS = 600   # series terms in the twin (z <= 22/26 here: converged far earlier)
+_EP_SQL = "WITH RECURSIVE " + _LIFETIME_CTES[len("WITH "):] + f""",
+ep_base AS (
+  SELECT login, frequency AS x, recency AS tx, T,
+         {SPEC.horizon_weeks} / ({_PA.alpha} + T + {SPEC.horizon_weeks}) AS z,
+         {_PA.a} + {_PA.b} - 1 - {_PA.r} AS A, {_PA.a} - 1 AS B,
+         {_PA.a} + {_PA.b} + frequency - 1 AS C
+  FROM summ),
+series(login, n, term, total) AS (
+  SELECT login, 0, CAST(1.0 AS DOUBLE), CAST(1.0 AS DOUBLE) FROM ep_base
+  UNION ALL
+  SELECT s.login, s.n + 1,
+         s.term * (b.A + s.n) * (b.B + s.n) / ((b.C + s.n) * (s.n + 1)) * b.z,
+         s.total + s.term * (b.A + s.n) * (b.B + s.n) / ((b.C + s.n) * (s.n + 1)) * b.z
+  FROM series s JOIN ep_base b ON s.login = b.login WHERE s.n < {_EP_TERMS})
+SELECT b.login,
+       round(({_PA.a} + {_PA.b} + b.x - 1) / ({_PA.a} - 1)
+             * (1 - power(1 - b.z, {_PA.a} - 1) * s.total)
+             / (1 + CASE WHEN b.x > 0 THEN {_PA.a} / ({_PA.b} + b.x - 1)
+                         * power(({_PA.alpha} + b.T) / ({_PA.alpha} + b.tx), {_PA.r} + b.x) ELSE 0 END), 6)
+         AS predicted_purchases
+FROM ep_base b JOIN series s ON s.login = b.login AND s.n = {_EP_TERMS}"""
+
+
+@q("m21_expected_purchases_fixed", _EP_SQL)
+def m21_expected_purchases_fixed(spark, sf):
+    """M21 at fixed parameters: the vectorised series checked against an
+    independent SQL summation of the same (Euler-transformed) series."""
+    from churnlens.plans.lifetime import expected_purchases
+    s = _lifetime_summary(spark, sf)
+    return s.select("login", _r(expected_purchases(FIXED_BGNBD, SPEC.horizon_weeks)).alias("predicted_purchases"))
+
+
 @q("m22_p_alive_fixed", _PALIVE_SQL + "\nSELECT login, round(p, 6) AS probability_alive, p > 0.5 AS alive FROM pa")
 def m22_p_alive_fixed(spark, sf):
     s = _lifetime_summary(spark, sf)
