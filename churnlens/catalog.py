@@ -26,6 +26,7 @@ from churnlens.operators.sampling import (class_weights, hash_split, key_uniform
 from churnlens.plans.features import feature_columns, feature_table
 from churnlens.plans.lifetime import BGNBDParams, lifetime_summary, log_likelihood, p_alive
 from churnlens.plans.models import auc
+from churnlens.plans.scoring import probability_histogram
 from churnlens import sql_twins as sq
 from churnlens.sources.logs import orders_log
 from churnlens.sources.tables import (event_log, read_table, repo_contributors, stored_repo_contributors,
@@ -664,6 +665,21 @@ def o1_at_risk_ranking(spark, sf):
     return top.select("repo", "rank", "login", _r("p").alias("p_active"))
 
 
+@q("a10_repo_probability_histogram", CHURN + f""",
+contrib AS (
+  SELECT p_brand AS repo, o_custkey AS login FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  JOIN part ON l_partkey = p_partkey GROUP BY p_brand, o_custkey),
+scored AS (SELECT c.repo, {_SCORE} AS p FROM contrib c JOIN churn u ON c.login = u.login),
+b AS (SELECT repo, CAST(least(floor(p * 10), 9) AS INTEGER) AS bin, count(*) AS n FROM scored GROUP BY 1, 2),
+bins AS (SELECT DISTINCT s.repo, CAST(r.range AS INTEGER) AS bin FROM scored s, range(10) r)
+SELECT bins.repo, bins.bin, coalesce(b.n, 0) AS count
+FROM bins LEFT JOIN b ON bins.repo = b.repo AND bins.bin = b.bin""")
+def a10_repo_probability_histogram(spark, sf):
+    """M16/A10 operator on a formula score: per repo, 10 bins on [0, 1]."""
+    scored = _churn(spark, sf).select("login", _score_col().alias("p_active"))
+    return probability_histogram(scored, stored_repo_contributors(spark, sf).select("repo", "login"), 10)
+
+
 @q("o2_top_n", CHURN + "\nSELECT login, frequency FROM churn ORDER BY frequency DESC, login LIMIT 5")
 def o2_top_n(spark, sf):
     return top_k(_churn(spark, sf), [F.desc("frequency"), F.col("login")], 5).select("login", "frequency")
