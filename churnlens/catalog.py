@@ -680,6 +680,46 @@ def a10_repo_probability_histogram(spark, sf):
     return probability_histogram(scored, stored_repo_contributors(spark, sf).select("repo", "login"), 10)
 
 
+_WHATIF_COLS = ["click_count", "view_count", "purchase_count", "followers_count", "following_count", "blog"]
+
+
+def _bump_sql(c: str) -> str:
+    if c == "blog":
+        return "CASE WHEN list_contains(bump, 'blog') THEN 1 ELSE blog END AS blog"
+    return f"CASE WHEN list_contains(bump, '{c}') THEN {c} + 1 ELSE {c} END AS {c}"
+
+
+@q("m17_whatif_scenarios", CHURN + """,
+seg AS (SELECT *, CASE WHEN company = 1 THEN 'company' WHEN frequency >= 25 THEN 'high' ELSE 'low' END AS segment
+        FROM churn),
+f AS (SELECT *,
+   CASE WHEN segment = 'company' THEN ['click_count', 'followers_count', 'purchase_count']
+        WHEN segment = 'low' AND blog = 1 THEN ['following_count', 'followers_count', 'view_count']
+        WHEN segment = 'low' THEN ['blog', 'followers_count', 'view_count']
+        WHEN blog = 1 THEN ['click_count', 'followers_count', 'purchase_count']
+        ELSE ['click_count', 'blog', 'followers_count'] END AS fs FROM seg),
+sc AS (
+  SELECT *, 'nochange' AS change, CAST([] AS VARCHAR[]) AS bump FROM f
+  UNION ALL SELECT *, fs[1], [fs[1]] FROM f
+  UNION ALL SELECT *, fs[2], [fs[2]] FROM f
+  UNION ALL SELECT *, fs[3], [fs[3]] FROM f
+  UNION ALL SELECT *, 'all', fs FROM f)
+SELECT login, segment, change, """ + ", ".join(_bump_sql(c) for c in _WHATIF_COLS) + """,
+       frequency + CAST(list_contains(bump, 'click_count') AS INTEGER)
+                 + CAST(list_contains(bump, 'purchase_count') AS INTEGER)
+                 + CAST(list_contains(bump, 'view_count') AS INTEGER) AS frequency
+FROM sc""")
+def m17_whatif_scenarios(spark, sf):
+    """B5/B7 scenario expansion (5 rows per user) with a rule-based segment,
+    so the pinned field choice and raw-value bumps are checked exactly."""
+    from churnlens.plans.scoring import scenarios
+    c = _churn(spark, sf)
+    seg = (F.when(F.col("company") == 1, F.lit("company"))
+           .when(F.col("frequency") >= 25, F.lit("high")).otherwise(F.lit("low")))
+    out = scenarios(c.withColumn("segment", seg), SPEC)
+    return out.select("login", "segment", "change", *_WHATIF_COLS, "frequency")
+
+
 @q("o2_top_n", CHURN + "\nSELECT login, frequency FROM churn ORDER BY frequency DESC, login LIMIT 5")
 def o2_top_n(spark, sf):
     return top_k(_churn(spark, sf), [F.desc("frequency"), F.col("login")], 5).select("login", "frequency")
