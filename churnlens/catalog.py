@@ -613,6 +613,34 @@ def a15_confusion_metrics(spark, sf):
     return _rounded_metrics(stats.confusion_metrics(c, pred, label))
 
 
+@q("a15_confusion_by_segment", CHURN + """,
+seg AS (SELECT CASE WHEN company = 1 THEN 'company' WHEN frequency >= 25 THEN 'high' ELSE 'low' END AS segment,
+               CASE WHEN recency > 10420 THEN 1 ELSE 0 END AS pred,
+               CASE WHEN second_period_event_count > 0 THEN 1 ELSE 0 END AS label FROM churn),
+cm AS (SELECT segment, count(CASE WHEN label = 1 AND pred = 1 THEN 1 END) AS tp,
+              count(CASE WHEN label = 1 AND pred = 0 THEN 1 END) AS fn,
+              count(CASE WHEN label = 0 AND pred = 1 THEN 1 END) AS fp,
+              count(CASE WHEN label = 0 AND pred = 0 THEN 1 END) AS tn FROM seg GROUP BY segment)
+SELECT segment, tp, fn, fp, tn,
+  round(CASE WHEN tp + fp > 0 THEN tp * 1.0 / (tp + fp) END, 6) AS precision,
+  round(CASE WHEN tp + fn > 0 THEN tp * 1.0 / (tp + fn) END, 6) AS recall,
+  round((tp + tn) * 1.0 / (tp + fp + fn + tn), 6) AS accuracy,
+  round(CASE WHEN tp > 0 THEN 2.0 * (tp * 1.0 / (tp + fp)) * (tp * 1.0 / (tp + fn))
+             / ((tp * 1.0 / (tp + fp)) + (tp * 1.0 / (tp + fn))) END, 6) AS f1
+FROM cm""")
+def a15_confusion_by_segment(spark, sf):
+    """A15 grouped by segment (the M18 path) with a rule segment and a
+    formula prediction, so it has an exact twin."""
+    c = _churn(spark, sf)
+    seg = (F.when(F.col("company") == 1, F.lit("company"))
+           .when(F.col("frequency") >= 25, F.lit("high")).otherwise(F.lit("low")))
+    df = c.select(seg.alias("segment"), (F.col("recency") > 10420).cast("int").alias("pred"),
+                  (F.col("second_period_event_count") > 0).cast("int").alias("label"))
+    m = stats.confusion_metrics(df, "pred", "label", by=["segment"])
+    return m.select("segment", "tp", "fn", "fp", "tn",
+                    *[_r(x).alias(x) for x in ("precision", "recall", "accuracy", "f1")])
+
+
 @q("a17_pearson_rmse", CHURN + """
 SELECT round(corr(frequency / 15.0, second_period_event_count), 6) AS pearson_r,
        round(sqrt(avg(power(frequency / 15.0 - second_period_event_count, 2))), 6) AS rmse, count(*) AS n
