@@ -369,6 +369,8 @@ class ByteBpe:
         """(ids of all texts in a row, offsets of the texts in it)."""
         buf, off = raw(texts)
         start = self.cuts(buf, off)
+        if not len(start):
+            return np.zeros(0, dtype=np.int32), np.zeros(len(off), dtype=np.int64)
         end = np.append(start[1:], len(buf))
         at, size = self.memo.find(span_hash(running(CODES[buf]), start, end), buf, start, end)
         ends = np.concatenate([[0], np.cumsum(size)])

@@ -38,7 +38,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS.get("up", ())) < n:
+    if len(_POWERS.get("up", ())) < max(n, 1):
         size = max(n, 1 << 16)
         for name, base in (("up", _BASE), ("down", _BASE_INV)):
             p = np.full(size, base, dtype=np.uint64)
