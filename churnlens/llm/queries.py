@@ -6,19 +6,32 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.llm import bpe, packing, sharding, token_count
+from churnlens.llm import bpe, packing, quality, sharding, token_count, toxicity
+from churnlens.llm.labelled import held_out
 
 SHARDS = 8
+TOXIC = 0.3  # documents from this score on are toxic
+GOOD = 0.7  # documents below this score are poor
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _classified(scored: DataFrame, least: float) -> DataFrame:
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         F.when(F.col("score") >= least, 1).otherwise(0).alias("predicted"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _classified(toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"))), TOXIC)
+
+
 def op6_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.assign(docs, [1.0] * SHARDS).select(
@@ -29,9 +42,15 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
 
 
+def op9_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _classified(quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels"))), GOOD)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op2_byte_bpe, op6_rendezvous_sharding, op7_token_counts, op10_packing)}
+QUERIES = {f.__name__: f for f in (
+    op2_byte_bpe, op5_toxicity_grammar, op6_rendezvous_sharding, op7_token_counts, op9_quality_nbsvm, op10_packing)}
 ORACLE: dict[str, str] = {}
