@@ -25,6 +25,7 @@ from churnlens.llm.labelled import PER_CLASS, logistic, sample, sigmoid
 from churnlens.llm.textops import Words, mix64, slices, small_batches
 
 BITS = 18  # features are hashed to 2**18 columns
+LEAST_ROWS = 4  # training rows that must hold an n-gram
 
 _KIND = np.full(256, 4, dtype=np.uint64)  # 0 lower, 1 upper, 2 digit, 3 beyond ASCII, 4 other
 _KIND[97:123], _KIND[65:91], _KIND[48:58], _KIND[128:] = 0, 1, 2, 3
@@ -102,8 +103,9 @@ class Model:
         if self.constant is not None:
             return np.full(w.n_docs, self.constant)
         doc, col = features(w)
-        size = np.bincount(doc, minlength=w.n_docs)
-        margin = np.bincount(doc, weights=self.weight[col], minlength=w.n_docs) / np.sqrt(np.maximum(size, 1)) + self.intercept
+        weight = self.weight[col]
+        size = np.bincount(doc, weights=weight != 0, minlength=w.n_docs)
+        margin = np.bincount(doc, weights=weight, minlength=w.n_docs) / np.sqrt(np.maximum(size, 1)) + self.intercept
         return sigmoid(self.slope * margin + self.shift)
 
 
@@ -118,7 +120,9 @@ def fit_rows(cols: list[np.ndarray], label: np.ndarray, share: float, c: float =
         for i in train:
             count[label[i]][cols[i]] += 1.0
         ratio = np.log(count[1] / count[1].sum()) - np.log(count[0] / count[0].sum())
-        w = descend([cols[i] for i in train], [ratio[cols[i]] / np.sqrt(max(len(cols[i]), 1)) for i in train], y[train], n, c, epochs, seed)
+        ratio[count[0] + count[1] < LEAST_ROWS + 2] = 0.0
+        known = [cols[i][ratio[cols[i]] != 0] for i in train]
+        w = descend(known, [ratio[k] / np.sqrt(max(len(k), 1)) for k in known], y[train], n, c, epochs, seed)
         return w[:-1] * ratio, w[-1:]
 
     fold = np.random.default_rng(seed).permutation(len(y)) % 3
@@ -129,7 +133,8 @@ def fit_rows(cols: list[np.ndarray], label: np.ndarray, share: float, c: float =
             train = np.arange(len(y))
         weight, b = one(train)
         for i in np.flatnonzero(fold == f):
-            margin[i] = weight[cols[i]].sum() / np.sqrt(max(len(cols[i]), 1)) + b[0]
+            own = weight[cols[i]]
+            margin[i] = own.sum() / np.sqrt(max((own != 0).sum(), 1)) + b[0]
     positive, negative = (label == 1).sum(), (label == 0).sum()
     target = np.where(label == 1, (positive + 1) / (positive + 2), 1 / (negative + 2))
     prior = np.where(label == 1, share / positive, (1 - share) / negative) * len(y)

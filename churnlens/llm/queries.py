@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.llm import bpe, packing, quality, sharding, token_count, toxicity
+from churnlens.llm import bpe, minhash, packing, quality, sharding, token_count, toxicity
 from churnlens.llm.labelled import held_out
 
 SHARDS = 8
@@ -42,6 +42,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return _classified(quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels"))), GOOD)
@@ -52,5 +56,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_byte_bpe, op5_toxicity_grammar, op6_rendezvous_sharding, op7_token_counts, op9_quality_nbsvm, op10_packing)}
+    op2_byte_bpe, op5_toxicity_grammar, op6_rendezvous_sharding, op7_token_counts, op8_minhash, op9_quality_nbsvm, op10_packing)}
 ORACLE: dict[str, str] = {}
