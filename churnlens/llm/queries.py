@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.llm import bpe, minhash, packing, quality, sharding, token_count, toxicity
+from churnlens.llm import bpe, minhash, packing, quality, sharding, substring_dedup, token_count, toxicity
 from churnlens.llm.labelled import held_out
 
 SHARDS = 8
@@ -23,6 +23,11 @@ def _classified(scored: DataFrame, least: float) -> DataFrame:
                          F.when(F.col("score") >= least, 1).otherwise(0).alias("predicted"))
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -56,5 +61,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_byte_bpe, op5_toxicity_grammar, op6_rendezvous_sharding, op7_token_counts, op8_minhash, op9_quality_nbsvm, op10_packing)}
+    op1_substring_dedup, op2_byte_bpe, op5_toxicity_grammar, op6_rendezvous_sharding, op7_token_counts, op8_minhash, op9_quality_nbsvm, op10_packing)}
 ORACLE: dict[str, str] = {}
