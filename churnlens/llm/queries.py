@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.llm import bpe, minhash, packing, quality, sharding, substring_dedup, token_count, toxicity
+from churnlens.llm import ann, bpe, minhash, packing, quality, sharding, substring_dedup, token_count, topk, toxicity
 from churnlens.llm.labelled import held_out
 
 SHARDS = 8
@@ -32,6 +32,16 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(rows, rows.filter("vec_id % 100 = 0"), 10)
+
+
+def op4_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(rows, rows.filter("vec_id % 20 = 0"), 20)
+
+
 def op5_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return _classified(toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"))), TOXIC)
@@ -61,5 +71,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_substring_dedup, op2_byte_bpe, op5_toxicity_grammar, op6_rendezvous_sharding, op7_token_counts, op8_minhash, op9_quality_nbsvm, op10_packing)}
-ORACLE: dict[str, str] = {}
+    op1_substring_dedup, op2_byte_bpe, op3_exact_topk, op4_hash_forest, op5_toxicity_grammar, op6_rendezvous_sharding, op7_token_counts, op8_minhash, op9_quality_nbsvm, op10_packing)}
+ORACLE: dict[str, str] = {
+    "op3_exact_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+            WHERE q.vec_id % 100 = 0)
+        SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score
+        FROM s WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+        QUALIFY row_number() OVER w <= 10""",
+}
