@@ -71,7 +71,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_substring_dedup, op2_byte_bpe, op3_exact_topk, op4_hash_forest, op5_toxicity_grammar, op6_rendezvous_sharding, op7_token_counts, op8_minhash, op9_quality_nbsvm, op10_packing)}
+    op1_substring_dedup, op2_byte_bpe, op3_exact_topk, op4_hash_forest, op5_toxicity_grammar,
+    op6_rendezvous_sharding, op7_token_counts, op8_minhash, op9_quality_nbsvm, op10_packing)}
 ORACLE: dict[str, str] = {
     "op3_exact_topk": """
         WITH v AS (
