@@ -70,12 +70,28 @@ def _reach(trigger: str, mark: str) -> Transducer:
     return Transducer(0, step)
 
 
+def _target() -> Transducer:
+    """Marks insults and threats with a target up to ``REACH`` words before them, and targets that soon after one."""
+    def step(state, symbol):
+        kind, marks = symbol
+        target, hit, what = state
+        aims = {what} if kind == TARGET and hit else {"target"} if kind in (INSULT, THREAT) and target else set()
+        if kind in (INSULT, THREAT):
+            state = max(target - 1, 0), REACH, kind
+        elif kind == TARGET:
+            state = REACH, 0, None
+        else:
+            state = max(target - 1, 0), max(hit - 1, 0), what if hit > 1 else None
+        return state, (kind, marks | aims)
+    return Transducer((0, 0, None), step)
+
+
 def _report() -> Transducer:
     """Marks all that follows a word of reported speech in its clause."""
     def step(on, symbol):
         kind, marks = symbol
         on = on or kind == REPORT
-        return on, (kind, marks | {"reported"}) if on and kind in (INSULT, THREAT) else symbol
+        return on, (kind, marks | {"reported"}) if on and (kind in (INSULT, THREAT) or marks) else symbol
     return Transducer(False, step)
 
 
@@ -83,7 +99,7 @@ def _weigh() -> Transducer:
     """Emits the share of a word's weight that counts: threats need a target, negation and report take most away."""
     def step(state, symbol):
         kind, marks = symbol
-        share = 1.0 if kind == INSULT else 0.3 if kind == THREAT else 0.0
+        share = 1.0 if kind == INSULT else 0.3 if kind == THREAT else 0.5 if INSULT in marks else 0.6 if THREAT in marks else 0.0
         if "target" in marks:
             share *= 1.5 if kind == INSULT else 3.0
         if "negated" in marks:
@@ -97,7 +113,7 @@ def _weigh() -> Transducer:
 @lru_cache(maxsize=1)
 def grammar() -> tuple[dict, tuple]:
     """The composed machine as a table (state, class) -> (state, share), all reachable states."""
-    machine = _reach(TARGET, "target").compose(_reach(NEGATION, "negated")).compose(_report()).compose(_weigh())
+    machine = _target().compose(_reach(NEGATION, "negated")).compose(_report()).compose(_weigh())
     table, todo = {}, [machine.start]
     while todo:
         s = todo.pop()
@@ -168,8 +184,7 @@ class Model:
                     hit = found.get(word.start())
                     kind = hit[1] if hit else kinds.get(word.group(), OTHER)
                     state, share = table[state, kind]
-                    if hit:
-                        total += share * hit[0]
+                    total += share * (hit[0] if hit else GIVEN_WEIGHT)
                 while k < len(at) and at[k] < end:
                     k += 1
                 out.append(total)
