@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlens.config import DEFAULT_SPEC, ChurnSpec
-from churnlens.operators.merge import churn_table
+from churnlens.operators.activity import user_activity
+from churnlens.operators.merge import churn_table, merge_profiles
 from churnlens.plans.features import feature_columns, feature_table
 from churnlens.plans.models import SEGMENTS, fit_segment_models, logistic
 from churnlens.plans.scoring import (at_risk_report, probability_histogram, score_by_segment,
@@ -49,10 +50,11 @@ class TrainedModels:
 
 
 def build_churn_table(spark: SparkSession, users: DataFrame, events: DataFrame,
-                      spec: ChurnSpec = DEFAULT_SPEC, keep_inactive: bool = False) -> DataFrame:
-    """M24 (``get_merged_data``): users (login, profile fields) and an event
-    log (actor, type, created_at, public) -> the merged churn table."""
-    return churn_table(users, events, spec, keep_inactive=keep_inactive)
+                      spec: ChurnSpec = DEFAULT_SPEC, keep_inactive: bool = False,
+                      public_only: bool = True) -> DataFrame:
+    """Users (login, profile fields) and an event log (actor, type,
+    created_at, public) -> the merged churn table."""
+    return churn_table(users, events, spec, keep_inactive=keep_inactive, public_only=public_only)
 
 
 def train(spark: SparkSession, churn: DataFrame, spec: ChurnSpec = DEFAULT_SPEC,
@@ -78,6 +80,24 @@ def repo_report(scored: DataFrame, contributors: DataFrame, repo: str, k: int =
     return at_risk_report(scored, mine, k), probability_histogram(scored, mine, 10)
 
 
+def live_user(users: DataFrame, events: DataFrame, login, spec: ChurnSpec = DEFAULT_SPEC, fill_ts=None,
+              public_only: bool = True) -> DataFrame:
+    """One user's profile with its activity as of now (the whole log),
+    missing parts filled: a row of the serving table."""
+    mine = users.where(F.col("login") == F.lit(login))
+    now = user_activity(events, login, spec, public_only=public_only)
+    counts = [F.coalesce(F.col(c), F.lit(0)) for c in spec.count_columns]
+    row = now.select(F.lit(login).alias("actor"), "event_count", "last_event", "first_event",
+                     *[c.alias(n) for c, n in zip(counts, spec.count_columns)], F.lit(0).cast("long").alias("second_period_event_count"))
+    return merge_profiles(mine, row, spec, keep_inactive=True, fill_ts=fill_ts)
+
+
+def live_user_whatif(models: TrainedModels, users: DataFrame, events: DataFrame, login,
+                     spec: ChurnSpec = DEFAULT_SPEC, fill_ts=None) -> DataFrame:
+    """M17 for one live user: profile, activity, routing and the five scenarios."""
+    return whatif_scores(models.models, models.segment_model, live_user(users, events, login, spec, fill_ts), spec)
+
+
 def user_whatif(models: TrainedModels, churn: DataFrame, login, spec: ChurnSpec = DEFAULT_SPEC):
     """M17 for one user: P(active) now and after each suggested change."""
     one = churn.where(F.col("login") == F.lit(login))

@@ -19,18 +19,19 @@ from churnlens.functions.columns import (day_diff, frac_days, json_field, narrow
 from churnlens.operators import activity as act
 from churnlens.operators import stats
 from churnlens.operators.membership import members_only, not_yet_known
-from churnlens.operators.merge import churn_table, merge_profiles, outlier_share, serving_fill
+from churnlens.operators.merge import churn_table, merge_period_profiles, outlier_share, serving_fill, serving_table
 from churnlens.operators.ranking import top_k, top_k_per_group
 from churnlens.operators.sampling import (class_weights, hash_split, key_uniform, next_batch,
                                           seeded_shuffle, undersample_majority)
 from churnlens.plans.features import feature_columns, feature_table
 from churnlens.plans.lifetime import BGNBDParams, lifetime_summary, log_likelihood, p_alive
-from churnlens.plans.models import auc
+from churnlens.plans.models import auc, pr_curve, roc_curve
 from churnlens.plans.scoring import probability_histogram
 from churnlens import sql_twins as sq
 from churnlens.sources.logs import orders_log
-from churnlens.sources.tables import (event_log, read_table, repo_contributors, stored_repo_contributors,
-                                      stored_user_profiles, user_profiles)
+from churnlens.sources.tables import (event_log, read_activity_export, read_csv, read_parquet, read_table,
+                                      repo_contributors, stored_repo_contributors, stored_user_profiles, user_profiles,
+                                      write_csv, write_parquet)
 
 SPEC = DEFAULT_SPEC
 # Later analysis window on the orders log (two halves of 1997) for lifetime value.
@@ -77,8 +78,7 @@ FIRST = sq.in_period_sql(SPEC.first_period)
 
 
 def _hash_sql(col: str, seed: int) -> str:
-    k = f"(({col} + {seed}) % 4294967296)"
-    return f"((({k} % 65536) * 2654435761 + ((({k} // 65536) * 2654435761) % 65536) * 65536) % 4294967296)"
+    return f"CAST('0x' || substr(md5(coalesce(CAST({col} AS VARCHAR), '') || ':{seed}'), 1, 8) AS BIGINT)"
 
 
 # ====================================================================== sources
@@ -218,7 +218,7 @@ def a13_churn_rate(spark, sf):
     return stats.churn_rate(_churn(spark, sf), by=["company"])
 
 
-@q("a14_outlier_share", "WITH " + sq.users_cte(SPEC) + "," + sq.periods_cte(SPEC) + ","
+@q("a14_outlier_share", "WITH " + sq.users_cte(SPEC) + "," + sq.periods_cte(SPEC, public=True) + ","
    + sq.merged_cte(SPEC, how="LEFT JOIN") + f"""
 SELECT count(*) AS n_total_users,
        count(CASE WHEN frequency < {SPEC.outlier_limit} AND second_period_event_count < {SPEC.outlier_limit}
@@ -231,7 +231,7 @@ def a14_outlier_share(spark, sf):
     return outlier_share(stored_user_profiles(spark, sf), _ev(spark, sf), SPEC)
 
 
-@q("m24_churn_table_keep_inactive", "WITH " + sq.users_cte(SPEC) + "," + sq.periods_cte(SPEC) + ","
+@q("m24_churn_table_keep_inactive", "WITH " + sq.users_cte(SPEC) + "," + sq.periods_cte(SPEC, public=True) + ","
    + sq.merged_cte(SPEC, how="LEFT JOIN", fill=True) + f"""
 SELECT * FROM merged WHERE frequency < {SPEC.outlier_limit}
   AND second_period_event_count < {SPEC.outlier_limit}""")
@@ -447,7 +447,7 @@ contrib AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
   GROUP BY p_brand, o_custkey)
 SELECT c.repo, c.login, c.repo_contributions_count,
-       coalesce(f.event_count, 0) AS frequency,
+       {' + '.join(f'coalesce(f.{x}, 0)' for x in SPEC.count_columns)} AS frequency,
        coalesce(f.last_event, TIMESTAMP '{_SERVING_FILL:%Y-%m-%d %H:%M:%S}') AS last_event,
        coalesce(f.first_event, TIMESTAMP '{_SERVING_FILL:%Y-%m-%d %H:%M:%S}') AS first_event,
        {', '.join(f'coalesce(f.{x}, 0) AS {x}' for x in SPEC.count_columns)},
@@ -490,8 +490,7 @@ _A8_COLS = ["frequency", "recency", "followers_count", "following_count", "click
 
 
 def _quartiles_sql(c: str) -> str:
-    # percentile_approx returns the smallest value whose cumulative count
-    # reaches p * n; exact while n is below the sketch accuracy (10,000).
+    # the smallest value whose cumulative count reaches p * n
     ranked = (f"(SELECT {c} AS v, row_number() OVER (ORDER BY {c}) AS rn, count(*) OVER () AS n "
               f"FROM churn WHERE {c} IS NOT NULL)")
     q = ", ".join(f"CAST(max(CASE WHEN rn = CAST(ceil({p} * n) AS BIGINT) THEN v END) AS DOUBLE) AS p{int(p * 100)}"
@@ -503,7 +502,7 @@ def _quartiles_sql(c: str) -> str:
 
 @q("a7_summary_quartiles", CHURN + "\n" + "\nUNION ALL\n".join(_quartiles_sql(c) for c in _A7_COLS))
 def a7_summary_quartiles(spark, sf):
-    """A7 with approximate quartiles (bounded memory at any scale)."""
+    """A7 with exact quartiles (bracketed, then counted)."""
     s = stats.summary_stats(_churn(spark, sf), _A7_COLS, quartiles=True)
     return s.select("column", "count", _r("mean").alias("mean"), _r("stddev").alias("stddev"), "min", "max",
                     "p25", "p50", "p75")
@@ -553,7 +552,7 @@ def _score_col():
 
 
 @q("a10_fixed_histogram", CHURN + f""",
-b AS (SELECT CAST(least(floor(({_SCORE}) * 10), 9) AS INTEGER) AS bin, count(*) AS n FROM churn GROUP BY 1),
+b AS (SELECT CAST(least(floor(({_SCORE}) / CAST(0.1 AS DOUBLE)), 9) AS INTEGER) AS bin, count(*) AS n FROM churn GROUP BY 1),
 bins AS (SELECT CAST(range AS INTEGER) AS bin FROM range(10))
 SELECT bins.bin, round(bins.bin * 0.1, 6) AS lower, round((bins.bin + 1) * 0.1, 6) AS upper,
        coalesce(n, 0) AS count FROM bins LEFT JOIN b ON bins.bin = b.bin""")
@@ -676,35 +675,63 @@ def a20_distinct_values(spark, sf):
 
 # ====================================================================== sort / limit / sampling
 
-@q("o1_at_risk_ranking", CHURN + f""",
-contrib AS (
-  SELECT p_brand AS repo, o_custkey AS login FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  JOIN part ON l_partkey = p_partkey GROUP BY p_brand, o_custkey),
+_CONTRIB_CTE = """contrib AS (
+  SELECT p_brand AS repo, o_custkey AS login, CAST(count(*) AS INTEGER) AS repo_contributions_count
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey GROUP BY p_brand, o_custkey)"""
+_FILL_SQL = f"TIMESTAMP '{_SERVING_FILL:%Y-%m-%d %H:%M:%S}'"
+
+
+def _serving_sql(spec: ChurnSpec = SPEC) -> str:
+    """WITH-list ending in ``serving``: every profile with first-period public
+    activity or 0 (no outlier filter), the columns the models read."""
+    counts = ", ".join(f"coalesce(f.{c}, 0) AS {c}" for c in spec.count_columns)
+    return "WITH " + sq.users_cte(spec) + "," + sq.periods_cte(spec, public=True) + f""",
+serving AS (
+  SELECT p.login, p.followers_count, p.following_count, p.public_repos_count, p.public_gists_count,
+         CAST(p.blog IS NOT NULL AS INTEGER) AS blog, CAST(p.company IS NOT NULL AS INTEGER) AS company,
+         CAST(p.hireable IS NOT NULL AS INTEGER) AS hireable,
+         CAST(date_diff('day', CAST(p.created_at AS DATE), CAST(coalesce(f.last_event, {_FILL_SQL}) AS DATE)) AS INTEGER) AS recency,
+         {' + '.join(f'coalesce(f.{c}, 0)' for c in spec.count_columns)} AS frequency, {counts}
+  FROM profiles p LEFT JOIN first_period f ON p.login = f.actor)"""
+
+
+def _serving(spark, sf) -> DataFrame:
+    return serving_table(stored_user_profiles(spark, sf), _ev(spark, sf), SPEC, _SERVING_FILL)
+
+
+@q("m16_serving_table", _serving_sql() + "\nSELECT * FROM serving")
+def m16_serving_table(spark, sf):
+    """Every user as the reports see them: inactive ones and outliers included."""
+    return _serving(spark, sf).select(
+        "login", "followers_count", "following_count", "public_repos_count", "public_gists_count", "blog", "company",
+        "hireable", "recency", "frequency", *SPEC.count_columns)
+
+
+@q("o1_at_risk_ranking", _serving_sql() + f""",
+{_CONTRIB_CTE},
 ranked AS (
   SELECT c.repo, c.login, {_SCORE} AS p,
          row_number() OVER (PARTITION BY c.repo ORDER BY {_SCORE}, c.login) AS rank
-  FROM contrib c JOIN churn u ON c.login = u.login)
+  FROM contrib c JOIN serving u ON c.login = u.login)
 SELECT repo, CAST(rank AS INTEGER) AS rank, login, round(p, 6) AS p_active FROM ranked WHERE rank <= 25""")
 def o1_at_risk_ranking(spark, sf):
-    c = _churn(spark, sf).select("login", _score_col().alias("p"))
+    c = _serving(spark, sf).select("login", _score_col().alias("p"))
     contrib = stored_repo_contributors(spark, sf).select("repo", "login")
     j = contrib.join(c, "login")
     top = top_k_per_group(j, ["repo"], [F.col("p").asc(), F.col("login").asc()], 25, salt_key="login")
     return top.select("repo", "rank", "login", _r("p").alias("p_active"))
 
 
-@q("a10_repo_probability_histogram", CHURN + f""",
-contrib AS (
-  SELECT p_brand AS repo, o_custkey AS login FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  JOIN part ON l_partkey = p_partkey GROUP BY p_brand, o_custkey),
-scored AS (SELECT c.repo, {_SCORE} AS p FROM contrib c JOIN churn u ON c.login = u.login),
-b AS (SELECT repo, CAST(least(floor(p * 10), 9) AS INTEGER) AS bin, count(*) AS n FROM scored GROUP BY 1, 2),
+@q("a10_repo_probability_histogram", _serving_sql() + f""",
+{_CONTRIB_CTE},
+scored AS (SELECT c.repo, {_SCORE} AS p FROM contrib c JOIN serving u ON c.login = u.login),
+b AS (SELECT repo, CAST(least(floor(p / CAST(0.1 AS DOUBLE)), 9) AS INTEGER) AS bin, count(*) AS n FROM scored GROUP BY 1, 2),
 bins AS (SELECT DISTINCT s.repo, CAST(r.range AS INTEGER) AS bin FROM scored s, range(10) r)
 SELECT bins.repo, bins.bin, coalesce(b.n, 0) AS count
 FROM bins LEFT JOIN b ON bins.repo = b.repo AND bins.bin = b.bin""")
 def a10_repo_probability_histogram(spark, sf):
     """M16/A10 operator on a formula score: per repo, 10 bins on [0, 1]."""
-    scored = _churn(spark, sf).select("login", _score_col().alias("p_active"))
+    scored = _serving(spark, sf).select("login", _score_col().alias("p_active"))
     return probability_histogram(scored, stored_repo_contributors(spark, sf).select("repo", "login"), 10)
 
 
@@ -787,19 +814,16 @@ SELECT 'company' AS segment, login FROM churn WHERE company = 1
 UNION ALL SELECT 'blog' AS segment, login FROM churn WHERE company = 0 AND blog = 1
 UNION ALL SELECT 'other' AS segment, login FROM churn WHERE company = 0 AND blog = 0""")
 def u2_segment_concat(spark, sf):
-    c = _churn(spark, sf)
-    parts = [c.where(F.col("company") == 1).select(F.lit("company").alias("segment"), "login"),
-             c.where((F.col("company") == 0) & (F.col("blog") == 1)).select(F.lit("blog").alias("segment"), "login"),
-             c.where((F.col("company") == 0) & (F.col("blog") == 0)).select(F.lit("other").alias("segment"), "login")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    segment = (F.when(F.col("company") == 1, F.lit("company")).when(F.col("blog") == 1, F.lit("blog"))
+               .otherwise(F.lit("other")))
+    return _churn(spark, sf).select(segment.alias("segment"), "login")
 
 
 @q("u3_year_union", "SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n_orders FROM orders "
                     "WHERE year(o_orderdate) IN (1995, 1996, 1997) GROUP BY 1")
 def u3_year_union(spark, sf):
     o = read_table(spark, sf, "orders")
-    parts = [act.years_of(o, [y], "o_orderdate") for y in (1995, 1996, 1997)]
-    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    u = act.years_of(o, [1995, 1996, 1997], "o_orderdate")
     return u.groupBy(F.year("o_orderdate").alias("year")).agg(F.count(F.lit(1)).alias("n_orders"))
 
 
@@ -818,41 +842,73 @@ def m8_hash_split(spark, sf):
     return train.select("login")
 
 
-@q("m12_roc_auc", CHURN + f""",
-b AS (SELECT round(({_SCORE}) * 10000) / 10000.0 AS threshold,
+@q("m8_hash_split_test", CHURN + f"\nSELECT login FROM churn WHERE {_hash_sql('login', 2018)} / 4294967296.0 >= 0.7")
+def m8_hash_split_test(spark, sf):
+    _, test = hash_split(_churn(spark, sf), "login", 0.7, 2018)
+    return test.select("login")
+
+
+@q("m8_split_of_text_keys", f"""SELECT c_name AS login, {_hash_sql('c_name', 2018)} / 4294967296.0 < 0.7 AS train FROM customer""")
+def m8_split_of_text_keys(spark, sf):
+    """The same split by text logins."""
+    return read_table(spark, sf, "customer").select(F.col("c_name").alias("login"), (key_uniform("c_name", 2018) < 0.7).alias("train"))
+
+
+_CURVE_SQL = CHURN + f""",
+b AS (SELECT {_SCORE} AS threshold,
              count(CASE WHEN second_period_event_count > 0 THEN 1 END) AS pos,
              count(CASE WHEN NOT (second_period_event_count > 0) THEN 1 END) AS neg FROM churn GROUP BY 1),
-cum AS (SELECT threshold,
+cum AS (SELECT threshold, pos, neg,
           sum(pos) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
           sum(neg) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp,
-          sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM b),
-roc AS (SELECT threshold, fp * 1.0 / N AS fpr, tp * 1.0 / P AS tpr, tp * 1.0 / (tp + fp) AS precision FROM cum),
-pts AS (SELECT fpr, tpr, precision, coalesce(lag(fpr) OVER (ORDER BY threshold DESC), 0) AS fpr0,
-               coalesce(lag(tpr) OVER (ORDER BY threshold DESC), 0) AS tpr0 FROM roc)
-SELECT round(sum((fpr - fpr0) * (tpr + tpr0) / 2), 6) AS auc_roc,
-       round(sum((tpr - tpr0) * precision), 6) AS auc_pr FROM pts""")
+          sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM b)"""
+
+
+def _scored_labels(spark, sf) -> DataFrame:
+    return _churn(spark, sf).select(_score_col().alias("score"),
+                                    (F.col("second_period_event_count") > 0).cast("int").alias("label"))
+
+
+@q("m12_roc_curve", _CURVE_SQL + """
+SELECT CAST('Infinity' AS DOUBLE) AS threshold, CAST(0 AS DOUBLE) AS fpr, CAST(0 AS DOUBLE) AS tpr
+UNION ALL SELECT round(threshold, 6), round(fp * 1.0 / N, 6), round(tp * 1.0 / P, 6) FROM cum""")
+def m12_roc_curve(spark, sf):
+    r = roc_curve(_scored_labels(spark, sf), "score", "label")
+    finite = F.when(F.col("threshold") == float("inf"), F.col("threshold")).otherwise(F.round("threshold", 6))
+    return r.select(finite.alias("threshold"), _r("fpr").alias("fpr"), _r("tpr").alias("tpr"))
+
+
+@q("m12_pr_curve", _CURVE_SQL + """
+SELECT round(threshold, 6) AS threshold, round(tp * 1.0 / P, 6) AS recall, round(tp * 1.0 / (tp + fp), 6) AS precision FROM cum""")
+def m12_pr_curve(spark, sf):
+    r = pr_curve(_scored_labels(spark, sf), "score", "label")
+    return r.select(_r("threshold").alias("threshold"), _r("recall").alias("recall"), _r("precision").alias("precision"))
+
+
+@q("m12_roc_auc", _CURVE_SQL + """
+SELECT round(sum(neg * 1.0 / N * (2.0 * tp - pos) / (2.0 * P)), 6) AS auc_roc,
+       round(sum(pos * 1.0 / P * tp / (tp + fp)), 6) AS auc_pr FROM cum""")
 def m12_roc_auc(spark, sf):
-    c = _churn(spark, sf).select(_score_col().alias("score"),
-                                 (F.col("second_period_event_count") > 0).cast("int").alias("label"))
-    a = auc(c, "score", "label", resolution=10000)
+    a = auc(_scored_labels(spark, sf), "score", "label")
     return a.select(_r("auc_roc").alias("auc_roc"), _r("auc_pr").alias("auc_pr"))
 
 
 # ====================================================================== lifetime (exact parts)
 
-def _lifetime_summary(spark, sf) -> DataFrame:
+def _lifetime_summary(spark, sf, keep_absent: bool = False) -> DataFrame:
     users = stored_user_profiles(spark, sf)
     cohort = _churn(spark, sf).select("login", "created_at")
     later = churn_table(users, orders_log(spark, sf), ORDERS_SPEC)
-    return lifetime_summary(later, cohort, LIFETIME_END, LIFETIME_FILL)
+    return lifetime_summary(later, cohort, LIFETIME_END, LIFETIME_FILL, keep_absent)
 
 
 _ORD_CHURN = sq.churn_ctes(ORDERS_SPEC, prefix="o_", source=sq.ORDERS_AS_EVENTS)
 
-_LIFETIME_CTES = CHURN + ",\n" + _ORD_CHURN + f""",
+def _lifetime_ctes(how: str = "JOIN") -> str:
+    return CHURN + ",\n" + _ORD_CHURN + f""",
 j AS (
   SELECT c.login, c.created_at, o.last_event, o.frequency, o.second_period_event_count
-  FROM (SELECT DISTINCT login, created_at FROM churn) c LEFT JOIN o_churn o ON c.login = o.login),
+  FROM (SELECT DISTINCT login, created_at FROM churn) c {how} o_churn o ON c.login = o.login),
 base AS (
   SELECT login, CAST(coalesce(frequency, 0) AS DOUBLE) AS frequency,
          CAST(floor((epoch_us(coalesce(last_event, TIMESTAMP '{LIFETIME_FILL:%Y-%m-%d %H:%M:%S}'))
@@ -868,17 +924,28 @@ summ AS (
   SELECT login, frequency, recency / 7.0 AS recency, T / 7.0 AS T, second_period_event_count
   FROM clean WHERE recency >= 0)"""
 
-_LIFETIME_SQL = _LIFETIME_CTES + """
+
+_LIFETIME_CTES = _lifetime_ctes()
+_LIFETIME_SELECT = """
 SELECT login, frequency, round(recency, 6) AS recency, round(T, 6) AS T, second_period_event_count FROM summ"""
 
 
-@q("m19_lifetime_summary", _LIFETIME_SQL)
-def m19_lifetime_summary(spark, sf):
-    s = _lifetime_summary(spark, sf)
+def _rounded_summary(s: DataFrame) -> DataFrame:
     return s.select("login", "frequency", _r("recency").alias("recency"), _r("T").alias("T"),
                     "second_period_event_count")
 
 
+@q("m19_lifetime_summary", _LIFETIME_CTES + _LIFETIME_SELECT)
+def m19_lifetime_summary(spark, sf):
+    return _rounded_summary(_lifetime_summary(spark, sf))
+
+
+@q("m19_j3_lifetime_keep_absent", _lifetime_ctes("LEFT JOIN") + _LIFETIME_SELECT)
+def m19_j3_lifetime_keep_absent(spark, sf):
+    """Cohort users without later activity kept with 0 events."""
+    return _rounded_summary(_lifetime_summary(spark, sf, keep_absent=True))
+
+
 _PA = FIXED_BGNBD
 _PALIVE_SQL = _LIFETIME_CTES + f""",
 pa AS (SELECT login, second_period_event_count,
@@ -1065,6 +1132,28 @@ def m11_gbt_scores(spark, sf):
     return mdl.coefficient_table(spark, model, feats)
 
 
+def _tree_metrics(spark, sf, estimator):
+    """Predictions of a tree model on the test side, as A15 metrics and M12 areas."""
+    from churnlens.functions.columns import vector_element
+    _, data = cached_segmented_features(spark, sf, SPEC)
+    feats = feature_columns(data, SPEC)
+    train, test = hash_split(data, "login", 0.7, 2018)
+    scored = mdl.fit_classifier(train, feats, estimator).transform(test).select(
+        vector_element("probability", 1).alias("p"), "prediction", "label")
+    scored = scored.checkpoint()
+    return stats.confusion_metrics(scored, "prediction", "label").crossJoin(F.broadcast(mdl.auc(scored, "p", "label")))
+
+
+@q("m11_gbt_metrics")
+def m11_gbt_metrics(spark, sf):
+    return _tree_metrics(spark, sf, mdl.gbt(max_iter=20))
+
+
+@q("m11_forest_metrics")
+def m11_forest_metrics(spark, sf):
+    return _tree_metrics(spark, sf, mdl.random_forest())
+
+
 def _holdout_lr(spark, sf):
     _, data = cached_segmented_features(spark, sf, SPEC)
     feats = feature_columns(data, SPEC)
@@ -1097,15 +1186,30 @@ def _cv_frame(spark, metrics):
                                  "candidate int, avg_auc double")
 
 
+def _cross_validated(spark, sf):
+    def build():
+        _, data = cached_segmented_features(spark, sf, SPEC)
+        train, _ = hash_split(data, "login", 0.7, 2018)
+        return mdl.cross_validate(train, feature_columns(data, SPEC), grid="full", folds=5)
+    return memoized(spark, ("cv", sf), build)
+
+
 @q("m14_cross_validation")
 def m14_cross_validation(spark, sf):
-    _, data = cached_segmented_features(spark, sf, SPEC)
-    feats = feature_columns(data, SPEC)
-    train, _ = hash_split(data, "login", 0.7, 2018)
-    _, metrics = mdl.cross_validate(train, feats, grid="full", folds=5)
+    _, metrics = _cross_validated(spark, sf)
     return _cv_frame(spark, metrics)
 
 
+@q("m14_best_on_test")
+def m14_best_on_test(spark, sf):
+    """The best model of the search, refitted, on the test side."""
+    from churnlens.functions.columns import vector_element
+    best, _ = _cross_validated(spark, sf)
+    _, data = cached_segmented_features(spark, sf, SPEC)
+    _, test = hash_split(data, "login", 0.7, 2018)
+    return mdl.auc(best.transform(test).select(vector_element("probability", 1).alias("p"), "label"), "p", "label")
+
+
 @q("m14_weighted_cross_validation")
 def m14_weighted_cross_validation(spark, sf):
     _, data = cached_segmented_features(spark, sf, SPEC)
@@ -1120,18 +1224,33 @@ def _contributors(spark, sf):
     return stored_repo_contributors(spark, sf)
 
 
+def _serving_scores(spark, sf, models, centres) -> DataFrame:
+    """Scores of every user, inactive ones and outliers included."""
+    from churnlens.plans.segments import assign_segments
+    data = assign_segments(centres, feature_table(_serving(spark, sf), SPEC))
+    return score_by_segment(models, data)
+
+
 @q("m16_repo_at_risk")
 def m16_repo_at_risk(spark, sf):
     cm = cached_churn_models(spark, sf, SPEC)
-    scored = score_by_segment(cm.models, cm.data)
-    return at_risk_report(scored, _contributors(spark, sf), k=25)
+    return at_risk_report(_serving_scores(spark, sf, cm.models, cm.segment_model), _contributors(spark, sf), k=25)
 
 
 @q("m16_a10_probability_histogram")
 def m16_a10_probability_histogram(spark, sf):
     cm = cached_churn_models(spark, sf, SPEC)
-    scored = score_by_segment(cm.models, cm.data)
-    return probability_histogram(scored, _contributors(spark, sf), bins=10)
+    return probability_histogram(_serving_scores(spark, sf, cm.models, cm.segment_model), _contributors(spark, sf), bins=10)
+
+
+@q("m16_scored_contributors", _serving_sql() + f""",
+{_CONTRIB_CTE}
+SELECT c.repo, count(*) AS n FROM contrib c JOIN serving u ON c.login = u.login WHERE u.recency > -1 GROUP BY c.repo""")
+def m16_scored_contributors(spark, sf):
+    """How many contributors of each repo the fitted models score: all whose features are present."""
+    cm = cached_churn_models(spark, sf, SPEC)
+    scored = _serving_scores(spark, sf, cm.models, cm.segment_model)
+    return _contributors(spark, sf).join(scored, "login").groupBy("repo").agg(F.count("p_active").alias("n"))
 
 
 @q("m17_whatif_scores")
@@ -1178,6 +1297,208 @@ def o2_top_expected_purchases(spark, sf):
     return top_k(scored, [F.desc("predicted_purchases"), F.col("login")], 5)
 
 
+# ====================================================================== declared models (exact twins)
+
+from churnlens.plans.routing import Centres, Linear  # noqa: E402
+from churnlens.plans.segments import assign_segments  # noqa: E402
+
+# Declared numbers in place of fitted ones: what routing and scoring do with them has an exact twin.
+_DECLARED = {
+    "company": Linear(-1.5, tuple(zip(_FEATS, (0.2, -0.1, 0.3, -0.2, -0.15, 0.6, 0.4, 0.5, 0.3, 0.1)))),
+    "high": Linear(-2.0, tuple(zip(_FEATS, (0.1, 0.05, 0.2, 0.1, -0.1, 0.7, 0.3, 0.4, 0.2, 0.0)))),
+    "low": Linear(-0.5, tuple(zip(_FEATS, (0.3, -0.2, 0.1, -0.1, -0.05, 0.5, 0.5, 0.2, -0.3, 0.2))), threshold=0.6),
+}
+_CENTRES = Centres(("frequency", "recency"), ((1.8, 6.0), (2.6, 6.6)))
+
+
+def _features_sql(src: str, extra: str = "") -> str:
+    """CTEs ``x`` (scaled features of ``src``) and ``scored`` (segment unless given, p, prediction)."""
+    scaled = ", ".join(f"ln({c} + 1) AS {c}" for c in ("followers_count", "following_count", "recency", "frequency", "click_count",
+                                                     "view_count", "purchase_count"))
+    far = [" + ".join(f"({c} - {v}) * ({c} - {v})" for c, v in zip(_CENTRES.inputs, p)) for p in _CENTRES.points]
+    return f"""
+x AS (SELECT login, blog, hireable, company, {scaled},
+             CASE WHEN signup_count > 0.5 THEN 1.0 ELSE 0.0 END AS signup_count_bin,
+             CASE WHEN error_count > 0.5 THEN 1.0 ELSE 0.0 END AS error_count_bin{extra} FROM {src}),
+routed AS (SELECT *, CASE WHEN ({far[1]}) < ({far[0]}) THEN 1 ELSE 0 END AS nearest FROM x)"""
+
+
+_SEGMENT_SQL = f"CASE WHEN company = 1 THEN 'company' WHEN nearest = {_CENTRES.high} THEN 'high' ELSE 'low' END"
+
+
+def _probability_sql() -> str:
+    cases = []
+    for name, m in _DECLARED.items():
+        margin = " + ".join([str(m.intercept), *(f"{f} * ({w})" for f, w in m.weights)])
+        cases.append(f"WHEN segment = '{name}' THEN 1.0 / (1.0 + exp(-({margin})))")
+    return "CASE " + " ".join(cases) + " END"
+
+
+_PREDICTION_SQL = "CAST(p > CASE segment WHEN 'low' THEN 0.6 ELSE 0.5 END AS INTEGER)"
+_SCORED_SQL = f""",
+seg AS (SELECT *, {_SEGMENT_SQL} AS segment FROM routed),
+scored AS (SELECT *, {_probability_sql()} AS p FROM seg)"""
+
+
+def _declared_data(spark, sf, spec: ChurnSpec = SPEC) -> DataFrame:
+    churn = churn_table(stored_user_profiles(spark, sf), event_log(spark, sf, spec), spec)
+    return assign_segments(_CENTRES, feature_table(churn, spec))
+
+
+@q("m5_segments_declared", CHURN + "," + _features_sql("churn") + f"""
+SELECT login, CAST(nearest = {_CENTRES.high} AS INTEGER) AS high_low_user, {_SEGMENT_SQL} AS segment FROM routed""")
+def m5_segments_declared(spark, sf):
+    return _declared_data(spark, sf).select("login", "high_low_user", "segment")
+
+
+@q("m15_e14_e15_scores_declared", CHURN + "," + _features_sql("churn") + _SCORED_SQL + f"""
+SELECT login, segment, round(p, 6) AS p_active, {_PREDICTION_SQL} AS prediction,
+       CASE WHEN p > 0.5 THEN 'remain active' ELSE 'leave' END AS verdict FROM scored""")
+def m15_e14_e15_scores_declared(spark, sf):
+    scored = score_by_segment(_DECLARED, _declared_data(spark, sf))
+    return scored.select("login", "segment", _r("p_active").alias("p_active"), "prediction", "verdict")
+
+
+@q("m16_at_risk_declared", _serving_sql() + "," + _features_sql("serving") + _SCORED_SQL + f""",
+{_CONTRIB_CTE},
+ranked AS (SELECT c.repo, c.login, s.segment, s.p, c.repo_contributions_count,
+                  row_number() OVER (PARTITION BY c.repo ORDER BY round(s.p, 9), c.login) AS rank
+           FROM contrib c JOIN scored s ON c.login = s.login WHERE s.p IS NOT NULL)
+SELECT repo, CAST(rank AS INTEGER) AS rank, login, segment, round(p, 4) AS probability, repo_contributions_count
+FROM ranked WHERE rank <= 25""")
+def m16_at_risk_declared(spark, sf):
+    scored = _serving_scores(spark, sf, _DECLARED, _CENTRES).withColumn("p_active", F.round("p_active", 9))
+    return at_risk_report(scored, _contributors(spark, sf), 25)
+
+
+@q("m16_histogram_declared", _serving_sql() + "," + _features_sql("serving") + _SCORED_SQL + f""",
+{_CONTRIB_CTE},
+j AS (SELECT c.repo, s.p FROM contrib c JOIN scored s ON c.login = s.login WHERE s.p IS NOT NULL),
+b AS (SELECT repo, CAST(least(floor(p / CAST(0.1 AS DOUBLE)), 9) AS INTEGER) AS bin, count(*) AS n FROM j GROUP BY 1, 2),
+bins AS (SELECT DISTINCT j.repo, CAST(r.range AS INTEGER) AS bin FROM j, range(10) r)
+SELECT bins.repo, bins.bin, coalesce(b.n, 0) AS count FROM bins LEFT JOIN b ON bins.repo = b.repo AND bins.bin = b.bin""")
+def m16_histogram_declared(spark, sf):
+    return probability_histogram(_serving_scores(spark, sf, _DECLARED, _CENTRES), _contributors(spark, sf), 10)
+
+
+_BUMPED = ("click_count", "view_count", "purchase_count", "followers_count", "following_count", "blog")
+
+
+@q("m17_whatif_scores_declared", CHURN + "," + _features_sql("churn") + f""",
+base AS (SELECT c.*, {_SEGMENT_SQL.replace('company = 1', 'r.company = 1')} AS segment FROM churn c JOIN routed r ON c.login = r.login),
+f AS (SELECT *,
+   CASE WHEN segment = 'company' THEN ['click_count', 'followers_count', 'purchase_count']
+        WHEN segment = 'low' AND blog = 1 THEN ['following_count', 'followers_count', 'view_count']
+        WHEN segment = 'low' THEN ['blog', 'followers_count', 'view_count']
+        WHEN blog = 1 THEN ['click_count', 'followers_count', 'purchase_count']
+        ELSE ['click_count', 'blog', 'followers_count'] END AS fs FROM base),
+sc AS (
+  SELECT *, 'nochange' AS change, CAST([] AS VARCHAR[]) AS bump FROM f
+  UNION ALL SELECT *, fs[1], [fs[1]] FROM f
+  UNION ALL SELECT *, fs[2], [fs[2]] FROM f
+  UNION ALL SELECT *, fs[3], [fs[3]] FROM f
+  UNION ALL SELECT *, 'all', fs FROM f),
+bumped AS (SELECT login, segment, change, hireable, recency, signup_count, error_count, {", ".join(_bump_sql(c) for c in _BUMPED)} FROM sc),
+y AS (SELECT login, segment, change, blog, hireable,
+             {", ".join(f"ln({c} + 1) AS {c}" for c in ("followers_count", "following_count", "recency", "click_count", "view_count", "purchase_count"))},
+             CASE WHEN signup_count > 0.5 THEN 1.0 ELSE 0.0 END AS signup_count_bin,
+             CASE WHEN error_count > 0.5 THEN 1.0 ELSE 0.0 END AS error_count_bin FROM bumped),
+z AS (SELECT *, {_probability_sql()} AS p FROM y)
+SELECT login, change, segment, round(p, 6) AS p_active FROM z WHERE p IS NOT NULL""")
+def m17_whatif_scores_declared(spark, sf):
+    scored = whatif_scores(_DECLARED, _CENTRES, _churn(spark, sf), SPEC)
+    return scored.select("login", "change", "segment", _r("p_active").alias("p_active"))
+
+
+_LATER = "WITH " + sq.users_cte(LATER_SPEC) + "," + sq.churn_ctes(LATER_SPEC)
+
+
+@q("m18_validation_declared", _LATER + f""",
+cnt AS (SELECT count(CASE WHEN second_period_event_count <= 0.5 THEN 1 END) * 1.0 AS m,
+               count(CASE WHEN second_period_event_count > 0.5 THEN 1 END) AS a FROM churn WHERE recency > -1),
+balanced AS (SELECT churn.* FROM churn, cnt WHERE recency > -1 AND (second_period_event_count <= 0.5
+             OR {_hash_sql('login', 0)} / 4294967296.0 < least(1.0, m / a))),
+{_features_sql("balanced", ", CAST(second_period_event_count > 0.5 AS INTEGER) AS label")}{_SCORED_SQL},
+t AS (SELECT segment, label, {_PREDICTION_SQL} AS pr FROM scored WHERE p IS NOT NULL)
+SELECT segment, count(CASE WHEN label = 1 AND pr = 1 THEN 1 END) AS tp, count(CASE WHEN label = 1 AND pr = 0 THEN 1 END) AS fn,
+       count(CASE WHEN label = 0 AND pr = 1 THEN 1 END) AS fp, count(CASE WHEN label = 0 AND pr = 0 THEN 1 END) AS tn
+FROM (SELECT * FROM t UNION ALL SELECT 'all', label, pr FROM t) GROUP BY segment""")
+def m18_validation_declared(spark, sf):
+    balanced = undersample_majority(_declared_data(spark, sf, LATER_SPEC), "label", "login", seed=0, minority_value=0.0)
+    return validate_by_segment(_DECLARED, balanced).select("segment", "tp", "fn", "fp", "tn")
+
+
+# ====================================================================== files (round trips through the shared folder)
+
+def _file(spark, name: str) -> str:
+    import uuid
+    from churnlens.session import checkpoint_dir as _ckpt
+    return f"{_ckpt(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@q("s1_k1_csv_round_trip", ORACLE["s1_typed_scan"])
+def s1_k1_csv_round_trip(spark, sf):
+    path = _file(spark, "events-csv")
+    events = read_table(spark, sf, "events")
+    write_csv(events, path)
+    return read_csv(spark, path, events.schema)
+
+
+@q("s3_stacked_shards", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def s3_stacked_shards(spark, sf):
+    """An export in two shards, read as one table."""
+    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    paths = [_file(spark, f"orders-{i}") for i in range(2)]
+    for i, path in enumerate(paths):
+        write_csv(orders.where(F.col("o_orderkey") % 2 == i), path)
+    return read_csv(spark, paths, orders.schema)
+
+
+@q("s4_k2_partitioned_reload", "SELECT event_id, user_id, ts, event_type FROM events WHERE event_type = 'view'")
+def s4_k2_partitioned_reload(spark, sf):
+    """A table stored by type and reloaded; the filter reads one partition."""
+    path = _file(spark, "events-by-type")
+    write_parquet(read_table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type"), path, ["event_type"])
+    return read_parquet(spark, path).where(F.col("event_type") == "view").select("event_id", "user_id", "ts", "event_type")
+
+
+@q("s7_m24_from_exports", CHURN + "\nSELECT * FROM churn")
+def s7_m24_from_exports(spark, sf):
+    """The churn table from exported period profiles (text times with a zone suffix) instead of raw events."""
+    users, events = stored_user_profiles(spark, sf), _ev(spark, sf)
+    periods = []
+    for name, (start, end) in (("first", SPEC.first_period), ("second", SPEC.second_period)):
+        path = _file(spark, f"export-{name}")
+        profile = act.activity_profile(events, start, end, spec=SPEC, public_only=True)
+        text = {c: F.concat(F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit(" UTC")) for c in ("last_event", "first_event")}
+        write_csv(profile.withColumns(text), path)
+        got = read_activity_export(spark, path, SPEC)
+        periods.append(got.withColumns({"actor": F.col("actor").cast("long"),
+                                        **{c: F.col(c).cast("timestamp_ntz") for c in text}}))
+    return merge_period_profiles(users, *periods, spec=SPEC)
+
+
+@q("f9_rows_with_nulls_skipped", "SELECT c_custkey AS login FROM customer WHERE c_acctbal >= 0 AND c_nationkey <> 3")
+def f9_rows_with_nulls_skipped(spark, sf):
+    from churnlens.plans.features import assembler
+    c = read_table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("login"), F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("a"),
+        F.when(F.col("c_nationkey") != 3, F.col("c_nationkey").cast("double")).alias("b"))
+    return assembler(["a", "b"]).transform(c).select("login")
+
+
+@q("j5_live_user", "WITH " + sq.users_cte(SPEC) + f""",
+u AS (SELECT max(user_id) AS login FROM events JOIN customer ON user_id = c_custkey)
+SELECT p.login, p.followers_count, count(e.event_id) AS frequency, max(e.ts) AS last_event
+FROM u JOIN profiles p ON p.login = u.login LEFT JOIN events e ON e.user_id = u.login AND {PUBLIC} GROUP BY ALL""")
+def j5_live_user(spark, sf):
+    """One user's profile with its activity as of now."""
+    from churnlens.api import live_user
+    cust = read_table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"))
+    login = read_table(spark, sf, "events").join(cust, "user_id").agg(F.max("user_id")).first()[0]  # one key, as a request names it
+    return live_user(stored_user_profiles(spark, sf), _ev(spark, sf), login, SPEC).select("login", "followers_count", "frequency", "last_event")
+
+
 # ====================================================================== streaming
 
 @q("st_a2_live_activity_profile",

@@ -55,34 +55,34 @@ class ChurnSpec:
 
     @classmethod
     def for_year(cls, year: int, **overrides) -> "ChurnSpec":
-        """The reference's yearly convention for the GitHub event archive.
+        """The yearly convention for the GitHub event archive.
 
-        Fixed values: first period Jan 1 - Jun 1, second period Jun 2 - Nov 1
-        of ``year``; outlier limit 200 events for 2016 and 600 for other
-        years; the 14 counted event types below.
+        Fixed values: first period Jan 1 to Jun 1, second period Jun 2 to Nov 1
+        of ``year``, last days included (periods here are half-open); outlier
+        limit 200 events for 2016 and 600 for other years; the 14 counted event
+        types below (columns ``PushEvent_count`` and so on).
         """
         fields = dict(
             event_types=GITHUB_EVENT_TYPES,
-            first_period=(dt.datetime(year, 1, 1), dt.datetime(year, 6, 1)),
-            second_period=(dt.datetime(year, 6, 2), dt.datetime(year, 11, 1)),
+            first_period=(dt.datetime(year, 1, 1), dt.datetime(year, 6, 2)),
+            second_period=(dt.datetime(year, 6, 2), dt.datetime(year, 11, 2)),
             outlier_limit=200 if year == 2016 else 600,
             private_types=(),
-            binarised_types=("Public", "Release"),
-            passive_types=("Delete", "Gollum", "IssueComment", "Member", "Watch"),
-            dropped_types=("Gollum", "CommitComment", "Member"),
-            whatif_types=(("watch", "Watch"), ("fork", "Fork"), ("comment", "IssueComment")),
+            binarised_types=("PublicEvent", "ReleaseEvent"),
+            passive_types=("DeleteEvent", "GollumEvent", "IssueCommentEvent", "MemberEvent", "WatchEvent"),
+            dropped_types=("GollumEvent", "CommitCommentEvent", "MemberEvent"),
+            whatif_types=(("watch", "WatchEvent"), ("fork", "ForkEvent"), ("comment", "IssueCommentEvent")),
             lifetime_end=dt.datetime(year, 6, 1, 23, 59, 59),
         )
         fields.update(overrides)
         return cls(**fields)
 
 
-# The 14 GitHub event types counted per user by the reference
-# (column ``<type>_count``; e.g. ``Push_count`` for PushEvent rows once the
-# ``Event`` suffix is stripped from the type).
-GITHUB_EVENT_TYPES = ("CommitComment", "Create", "Delete", "Fork", "Gollum", "IssueComment",
-                      "Issues", "Member", "Public", "PullRequest", "PullRequestReviewComment",
-                      "Push", "Release", "Watch")
+# The GitHub event types counted per user.
+GITHUB_EVENT_TYPES = (
+    "CommitCommentEvent", "CreateEvent", "DeleteEvent", "ForkEvent", "GollumEvent", "IssueCommentEvent",
+    "IssuesEvent", "MemberEvent", "PublicEvent", "PullRequestEvent", "PullRequestReviewCommentEvent",
+    "PushEvent", "ReleaseEvent", "WatchEvent")
 
 
 DEFAULT_SPEC = ChurnSpec()

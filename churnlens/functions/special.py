@@ -5,8 +5,8 @@ asymptotic series) for evaluating the BG/NBD likelihood of fixed parameters
 inside whole-stage codegen; ``lgamma_np``/``digamma_np`` are the same
 formulas in numpy, used by the fit per partition (an optimiser step changes
 the parameters, and literals in a column expression would force new
-generated code every step).  ``hyp2f1`` is the one vectorised
-``pandas_udf``: the Gauss series has a data-dependent number of terms.
+generated code every step).  ``hyp2f1_np`` sums the Gauss series for the vectorised
+``pandas_udf`` of expected purchases.
 """
 
 from __future__ import annotations
@@ -14,10 +14,8 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 _SHIFT = 8
 _HALF_LN_2PI = 0.5 * math.log(2.0 * math.pi)
@@ -81,7 +79,10 @@ def digamma_np(z) -> np.ndarray:
 
 
 def hyp2f1_np(a, b, c, z, tol: float = 1e-15, max_terms: int = 500_000) -> np.ndarray:
-    """Gauss ₂F₁(a, b; c; z) for 0 <= z < 1, elementwise on numpy arrays."""
+    """Gauss ₂F₁(a, b; c; z) for 0 <= z < 1, elementwise on numpy arrays.
+
+    NaN where the series has not settled after ``max_terms`` terms.
+    """
     a, b, c, z = (np.asarray(v, dtype="float64") for v in np.broadcast_arrays(a, b, c, z))
     total = np.ones_like(z)
     term = np.ones_like(z)
@@ -100,10 +101,4 @@ def hyp2f1_np(a, b, c, z, tol: float = 1e-15, max_terms: int = 500_000) -> np.nd
             # a term can be exactly 0 when a or b is a non-positive integer: series ends
             active[idx] = np.abs(t) > tol * np.abs(total[idx])
         n += 1
-    return total
-
-
-@F.pandas_udf(DoubleType())
-def hyp2f1(a: pd.Series, b: pd.Series, c: pd.Series, z: pd.Series) -> pd.Series:
-    """Column version of :func:`hyp2f1_np` (Arrow batches, numpy series)."""
-    return pd.Series(hyp2f1_np(a.to_numpy(), b.to_numpy(), c.to_numpy(), z.to_numpy()))
+    return np.where(active, np.nan, total)

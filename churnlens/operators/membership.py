@@ -1,8 +1,9 @@
-"""Membership tests (F5, J6) and the size-checked broadcast.
+"""Membership tests.
 
 The reference builds an OR chain of quoted names into SQL text (B10).  Here
 a user list is a DataFrame and membership is a ``left_semi`` join; an empty
-list gives an empty result and no text is ever spliced.
+list gives an empty result and no text is ever spliced.  Whether a key list
+is broadcast is left to its measured size (AQE).
 """
 
 from __future__ import annotations
@@ -10,27 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows below which a key list is broadcast; above it the join shuffles.
-BROADCAST_ROW_LIMIT = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast ``df`` only when it has at most ``max_rows`` rows.
-
-    The check is ``limit(max_rows + 1).count()`` — it stops reading once the
-    bound is exceeded.  Beyond the bound the plain DataFrame is returned and
-    Catalyst/AQE choose a shuffle join (or a runtime broadcast).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def members_only(events: DataFrame, users: DataFrame, event_key: str = "actor",
-                 user_key: str = "login", public_only: bool = True,
-                 max_broadcast_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+                 user_key: str = "login", public_only: bool = True) -> DataFrame:
     """events of users in ``users`` (public ones by default)."""
     keys = users.select(F.col(user_key).alias("__k")).distinct()
-    keys = bounded_broadcast(keys, max_broadcast_rows)
     ev = events.where(F.col("public")) if public_only else events
     return ev.join(keys, ev[event_key] == keys["__k"], "left_semi")
 

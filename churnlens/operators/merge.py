@@ -28,16 +28,19 @@ def churn_columns(spec: ChurnSpec = DEFAULT_SPEC) -> list[str]:
 
 
 def merge_profiles(users: DataFrame, periods: DataFrame, spec: ChurnSpec = DEFAULT_SPEC,
-                   keep_inactive: bool = False, how: str | None = None) -> DataFrame:
+                   keep_inactive: bool = False, how: str | None = None, fill_ts=None) -> DataFrame:
     """J1+J2+E4+P4+P5+P8+P11+P1 on a two-period profile.
 
     ``keep_inactive=False`` pins the reference result: users without a
     first-period row have a null ``frequency`` and are dropped by the outlier
     filter, so the join is written as the inner join Catalyst would derive
-    anyway.  ``keep_inactive=True`` keeps them with zero counts.
+    anyway.  ``keep_inactive=True`` keeps them with zero counts, and
+    ``fill_ts`` then stands for their missing first and last event.
     """
     how = how or ("left" if keep_inactive else "inner")
     j = users.join(periods, users.login == periods.actor, how).drop("actor")
+    if fill_ts is not None:
+        j = j.withColumns({c: F.coalesce(F.col(c), F.lit(fill_ts)) for c in ("last_event", "first_event")})
     counts = [F.col(c) for c in spec.count_columns]
     if keep_inactive:
         counts = [F.coalesce(c, F.lit(0)).alias(n) for c, n in zip(counts, spec.count_columns)]
@@ -67,16 +70,35 @@ def outlier_filter(df: DataFrame, limit: int) -> DataFrame:
 
 
 def churn_table(users: DataFrame, events: DataFrame, spec: ChurnSpec = DEFAULT_SPEC,
-                keep_inactive: bool = False, public_only: bool = False) -> DataFrame:
-    """The flagship merged churn table, outliers removed."""
+                keep_inactive: bool = False, public_only: bool = True) -> DataFrame:
+    """The flagship merged churn table of public events, outliers removed."""
     periods = two_period_profile(events, spec, public_only=public_only)
     merged = merge_profiles(users, periods, spec, keep_inactive=keep_inactive)
     return outlier_filter(merged, spec.outlier_limit)
 
 
-def outlier_share(users: DataFrame, events: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:
+def merge_period_profiles(users: DataFrame, first: DataFrame, second: DataFrame,
+                          spec: ChurnSpec = DEFAULT_SPEC, keep_inactive: bool = False) -> DataFrame:
+    """M24 from stored profiles of the two periods (columns of
+    :func:`activity_profile`, unique on ``actor``) instead of raw events."""
+    late = second.select("actor", row_sum([F.col(c) for c in spec.count_columns]).alias("second_period_event_count"))
+    periods = first.join(late, "actor", "full")
+    merged = merge_profiles(users, periods, spec, keep_inactive=keep_inactive)
+    return outlier_filter(merged, spec.outlier_limit)
+
+
+def serving_table(users: DataFrame, events: DataFrame, spec: ChurnSpec = DEFAULT_SPEC, fill_ts=None,
+                  public_only: bool = True) -> DataFrame:
+    """M16's input: the churn table's columns for every user, active or not,
+    outliers included; missing counts are 0 and missing event times ``fill_ts``."""
+    periods = two_period_profile(events, spec, public_only=public_only)
+    return merge_profiles(users, periods, spec, keep_inactive=True, fill_ts=fill_ts)
+
+
+def outlier_share(users: DataFrame, events: DataFrame, spec: ChurnSpec = DEFAULT_SPEC,
+                  public_only: bool = True) -> DataFrame:
     """Users before/after the outlier filter and % removed, in one pass."""
-    periods = two_period_profile(events, spec)
+    periods = two_period_profile(events, spec, public_only=public_only)
     merged = merge_profiles(users, periods, spec, how="left")
     kept = (F.col("frequency") < spec.outlier_limit) & (
         F.col("second_period_event_count") < spec.outlier_limit)
@@ -89,14 +111,17 @@ def outlier_share(users: DataFrame, events: DataFrame, spec: ChurnSpec = DEFAULT
 
 
 def serving_fill(df: DataFrame, spec: ChurnSpec = DEFAULT_SPEC, fill_ts=None) -> DataFrame:
-    """P15 (P3+P11+P12): ``event_count`` -> ``frequency``; null counts and
-    scale columns -> 0; null first/last event -> ``fill_ts``.  One projection."""
+    """P15 (P3+P11+P12): ``event_count`` becomes ``frequency``, the sum of the
+    type counts as in training (B13); null counts and scale columns -> 0; null
+    first/last event -> ``fill_ts``.  One projection."""
     fills0 = set(spec.count_columns) | set(spec.scale_columns)
     out = []
     for f in df.schema.fields:
         name = "frequency" if f.name == "event_count" else f.name
         c = F.col(f.name)
-        if name in fills0:
+        if f.name == "event_count":
+            c = row_sum([F.coalesce(F.col(x), F.lit(0)) for x in spec.count_columns])
+        elif name in fills0:
             c = F.coalesce(c, F.lit(0).cast(f.dataType))
         elif name in ("last_event", "first_event") and fill_ts is not None:
             c = F.coalesce(c, F.lit(fill_ts).cast(f.dataType))

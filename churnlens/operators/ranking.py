@@ -1,13 +1,9 @@
 """Ordering and top-k (O1-O6, M16 ranking part).
 
 Global top-k is ``orderBy(...).limit(k)``, which Spark runs as
-TakeOrderedAndProject (each task keeps k rows).  Per-group top-k is a
-``row_number() <= k`` window: Spark plans a partial ``WindowGroupLimit`` on
-the map side, so each map task forwards at most k rows per group and a group
-holding a third of all rows reaches its reducer as k rows per map task.
-Above Spark's group-limit threshold the same effect is built by hand: rank
-within (group, salt) buckets first, then rank the survivors.  Exact either
-way.
+TakeOrderedAndProject (each task keeps k rows).  Per-group top-k ranks within
+(group, salt) first, then ranks the survivors: at most k rows per salt reach
+the group's task, whatever k and the size of the group.
 """
 
 from __future__ import annotations
@@ -24,15 +20,11 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
 
 
 def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int,
-                    salt_key: str, salt_buckets: int = 256, rank_col: str = "rank",
-                    force_salt: bool = False) -> DataFrame:
+                    salt_key: str, salt_buckets: int = 16, rank_col: str = "rank") -> DataFrame:
     """Exact top-k per group (skew-safe)."""
-    w2 = Window.partitionBy(*group).orderBy(*order)
-    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if k <= limit and not force_salt:
-        return df.withColumn(rank_col, F.row_number().over(w2)).where(F.col(rank_col) <= k)
     salt = F.pmod(F.xxhash64(F.col(salt_key)), F.lit(salt_buckets))
     w1 = Window.partitionBy(*group, "__salt").orderBy(*order)
+    w2 = Window.partitionBy(*group).orderBy(*order)
     pre = (df.withColumn("__salt", salt)
            .withColumn("__r1", F.row_number().over(w1))
            .where(F.col("__r1") <= k).drop("__r1", "__salt"))

@@ -1,10 +1,10 @@
 """Seeded, partition-independent sampling and splitting.
 
 Spark's ``sample``/``randomSplit`` depend on the partition layout, so a
-re-run after an executor loss or a repartition can pick different rows.  The
-default here is a key hash: a row's fate depends only on its key and the
-seed.  Integer keys use a multiplicative hash that plain SQL can reproduce;
-other keys use ``xxhash64``.
+re-run after an executor loss or a repartition can pick different rows.  Here
+a row's fate depends only on its key and the seed, through MD5, which plain
+SQL has too: different seeds are independent, and text and integer keys are
+treated alike.  A null key is a key of its own.
 """
 
 from __future__ import annotations
@@ -12,22 +12,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_GOLDEN = 2654435761  # Knuth's multiplicative hash constant
 _MOD = 1 << 32
 
 
 def key_hash(key: str | Column, seed: int = 0) -> Column:
-    """Uniform 32-bit hash of an integer key: ((key + seed) * 2654435761) mod 2^32.
-
-    Computed on 16-bit halves so no intermediate exceeds 2^49: exact for any
-    bigint key under ANSI overflow checks, and reproducible in plain SQL.
-    """
+    """Uniform 32-bit hash of a key: the first 8 hex digits of md5('<key>:<seed>')."""
     k = F.col(key) if isinstance(key, str) else key
-    kk = F.pmod(k.cast("long") + F.lit(seed), F.lit(_MOD))
-    lo = F.pmod(kk, F.lit(65536))
-    hi = F.floor(kk / F.lit(65536)).cast("long")
-    return F.pmod(lo * F.lit(_GOLDEN) + F.pmod(hi * F.lit(_GOLDEN), F.lit(65536)) * F.lit(65536),
-                  F.lit(_MOD))
+    text = F.concat(F.coalesce(k.cast("string"), F.lit("")), F.lit(f":{seed}"))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
 
 
 def key_uniform(key: str | Column, seed: int = 0) -> Column:
@@ -35,23 +27,12 @@ def key_uniform(key: str | Column, seed: int = 0) -> Column:
     return key_hash(key, seed) / F.lit(float(_MOD))
 
 
-def string_uniform(key: str | Column, seed: int = 0) -> Column:
-    """[0, 1) from ``xxhash64`` for non-integer keys."""
-    k = F.col(key) if isinstance(key, str) else key
-    return F.pmod(F.xxhash64(k, F.lit(seed)), F.lit(_MOD)) / F.lit(float(_MOD))
-
-
 def hash_split(df: DataFrame, key: str, train_fraction: float = 0.7, seed: int = 2018):
     """M8: (train, test) split by key hash; stable under repartitioning."""
     u = key_uniform(key, seed)
     return df.where(u < train_fraction), df.where(u >= train_fraction)
 
 
-def random_split(df: DataFrame, weights=(0.7, 0.3), seed: int = 2018):
-    """M8 (reference form): Spark's ``randomSplit``."""
-    return df.randomSplit(list(weights), seed)
-
-
 def next_batch(candidates: DataFrame, known: DataFrame, key: str, n: int,
                seed: int = 0) -> DataFrame:
     """Seeded batch of ``n`` candidates not yet known.
@@ -64,31 +45,30 @@ def next_batch(candidates: DataFrame, known: DataFrame, key: str, n: int,
     return fresh.orderBy(key_hash(key, seed), F.col(key)).limit(n)
 
 
-def class_weights(df: DataFrame, label: str = "label", out: str = "class_weight") -> DataFrame:
-    """M6: weight ``ratio`` for positives and ``1 - ratio`` for negatives.
+def _with_counts(df: DataFrame, **conditions: Column) -> DataFrame:
+    """``df`` with the number of rows that meet each condition (one aggregate row, broadcast)."""
+    total = df.agg(*[F.count(F.when(c, 1)).alias(n) for n, c in conditions.items()])
+    return df.join(F.broadcast(total))
 
-    ``ratio = (N - P) / N`` is one scalar aggregate; it is fetched as a
-    number (bounded) and bound into the projection as a literal.
-    """
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col(label) == 1, 1)).alias("p")).first()
-    ratio = (r["n"] - r["p"]) / r["n"] if r["n"] else 0.0
-    return df.withColumn(out, F.when(F.col(label) == 1, F.lit(ratio)).otherwise(F.lit(1.0 - ratio)))
+
+def class_weights(df: DataFrame, label: str = "label", out: str = "class_weight") -> DataFrame:
+    """M6: weight ``ratio`` for positives and ``1 - ratio`` for negatives, ratio = (N - P) / N."""
+    counted = _with_counts(df, __n=F.lit(True), __p=F.col(label) == 1)
+    ratio = F.coalesce(F.try_divide(F.col("__n") - F.col("__p"), F.col("__n")), F.lit(0.0))
+    return counted.withColumn(out, F.when(F.col(label) == 1, ratio).otherwise(1.0 - ratio)).drop("__n", "__p")
 
 
 def undersample_majority(df: DataFrame, label: str, key: str, seed: int = 0,
                          minority_value=0) -> DataFrame:
-    """All minority rows plus a key-hash sample of the majority.
+    """All minority rows plus a key-hash sample of the majority, as one filter.
 
-    Fraction = minority / majority, clamped to 1 (Spark's ``sample`` rejects
-    fractions above 1 without replacement).
+    Fraction = minority / majority, at most 1.
     """
     y = F.col(label)
-    r = df.agg(F.count(F.when(y == minority_value, 1)).alias("m"),
-               F.count(F.when(y != minority_value, 1)).alias("a")).first()
-    frac = min(1.0, r["m"] / r["a"]) if r["a"] else 1.0
-    minority = df.where(y == minority_value)
-    majority = df.where((y != minority_value) & (key_uniform(key, seed) < frac))
-    return minority.unionByName(majority)
+    counted = _with_counts(df, __m=y == minority_value, __a=y != minority_value)
+    fraction = F.coalesce(F.try_divide(F.col("__m").cast("double"), F.col("__a")), F.lit(1.0))
+    keep = (y == minority_value) | ((y != minority_value) & (key_uniform(key, seed) < fraction))
+    return counted.where(keep).drop("__m", "__a")
 
 
 def seeded_shuffle(df: DataFrame, key: str, seed: int = 0) -> DataFrame:

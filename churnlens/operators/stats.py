@@ -10,7 +10,9 @@ from __future__ import annotations
 import itertools
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -24,13 +26,48 @@ def segment_counts(df: DataFrame, segments: Mapping[str, Column]) -> DataFrame:
                   *[F.count(F.when(cond, 1)).alias(f"n_{name}") for name, cond in segments.items()])
 
 
+QUARTILES = (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))
+
+
+def exact_quartiles(df: DataFrame, cols: Sequence[str], accuracy: int = 10000) -> DataFrame:
+    """(column, p25, p50, p75): the smallest value whose cumulative count
+    reaches p * n, exact at any size.
+
+    A first pass brackets each quartile with approximate percentiles (rank
+    error at most 1 / accuracy); the second counts the rows below the bracket
+    and, per value, those inside it, about 6 / accuracy of the rows.
+    """
+    margin = 3.0 / accuracy
+    probes = [p for _, q in QUARTILES for p in (max(0.0, q - margin), min(1.0, q + margin))]
+    got = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probes, accuracy).alias(f"q{i}")
+                   for i, c in enumerate(cols)]).first()  # one row
+    items = []
+    for i, c in enumerate(cols):
+        x = F.col(c).cast("double")
+        for j, (name, q) in enumerate(QUARTILES):
+            lo, hi = (got[f"q{i}"][2 * j], got[f"q{i}"][2 * j + 1]) if got[f"q{i}"] else (0.0, 0.0)
+            # v is null below the bracket, the value inside it; rows above only count
+            items.append(F.struct(F.lit(c).alias("column"), F.lit(name).alias("name"), F.lit(q).alias("q"),
+                                  F.when(x < lo, 0).when(x <= hi, 1).when(x > hi, 2).alias("part"),
+                                  F.when((x >= lo) & (x <= hi), x).alias("v")))
+    counted = df.select(F.inline(F.array(*items))).groupBy("column", "name", "q", "part", "v").agg(F.count("part").alias("n"))
+    counted = counted.where("part IS NOT NULL")
+    size = F.sum("n").over(Window.partitionBy("column", "name"))
+    upto = F.sum("n").over(Window.partitionBy("column", "name").orderBy("part", "v"))
+    found = counted.select("column", "name", "q", "part", "v", size.alias("size"), upto.alias("upto"))
+    found = found.where("part = 1 AND upto >= ceil(q * size)").groupBy("column", "name").agg(F.min("v").alias("v"))
+    return found.groupBy("column").agg(*[F.max(F.when(F.col("name") == n, F.col("v"))).alias(n) for n, _ in QUARTILES])
+
+
 def summary_stats(df: DataFrame, cols: Sequence[str], quartiles: bool = False,
-                  accuracy: int = 10000) -> DataFrame:
+                  approximate: bool = False, accuracy: int = 10000) -> DataFrame:
     """count/mean/stddev/min/max per column (long form), one scan.
 
-    ``quartiles=True`` adds ``percentile_approx`` quartiles (bounded memory,
-    unlike exact percentiles which hold a whole column in one task).
+    ``quartiles=True`` adds exact quartiles (two more scans), or, with
+    ``approximate=True``, ``percentile_approx`` ones in the same scan.
     """
+    if quartiles and not approximate:
+        return summary_stats(df, cols).join(exact_quartiles(df, cols, accuracy), "column", "left")
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
@@ -66,21 +103,36 @@ def pearson(a: str | Column, b: str | Column, a_nullable: bool = True,
 
 
 def correlation_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson r for every pair c1 < c2 (upper triangle).
+    """Pearson r for every pair c1 < c2 (upper triangle), over the rows
+    where both are present; null when either side has no variance there.
 
-    One small aggregation finds the columns holding nulls, then one scan
-    computes every pair; per-column moments are shared between pairs
-    wherever no pairwise mask is needed.
+    One pass: each task sums, for all pairs at once, the counts, values,
+    squares and products of its rows (matrix products with null masks); Spark
+    adds the tasks' sums.
     """
-    pairs = list(itertools.combinations(cols, 2))
-    nulls = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(f"n{i}")
-                     for i, c in enumerate(cols)]).first()
-    nullable = {c: bool(nulls[f"n{i}"]) for i, c in enumerate(cols)}
-    wide = df.agg(*[pearson(a, b, nullable[a], nullable[b]).alias(f"r{i}")
-                    for i, (a, b) in enumerate(pairs)])
-    return wide.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("c1"), F.lit(b).alias("c2"), F.col(f"r{i}").alias("r"))
-        for i, (a, b) in enumerate(pairs)])))
+    k = len(cols)
+    pairs = list(itertools.combinations(range(k), 2))
+    names = ("n", "x", "y", "xx", "yy", "xy")
+    def sums(batches):
+        total = np.zeros((6, k, k))
+        for pdf in batches:
+            m = pdf.to_numpy(dtype="float64", na_value=np.nan)
+            has = ~np.isnan(m)
+            v, h = np.where(has, m, 0.0), has.astype("float64")
+            total += np.stack([h.T @ h, v.T @ h, h.T @ v, (v * v).T @ h, h.T @ (v * v), v.T @ v])
+        yield pd.DataFrame({"a": [i for i, _ in pairs], "b": [j for _, j in pairs],
+                            **{c: [total[q, i, j] for i, j in pairs] for q, c in enumerate(names)}})
+
+    wide = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    got = wide.mapInPandas(sums, "a int, b int, " + ", ".join(f"{c} double" for c in names))
+    got = got.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in names])
+    n, x, y, xx, yy, xy = (F.col(c) for c in names)
+    vx, vy, cov = n * xx - x * x, n * yy - y * y, n * xy - x * y
+    # a variance of rounding size is none
+    flat = (vx <= 1e-12 * n * xx) | (vy <= 1e-12 * n * yy)
+    named = F.array(*[F.lit(c) for c in cols])
+    return got.select(named[F.col("a")].alias("c1"), named[F.col("b")].alias("c2"),
+                      F.when(~flat, cov / F.sqrt(vx * vy)).alias("r"))
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -94,6 +146,14 @@ def _bins_frame(spark: SparkSession, n: int) -> DataFrame:
     return spark.range(n).select(F.col("id").cast("int").alias("bin"))
 
 
+def bin_index(col: str | Column, bins: int, lo: float, hi: float) -> Column:
+    """The bin of a value among ``bins`` equal ones on [lo, hi] (last bin
+    right-closed); null outside.  The one rule of all histograms here."""
+    x = _c(col).cast("double")
+    w = (hi - lo) / bins
+    return F.when((x >= lo) & (x <= hi), F.least(F.floor((x - F.lit(lo)) / F.lit(w)), F.lit(bins - 1))).cast("int")
+
+
 def fixed_histogram(df: DataFrame, col: str | Column, bins: int = 10, lo: float = 0.0,
                     hi: float = 1.0) -> DataFrame:
     """A10: ``bins`` equal bins on [lo, hi]; last bin right-closed; empty bins 0.
@@ -101,11 +161,9 @@ def fixed_histogram(df: DataFrame, col: str | Column, bins: int = 10, lo: float
     Values outside [lo, hi] are not counted.  The bin table is generated from
     the parameter (size ``bins``), so broadcasting it is bounded.
     """
-    x = _c(col).cast("double")
     w = (hi - lo) / bins
-    b = F.least(F.floor((x - F.lit(lo)) / F.lit(w)), F.lit(bins - 1)).cast("int")
-    counted = (df.where((x >= lo) & (x <= hi)).groupBy(b.alias("bin"))
-               .agg(F.count(F.lit(1)).alias("n")))
+    counted = (df.groupBy(bin_index(col, bins, lo, hi).alias("bin"))
+               .agg(F.count(F.lit(1)).alias("n")).where("bin IS NOT NULL"))
     spark = df.sparkSession
     return (_bins_frame(spark, bins).join(F.broadcast(counted), "bin", "left")
             .select("bin",

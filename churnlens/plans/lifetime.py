@@ -33,20 +33,20 @@ from churnlens.functions.special import digamma_np, hyp2f1_np, lgamma, lgamma_np
 # ------------------------------------------------------------------ summary
 
 def lifetime_summary(activity: DataFrame, cohort: DataFrame, end: dt.datetime,
-                     fill_ts: dt.datetime) -> DataFrame:
+                     fill_ts: dt.datetime, keep_absent: bool = False) -> DataFrame:
     """(login, frequency, recency, T, second_period_event_count), weeks.
 
     ``cohort`` (login, created_at) is the earlier analysis, ``activity``
     (login, first_event, last_event, frequency, second_period_event_count)
-    the later one.  Every cohort user is kept (the reference's right join);
-    missing activity is 0 events with a filler timestamp.  T is rounded
-    half-even, recency floored, recency = 0 when frequency = 0, rows with
+    the later one.  Cohort users without later activity are dropped, as the
+    reference's null ``login`` makes it do; ``keep_absent`` keeps them with 0
+    events and a filler timestamp.  T is rounded half-even, recency floored, recency = 0 when frequency = 0, rows with
     T < 0 or recency < 0 dropped.
     """
     coh = cohort.select("login", "created_at").dropDuplicates(["login"])
     act = activity.select("login", "first_event", "last_event", "frequency",
                           "second_period_event_count")
-    j = coh.join(act, "login", "left")
+    j = coh.join(act, "login", "left" if keep_absent else "inner")
     last = F.coalesce(F.col("last_event"), F.lit(fill_ts))
     freq = F.coalesce(F.col("frequency"), F.lit(0)).cast("double")
     sec = F.coalesce(F.col("second_period_event_count"), F.lit(0)).cast("double")
@@ -74,14 +74,18 @@ class BGNBDParams:
     neg_mean_log_lik: float = float("nan")
     iterations: int = 0
     converged: bool = False
+    # Largest gradient component (log-parameters) at the end, and whether a
+    # parameter has run to 0 or infinity, so that the optimum is not interior.
+    gradient: float = float("nan")
+    at_boundary: bool = False
 
     def as_row(self):
         return (self.r, self.alpha, self.a, self.b, self.neg_mean_log_lik, self.iterations,
-                self.converged)
+                self.converged, self.gradient, self.at_boundary)
 
 
 PARAMS_SCHEMA = ("r double, alpha double, a double, b double, neg_mean_log_lik double, "
-                 "iterations int, converged boolean")
+                 "iterations int, converged boolean, gradient double, at_boundary boolean")
 
 
 def bgnbd_terms(params, x, tx, T):
@@ -140,13 +144,11 @@ def _objectives(table: DataFrame, thetas: list[np.ndarray], penalizer: float):
         yield pd.DataFrame({"point": np.arange(k, dtype="int32"),
                             **{c: acc[:, j] for j, c in enumerate(("w", "ll", "g0", "g1", "g2", "g3"))}})
 
-    # One partial row per (partition, point): bounded by the partition count
-    # of the compressed table, so the final add happens on the driver
-    # without a shuffle stage.
-    parts = table.mapInPandas(partial_sums, "point int, " + _PARTIAL_SCHEMA).collect()
+    names = ("w", "ll", "g0", "g1", "g2", "g3")
+    parts = table.mapInPandas(partial_sums, "point int, " + _PARTIAL_SCHEMA)
     tot = np.zeros((k, 6))
-    for row in parts:
-        tot[row["point"]] += [row[c] for c in ("w", "ll", "g0", "g1", "g2", "g3")]
+    for row in parts.groupBy("point").agg(*[F.sum(c).alias(c) for c in names]).collect():  # k rows
+        tot[row["point"]] = [row[c] for c in names]
     out = []
     for i, p in enumerate(ps):
         w, ll = tot[i, 0], tot[i, 1]
@@ -160,8 +162,8 @@ def _objectives(table: DataFrame, thetas: list[np.ndarray], penalizer: float):
 
 
 _STEPS = [2.0 ** -i for i in range(8)]
-# Compressed rows per task of the fit (numpy work per row is ~72 points x 40 flops).
-ROWS_PER_TASK = 200_000
+# A log-parameter beyond this (p < 1e-4 or p > 1e4) counts as run off to the boundary.
+_FAR = math.log(1e4)
 _H = 1e-4   # finite-difference step in log-parameter space
 
 
@@ -205,8 +207,6 @@ def fit_bgnbd(summary: DataFrame, penalizer: float = 1e-8, max_iter: int = 100,
     so each step re-reads it instead of recomputing the summary lineage.
     """
     table = compress(summary).checkpoint(eager=True)
-    n_rows = table.count()
-    table = table.coalesce(max(1, min(table.rdd.getNumPartitions(), -(-n_rows // ROWS_PER_TASK))))
     theta = np.log(np.asarray(init, dtype=float))
     res = _objectives(table, _with_probes(theta), penalizer)
     f, g = res[0]
@@ -244,7 +244,8 @@ def fit_bgnbd(summary: DataFrame, penalizer: float = 1e-8, max_iter: int = 100,
             break
     p = np.exp(theta)
     return BGNBDParams(*map(float, p), neg_mean_log_lik=float(f), iterations=it,
-                       converged=bool(converged))
+                       converged=bool(converged), gradient=float(np.linalg.norm(g, np.inf)),
+                       at_boundary=bool(np.any(np.abs(theta) > _FAR)))
 
 
 def params_frame(spark, params: BGNBDParams) -> DataFrame:
@@ -279,7 +280,14 @@ def log_likelihood(params: BGNBDParams, x: str = "frequency", tx: str = "recency
 
 def expected_purchases_np(t: float, r: float, al: float, a: float, b: float,
                           x, tx, T) -> np.ndarray:
-    """E[X(t) | x, t_x, T] via the Gauss series (numpy, vectorised)."""
+    """E[X(t) | x, t_x, T] via the Gauss series (numpy, vectorised).
+
+    a = 1 is a removable singularity: the value there is the mean of those
+    beside it.
+    """
+    if abs(a - 1.0) < 1e-5:
+        return (expected_purchases_np(t, r, al, 1.0 - 1e-4, b, x, tx, T)
+                + expected_purchases_np(t, r, al, 1.0 + 1e-4, b, x, tx, T)) / 2
     x, tx, T = (np.asarray(v, dtype=float) for v in (x, tx, T))
     z = t / (al + T + t)
     A, B, C = r + x, b + x, a + b + x - 1

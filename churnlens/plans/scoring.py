@@ -1,7 +1,6 @@
 """Segment-routed scoring, reports and what-if analysis.
 
-Routing is a filter per fixed segment, a ``transform`` and a
-``unionByName`` — one lazy plan, no per-row driver work.  Reports for every
+Routing and linear scores are column expressions (``plans.routing``).  Reports for every
 repo are computed at once (grouped histogram, skew-safe per-repo top-k)
 instead of one job per repo.
 """
@@ -17,13 +16,24 @@ from pyspark.sql import functions as F
 from churnlens.config import DEFAULT_SPEC, ChurnSpec
 from churnlens.functions.columns import vector_element, verdict
 from churnlens.operators.ranking import top_k_per_group
+from churnlens.operators.stats import bin_index
 from churnlens.plans.features import feature_table
-from churnlens.plans.segments import assign_segments
+from churnlens.plans.routing import Centres, Linear, centres_of, linear_of, routed, routed_threshold
 
 
-def score_by_segment(models: Mapping[str, PipelineModel], data: DataFrame,
+def score_by_segment(models: Mapping[str, PipelineModel | Linear], data: DataFrame,
                      keep: Sequence[str] = ("login",)) -> DataFrame:
-    """Route each row to its segment's model; p_active = P(label = 1)."""
+    """Route each row to its segment's model; p_active = P(label = 1).
+
+    Logistic regressions (fitted, or declared as :class:`Linear`) are one
+    projection; other classifiers are transformed segment by segment.
+    """
+    linear = {s: m if isinstance(m, Linear) else linear_of(m) for s, m in models.items()}
+    if all(m is not None for m in linear.values()):
+        scored = data.select(*keep, "segment", routed(linear).alias("p_active"), routed_threshold(linear).alias("__t"))
+        out = scored.where("p_active IS NOT NULL")
+        return out.select(*keep, "segment", "p_active", (F.col("p_active") > F.col("__t")).cast("int").alias("prediction"),
+                          verdict("p_active").alias("verdict"))
     parts = []
     for seg, model in models.items():
         scored = model.transform(data.where(F.col("segment") == seg))
@@ -55,8 +65,7 @@ def probability_histogram(scored: DataFrame, contributors: DataFrame, bins: int
     right-closed, empty bins 0 — one grouped aggregation of conditional
     counts, exploded to rows (no cross join with a bin table)."""
     j = contributors.join(scored, "login")
-    p = F.col("p_active")
-    b = F.when(p.between(0.0, 1.0), F.least(F.floor(p * bins), F.lit(bins - 1))).cast("int")
+    b = bin_index("p_active", bins, 0.0, 1.0)
     counts = F.array(*[F.count(F.when(b == i, 1)) for i in range(bins)])
     per_repo = j.groupBy("repo").agg(counts.alias("__c"))
     return per_repo.select("repo", F.posexplode("__c").alias("bin", "count")).select(
@@ -115,17 +124,17 @@ def scenarios(churn_with_segment: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) ->
     return ex.withColumns(bumped).withColumn("change", F.col("__s.change")).drop("__s")
 
 
-def whatif_scores(models: Mapping[str, PipelineModel], segment_model: PipelineModel,
+def whatif_scores(models: Mapping[str, PipelineModel | Linear], segment_model: PipelineModel | Centres,
                   churn: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:
     """P(active) per user under each scenario, all users in one job.
 
     The segment is fixed from the unchanged profile, then the scenario rows
-    are rescaled and scored with that segment's model.
+    are rescaled and scored with that segment's model: projections over one
+    read of the churn table.
     """
-    base = assign_segments(segment_model, feature_table(churn, spec)).select("login", "segment")
-    raw = churn.join(base, "login")
-    rows = scenarios(raw, spec)
-    feats = feature_table(rows, spec)
+    centres = segment_model if isinstance(segment_model, Centres) else centres_of(segment_model)
+    raw = churn.withColumn("segment", centres.segment(raw=True)).where("segment IS NOT NULL")
+    feats = feature_table(scenarios(raw, spec), spec)
     return score_by_segment(models, feats, keep=("login", "change"))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.plans.features import assembler, segment_inputs
+from churnlens.plans.routing import Centres, centres_of
 
 
 def fit_segments(features: DataFrame, k: int = 2, seed: int = 1, original: bool = False,
@@ -33,12 +34,9 @@ def cluster_summary(model: PipelineModel) -> dict:
             "wssse": float(km.summary.trainingCost)}
 
 
-def assign_segments(model: PipelineModel, features: DataFrame) -> DataFrame:
-    """M5: add ``high_low_user`` (1 = high activity) and ``segment``."""
-    centers = model.stages[-1].clusterCenters()
-    high = max(range(len(centers)), key=lambda i: (float(centers[i][0]), -i))
-    out = model.transform(features)
-    hl = (F.col("cluster") == high).cast("int")
-    seg = (F.when(F.col("company") == 1, F.lit("company"))
-           .when(hl == 1, F.lit("high")).otherwise(F.lit("low")))
-    return out.withColumns({"high_low_user": hl, "segment": seg}).drop("cluster", "KMeans_features")
+def assign_segments(model: PipelineModel | Centres, features: DataFrame) -> DataFrame:
+    """M5: add ``high_low_user`` (1 = high activity) and ``segment``; rows with
+    a null input are skipped (F9)."""
+    centres = model if isinstance(model, Centres) else centres_of(model)
+    out = features.withColumns({"high_low_user": centres.is_high().cast("int"), "segment": centres.segment()})
+    return out.where("segment IS NOT NULL")

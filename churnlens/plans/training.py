@@ -19,7 +19,7 @@ from churnlens.plans.features import feature_columns, feature_table
 from churnlens.plans.models import SEGMENTS, fit_segment_models, logistic
 from churnlens.plans.segments import assign_segments, fit_segments
 from churnlens.session import checkpoint_dir
-from churnlens.sources.tables import event_log, stored_user_profiles
+from churnlens.sources.tables import data_version, event_log, stored_user_profiles
 
 
 @dataclass
@@ -56,8 +56,9 @@ _MEMO: dict = {}
 
 
 def _key(spark: SparkSession, *parts):
+    """``parts`` holds the folder second: its files' state is part of the key."""
     sc = spark.sparkContext
-    return (sc.applicationId, id(sc), *parts)
+    return (sc.applicationId, id(sc), *parts, data_version(spark, parts[1]))
 
 
 def cached_segmented_features(spark: SparkSession, sf_dir: str, spec: ChurnSpec = DEFAULT_SPEC):

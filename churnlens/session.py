@@ -2,14 +2,16 @@
 
 The library never hard-codes cluster paths.  Lineage is cut with
 ``DataFrame.checkpoint()`` into the directory the cluster names in
-``spark.checkpoint.dir``; only when that is unset (local tests) do we set a
-scratch directory of our own.
+``spark.checkpoint.dir``; only a local session without it gets a scratch
+directory of its own.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -40,14 +42,15 @@ def get_session(master: str | None = None, app_name: str = "churnlens",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint directory of the cluster.
+    """Shared checkpoint directory of the cluster, from ``spark.checkpoint.dir``.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset (local runs)
-    a fresh scratch directory is created and registered.
+    Where it is unset, a local session gets a scratch directory; on a cluster
+    that would be a folder each executor has for itself, so it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,7 +58,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        # Local runs only: nothing names a shared folder, so take a scratch one.
+        if not re.fullmatch(r"local(\[[^,]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="churnlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, whose Python path need not hold it."""
+    sc = spark.sparkContext
+    key = (sc.applicationId, id(sc))
+    if key in _SHIPPED:
+        return
+    _SHIPPED.add(key)
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="churnlens-py-"), "churnlens.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("churnlens", os.path.relpath(full, here)))
+    sc.addPyFile(path)

@@ -19,12 +19,11 @@ def archive_event_log(raw: DataFrame) -> DataFrame:
     """The GitHub archive's event schema (type, public, repo{name},
     actor{login}, created_at, payload JSON) as the canonical event log.
 
-    ``type`` loses its ``Event`` suffix so it matches ``ChurnSpec.for_year``'s
-    type names (``PushEvent`` -> ``Push`` -> column ``Push_count``).
+    ``type`` stays as it is, so filters on it reach the scan.
     """
     return raw.select(
         F.col("actor.login").alias("actor"),
-        F.regexp_replace("type", "Event$", "").alias("type"),
+        F.col("type"),
         F.col("created_at").alias("created_at"),
         F.col("payload").alias("payload"),
         F.col("public").alias("public"),

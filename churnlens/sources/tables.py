@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlens.config import DEFAULT_SPEC, ChurnSpec
+from churnlens.functions.columns import parse_ts
 
 _L, _I, _D, _S, _TS = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType(), T.TimestampNTZType()
 
@@ -142,9 +143,37 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructTy
     """CSV with header and a declared schema; several paths stack.
 
     Values that do not parse as the declared type become null (PERMISSIVE).
+    Timestamps are read as text and parsed here, with or without a zone
+    suffix, so an export's ``2016-05-31 23:59:59 UTC`` is not lost.
     """
-    return (spark.read.schema(schema).options(header=True, mode="PERMISSIVE", **_CSV_TS)
-            .csv(list(paths) if not isinstance(paths, str) else paths))
+    times = {f.name: f.dataType for f in schema if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))}
+    as_text = T.StructType([T.StructField(f.name, _S if f.name in times else f.dataType, True) for f in schema])
+    df = (spark.read.schema(as_text).options(header=True, mode="PERMISSIVE", **_CSV_TS)
+          .csv(list(paths) if not isinstance(paths, str) else paths))
+    return df.select(*[parse_ts(f.name).cast(times[f.name]).alias(f.name) if f.name in times else F.col(f.name)
+                       for f in schema])
+
+
+def activity_schema(spec: ChurnSpec = DEFAULT_SPEC) -> T.StructType:
+    """Columns of an exported activity profile."""
+    return T.StructType([T.StructField("actor", _S), T.StructField("event_count", _L), T.StructField("last_event", T.TimestampType()),
+                         T.StructField("first_event", T.TimestampType()), *[T.StructField(c, _L) for c in spec.count_columns]])
+
+
+USER_SCHEMA = T.StructType([T.StructField(n, t) for n, t in (
+    ("login", _S), ("followers_count", _I), ("following_count", _I), ("public_repos_count", _I), ("public_gists_count", _I),
+    ("bio", _S), ("blog", _S), ("company", _S), ("hireable", T.BooleanType()), ("created_at", T.TimestampType()),
+    ("updated_at", T.TimestampType()))])
+
+
+def read_activity_export(spark: SparkSession, paths: str | Sequence[str], spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:
+    """The exported activity profile of a period, in one file or several shards."""
+    return read_csv(spark, paths, activity_schema(spec))
+
+
+def read_users_export(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """The exported users, without the index column and repeated logins."""
+    return read_csv(spark, paths, USER_SCHEMA).dropDuplicates(["login"])
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -170,18 +199,44 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 _STORED: dict = {}
 
 
+def data_version(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of a folder's files (one listing): changes when a table is written anew."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return ()
+    out, files = [], fs.listFiles(root, True)
+    while files.hasNext():
+        f = files.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
+
+
 def _stored(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
-    """Write ``build()`` once per session under the shared checkpoint folder
-    and read it back (S4: reload the saved table)."""
+    """Write ``build()`` once per session and state of the data under the
+    shared checkpoint folder and read it back (S4: reload the saved table).
+    A table stored for an older state of the folder is deleted."""
     from churnlens.session import checkpoint_dir
     key = (spark.sparkContext.applicationId, id(spark.sparkContext), name, sf_dir)
+    version = data_version(spark, sf_dir)
     df = build()
-    if key not in _STORED:
+    held = _STORED.get(key)
+    if held is None or held[0] != version:
         import uuid
         path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
         df.write.mode("overwrite").parquet(path)
-        _STORED[key] = path
-    return spark.read.schema(df.schema).parquet(_STORED[key])
+        _STORED[key] = version, path
+        if held is not None:
+            drop_stored(spark, held[1])
+    return spark.read.schema(df.schema).parquet(_STORED[key][1])
+
+
+def drop_stored(spark: SparkSession, path: str) -> None:
+    """Delete a table this library has stored."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def stored_user_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -61,9 +61,14 @@ ORDERS_AS_EVENTS = ("(SELECT o_custkey AS user_id, o_orderstatus AS event_type,
                     "FROM orders)")
 
 
-def periods_cte(spec: ChurnSpec = DEFAULT_SPEC, prefix: str = "", source: str = "events") -> str:
+def periods_cte(spec: ChurnSpec = DEFAULT_SPEC, prefix: str = "", source: str = "events",
+                public: bool = False) -> str:
     """``{prefix}first_period`` and ``{prefix}second_period`` over an event
-    source with columns (user_id, event_type, ts)."""
+    source with columns (user_id, event_type, ts); ``public`` leaves private
+    types out."""
+    if public and spec.private_types:
+        private = ", ".join(f"'{t}'" for t in spec.private_types)
+        source = f"(SELECT * FROM {source} WHERE event_type NOT IN ({private}))"
     types = ", ".join(f"'{t}'" for t in spec.event_types)
     return f"""
 {prefix}first_period AS (
@@ -102,7 +107,7 @@ def merged_cte(spec: ChurnSpec = DEFAULT_SPEC, how: str = "JOIN", fill: bool = F
 
 def churn_ctes(spec: ChurnSpec = DEFAULT_SPEC, prefix: str = "", source: str = "events") -> str:
     """CTE list (no WITH, no users) ending in ``{prefix}churn``; needs ``profiles``."""
-    return (periods_cte(spec, prefix, source) + "," + merged_cte(spec, prefix=prefix) + f""",
+    return (periods_cte(spec, prefix, source, public=True) + "," + merged_cte(spec, prefix=prefix) + f""",
 {prefix}churn AS (
   SELECT * FROM {prefix}merged
   WHERE frequency < {spec.outlier_limit} AND second_period_event_count < {spec.outlier_limit})""")

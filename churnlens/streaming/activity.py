@@ -6,21 +6,18 @@ aggregation over the event files: each micro-batch updates only the users it
 touches (``update`` output mode), and the changed rows are appended to a
 changelog table with their batch id.  Readers take the latest row per user
 with ``max_by`` — no table rewrite per batch, so the sink scales with the
-change rate, not the table size.  Exactly-once: the stream's checkpoint lives
-under the cluster's ``spark.checkpoint.dir`` and the sink is idempotent per
-batch id (a replayed batch overwrites its own partition).
+change rate, not the table size.  The sink is idempotent per batch id (a
+replayed batch overwrites its own partition), so one checkpoint folder per
+changelog gives exactly-once results; ``compact`` folds the changelog.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlens.config import DEFAULT_SPEC, ChurnSpec
 from churnlens.operators.activity import _profile_aggs
-from churnlens.session import checkpoint_dir
 from churnlens.sources.tables import SCHEMAS
 
 
@@ -48,14 +45,16 @@ def live_activity_profile(events: DataFrame, spec: ChurnSpec = DEFAULT_SPEC,
 
 
 def run_profile_changelog(spark: SparkSession, source: str, table: str,
-                          spec: ChurnSpec = DEFAULT_SPEC, checkpoint: str | None = None,
+                          spec: ChurnSpec = DEFAULT_SPEC, *, checkpoint: str,
                           available_now: bool = True, file_glob: str | None = None):
     """Run the live profile into an append-only changelog table at ``table``.
 
+    ``checkpoint`` names the stream's own folder; a restart must give the same
+    one, or batch ids start over beside old batches.
+
     ``available_now`` processes what is there and stops (batch-like runs,
     tests); otherwise the query keeps running and is returned.
     """
-    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
     prof = live_activity_profile(event_stream(spark, source, spec, file_glob=file_glob), spec)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -63,7 +62,7 @@ def run_profile_changelog(spark: SparkSession, source: str, table: str,
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(table))
 
-    w = (prof.writeStream.outputMode("update").option("checkpointLocation", ckpt)
+    w = (prof.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
          .foreachBatch(sink))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     q = w.start()
@@ -78,3 +77,11 @@ def latest_profiles(spark: SparkSession, table: str, spec: ChurnSpec = DEFAULT_S
     log = spark.read.parquet(table)
     latest = log.groupBy("actor").agg(F.max_by(F.struct(*cols), F.col("batch_id")).alias("p"))
     return latest.select("actor", *[F.col(f"p.{c}").alias(c) for c in cols])
+
+
+def compact(spark: SparkSession, table: str, into: str, spec: ChurnSpec = DEFAULT_SPEC) -> None:
+    """Write the current profiles of a changelog as a changelog of one batch
+    (numbered as the last) at a new place."""
+    last = spark.read.parquet(table).agg(F.max("batch_id").alias("batch_id"))
+    now = latest_profiles(spark, table, spec).crossJoin(F.broadcast(last))  # one row
+    now.write.partitionBy("batch_id").parquet(into)

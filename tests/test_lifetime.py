@@ -179,3 +179,26 @@ def test_log_likelihood_column_matches_numpy(spark, params):
     got = [r.ll for r in df.select(log_likelihood(BGNBDParams(*params)).alias("ll")).collect()]
     want, _ = bgnbd_terms(params, *map(np.array, zip(*CASES)))
     assert np.allclose(got, want, atol=1e-9)
+
+
+def test_series_that_does_not_settle_is_nan():
+    assert np.isnan(hyp2f1_np(np.array([1.0]), np.array([1.0]), np.array([1.0]), np.array([0.999999]), max_terms=50)).all()
+
+
+def test_expected_purchases_at_a_equal_one():
+    from churnlens.plans.lifetime import expected_purchases_np
+    x, tx, T = [0, 2, 9], [0.0, 5.0, 20.0], [8.0, 9.0, 22.0]
+    at = expected_purchases_np(10.0, 0.5, 4.0, 1.0, 2.5, x, tx, T)
+    near = [expected_purchases_np(10.0, 0.5, 4.0, a, 2.5, x, tx, T) for a in (0.999, 1.001)]
+    assert np.isfinite(at).all() and np.allclose(at, (near[0] + near[1]) / 2, rtol=1e-5)
+
+
+def test_absent_users_are_dropped_unless_kept(spark):
+    when = dt.datetime(2024, 1, 1)
+    cohort = spark.createDataFrame([(1, when), (2, when)], "login long, created_at timestamp_ntz")
+    activity = spark.createDataFrame([(1, when, dt.datetime(2024, 1, 20), 3, 1)],
+                                     "login long, first_event timestamp_ntz, last_event timestamp_ntz, frequency long, second_period_event_count long")
+    end, fill = dt.datetime(2024, 2, 1), dt.datetime(2024, 1, 1, 1)
+    assert [r.login for r in lifetime_summary(activity, cohort, end, fill).collect()] == [1]
+    kept = {r.login: r.frequency for r in lifetime_summary(activity, cohort, end, fill, keep_absent=True).collect()}
+    assert kept == {1: 3.0, 2: 0.0}

@@ -94,6 +94,40 @@ def test_auc_perfect_and_reversed(spark):
     assert mdl.auc(ties, "s", "label").first().auc_roc == pytest.approx(0.5)
 
 
+def test_auc_and_curves_do_not_round_scores(spark):
+    df = spark.range(20000).selectExpr("id * 1e-9 as s", "cast(id >= 10000 as int) as label")
+    a = mdl.auc(df, "s", "label").first()
+    assert a.auc_roc == pytest.approx(1.0) and a.auc_pr == pytest.approx(1.0)
+    roc = mdl.roc_curve(df, "s", "label")
+    assert roc.count() == 20001
+    points = [(r.fpr, r.tpr) for r in roc.orderBy(F.desc("threshold")).collect()]
+    assert points[0] == (0.0, 0.0) and points[10000] == (0.0, 1.0) and points[-1] == (1.0, 1.0)
+    assert points == sorted(points)
+    pr = mdl.pr_curve(df, "s", "label").orderBy(F.desc("threshold")).collect()
+    assert (pr[0].recall, pr[0].precision) == (1e-4, 1.0) and pr[-1].precision == pytest.approx(0.5)
+
+
+def test_full_grid_and_best_model(spark, trained):
+    best, metrics = mdl.cross_validate(trained.data, trained.features, grid="full", folds=2)
+    assert len(metrics) == 18 and all(0.4 < m <= 1.0 for m in metrics)
+    again = mdl.cross_validate(trained.data.repartition(5), trained.features, grid="full", folds=2)[1]
+    assert again == pytest.approx(metrics, abs=1e-3)  # folds don't depend on the layout
+    assert best.transform(trained.data).count() > 0
+
+
+def test_expressions_equal_model_transforms(spark, trained):
+    from churnlens.plans.routing import centres_of, linear_of
+    from pyspark.ml.functions import vector_to_array
+    for seg, model in trained.models.items():
+        part = trained.data.where(F.col("segment") == seg)
+        both = model.transform(part).select(vector_to_array("probability")[1].alias("p"), "prediction",
+                                            linear_of(model).probability().alias("q"))
+        assert both.where("abs(p - q) > 1e-9 OR (prediction = 1) <> (q > 0.5)").count() == 0
+    km = trained.segment_model.transform(trained.data)
+    c = centres_of(trained.segment_model)
+    assert km.where((F.col("cluster") == c.high) != c.is_high()).count() == 0
+
+
 def test_model_save_load_roundtrip(spark, trained, scratch):
     path = f"{scratch}/model_company"
     trained.models["company"].write().overwrite().save(path)
@@ -129,4 +163,4 @@ def test_api_end_to_end(spark, scratch):
     assert w.count() == 5
     spec = ChurnSpec.for_year(2016)
     assert spec.outlier_limit == 200 and ChurnSpec.for_year(2017).outlier_limit == 600
-    assert len(spec.count_columns) == 14 and spec.count_columns[0] == "CommitComment_count"
+    assert len(spec.count_columns) == 14 and spec.count_columns[0] == "CommitCommentEvent_count"

@@ -1,6 +1,7 @@
 """Edge cases of the relational operators on small literal frames (FIXTURES §3)."""
 
 import datetime as dt
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,10 +11,11 @@ from churnlens.functions.columns import (log1p_scaled, narrow_bigints, parse_ts,
                                          row_sum, try_int)
 from churnlens.operators import activity as act
 from churnlens.operators import stats
-from churnlens.operators.membership import bounded_broadcast, members_only, not_yet_known
-from churnlens.operators.merge import churn_table
+from churnlens.operators.membership import members_only, not_yet_known
+from churnlens.operators.activity import two_period_profile
+from churnlens.operators.merge import churn_table, merge_period_profiles
 from churnlens.operators.ranking import top_k, top_k_per_group
-from churnlens.operators.sampling import (class_weights, hash_split, key_hash, next_batch,
+from churnlens.operators.sampling import (class_weights, hash_split, key_hash, next_batch, seeded_shuffle,
                                           undersample_majority)
 
 SPEC = ChurnSpec(event_types=("a", "b"), first_period=(dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 10)),
@@ -162,20 +164,66 @@ def test_membership_empty_duplicates_quotes(spark):
     assert [r.actor for r in not_yet_known(names, known, "actor").collect()] == ["x"]
 
 
-def test_bounded_broadcast_respects_limit(spark):
-    df = spark.range(10)
-    assert "broadcast" in str(bounded_broadcast(df, 100).join(spark.range(5), "id")._jdf.queryExecution().logical()).lower()
-    big = bounded_broadcast(df, 5)
-    assert big is df
-
-
 def test_key_hash_matches_python(spark):
     df = spark.createDataFrame([(k,) for k in (0, 1, 12345, 1 << 40, 9_000_000_000)], "k long")
     got = [r.h for r in df.select(key_hash("k", 7).alias("h")).collect()]
-    want = [((k + 7) % (1 << 32)) * 2654435761 % (1 << 32) for k in (0, 1, 12345, 1 << 40, 9_000_000_000)]
+    want = [int(hashlib.md5(f"{k}:7".encode()).hexdigest()[:8], 16) for k in (0, 1, 12345, 1 << 40, 9_000_000_000)]
     assert got == want
 
 
+def test_seeds_are_independent_and_text_keys_work(spark):
+    # undersampling with one seed and splitting with another must not pick the same rows
+    df = spark.range(20000).selectExpr("cast(id as string) as login", "cast(id % 4 = 0 as int) as churned")
+    kept = undersample_majority(df, "churned", "login", seed=0, minority_value=1).where("churned = 0")
+    train, _ = hash_split(kept, "login", 0.7, 2018)
+    assert 0.65 < train.count() / kept.count() < 0.75
+    named = spark.createDataFrame([("octocat",), ("o'brien",), (None,)], "login string")
+    a, b = hash_split(named, "login")
+    assert a.count() + b.count() == 3
+    assert next_batch(named, named.where("login = 'octocat'"), "login", 5).count() == 2
+    assert seeded_shuffle(named, "login").count() == 3
+
+
+def test_yearly_periods_include_their_last_days(spark):
+    spec = ChurnSpec.for_year(2016)
+    at = ["2016-01-01 00:00:00", "2016-06-01 23:59:59", "2016-06-02 00:00:00", "2016-11-01 12:00:00", "2016-11-02 00:00:00"]
+    ev = spark.createDataFrame([("u", "PushEvent", True, t) for t in at], "actor string, type string, public boolean, t string").selectExpr(
+        "actor", "type", "public", "cast(t as timestamp_ntz) as created_at")
+    r = two_period_profile(ev, spec).first()
+    assert (r.PushEvent_count, r.second_period_event_count) == (2, 2)
+
+
+def test_bins_follow_one_rule(spark):
+    import numpy as np
+    values = [0.0, 0.1, 0.3, 0.6, 0.7, 0.95, 1.0]
+    df = spark.createDataFrame([(v,) for v in values], "p double")
+    got = [r.b for r in df.select(stats.bin_index("p", 10, 0.0, 1.0).alias("b")).collect()]
+    assert np.bincount(got, minlength=10).tolist() == np.histogram(values, bins=10, range=(0, 1))[0].tolist()
+    assert spark.createDataFrame([(1.5,)], "p double").select(stats.bin_index("p", 10, 0.0, 1.0).alias("b")).first().b is None
+
+
+def test_exact_quartiles_beyond_the_sketch(spark):
+    df = spark.range(100_001).selectExpr("cast(id * id % 100003 as double) as v", "cast(null as double) as w")
+    got = {r["column"]: (r.p25, r.p50, r.p75) for r in stats.exact_quartiles(df, ["v", "w"], accuracy=100).collect()}
+    values = sorted(i * i % 100003 for i in range(100_001))
+    assert got["v"] == tuple(float(values[-(-len(values) * k // 4) - 1]) for k in (1, 2, 3))
+    assert "w" not in got or got["w"] == (None, None, None)
+
+
+def test_churn_table_from_period_profiles(spark):
+    spec = ChurnSpec()
+    when = "cast('2024-01-03 10:00:00' as timestamp_ntz)"
+    counts = ", ".join(f"cast({i + 1} as bigint) as {c}" for i, c in enumerate(spec.count_columns))
+    first = spark.sql(f"select cast(1 as bigint) as actor, cast(15 as bigint) as event_count, {when} as last_event, {when} as first_event, {counts}")
+    second = first.withColumn("actor", F.lit(2).cast("long"))
+    users = spark.sql(f"select id as login, 1 as followers_count, 1 as following_count, 1 as public_repos_count, 1 as public_gists_count, "
+                      f"'b' as blog, 'c' as company, true as hireable, {when} as created_at, {when} as updated_at from range(1, 4)")
+    rows = {r.login: r for r in merge_period_profiles(users, first, second, spec).collect()}
+    assert set(rows) == {1} and (rows[1].frequency, rows[1].second_period_event_count) == (15, 0)
+    kept = {r.login: r.second_period_event_count for r in merge_period_profiles(users, first, second, spec, keep_inactive=True).collect()}
+    assert kept == {1: 0, 2: 15, 3: 0}
+
+
 def test_hash_split_stable_under_repartition(spark):
     df = spark.range(1000).withColumnRenamed("id", "k")
     a, _ = hash_split(df, "k", 0.7, 1)
@@ -215,9 +263,8 @@ def test_top_k_per_group_exact_with_hot_group(spark):
     rows = [("hot", i, float(i % 97)) for i in range(3000)] + [("cold", i, float(i)) for i in range(5)]
     df = spark.createDataFrame(rows, "repo string, login long, p double")
     want = sorted(((i % 97, i) for i in range(3000)))[:25]
-    for force in (False, True):
-        got = top_k_per_group(df, ["repo"], [F.col("p"), F.col("login")], 25, salt_key="login",
-                              salt_buckets=8, force_salt=force)
+    for salts in (1, 8):
+        got = top_k_per_group(df, ["repo"], [F.col("p"), F.col("login")], 25, salt_key="login", salt_buckets=salts)
         hot = [(r.login, r["rank"]) for r in got.where("repo = 'hot'").orderBy("rank").collect()]
         assert [x[0] for x in hot] == [w[1] for w in want]
         assert [x[1] for x in hot] == list(range(1, 26))

@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings labels".split()
 SQL = entry.oracle_sql()
 
 

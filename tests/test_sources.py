@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from churnlens.plans.lifetime import BGNBDParams, params_frame
@@ -70,3 +71,44 @@ def test_period_filters_prune_day_partitions(spark, scratch):
     assert "PartitionFilters" in plan and "2024-01-16" in plan
     plain = two_period_profile(event_log(spark, SF_SMALL), DEFAULT_SPEC)
     assert prof.exceptAll(plain).count() == 0 and plain.exceptAll(prof).count() == 0
+
+
+def test_export_with_zone_suffix_is_read(spark, scratch):
+    from churnlens.sources.tables import read_activity_export
+    from churnlens.config import ChurnSpec
+    spec = ChurnSpec.for_year(2016)
+    head = "actor,event_count,last_event,first_event," + ",".join(spec.count_columns)
+    for k, name in enumerate(("octocat", "o'brien")):
+        with open(f"{scratch}/shard-{k}.csv", "w") as f:
+            f.write(f"{head}\n{name},14,2016-05-31 23:59:59 UTC,2016-01-02 03:04:05 UTC," + ",".join("1" * 14) + "\n")
+    rows = read_activity_export(spark, [f"{scratch}/shard-0.csv", f"{scratch}/shard-1.csv"], spec).collect()
+    assert {r.actor for r in rows} == {"octocat", "o'brien"}
+    assert all(str(r.last_event) == "2016-05-31 23:59:59" and r.PushEvent_count == 1 for r in rows)
+
+
+def test_stored_tables_follow_the_data(spark, scratch):
+    from churnlens.sources import tables
+    spark.range(3).write.parquet(f"{scratch}/t.parquet")
+    build = lambda: spark.read.parquet(f"{scratch}/t.parquet")
+    assert tables._stored(spark, "t", scratch, build).count() == 3
+    spark.range(5).write.mode("overwrite").parquet(f"{scratch}/t.parquet")
+    assert tables._stored(spark, "t", scratch, build).count() == 5
+
+
+def test_shared_folder_is_required_on_a_cluster(monkeypatch):
+    from churnlens import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError):
+        session.checkpoint_dir(Session())
