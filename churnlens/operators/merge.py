@@ -112,14 +112,14 @@ def outlier_share(users: DataFrame, events: DataFrame, spec: ChurnSpec = DEFAULT
 
 def serving_fill(df: DataFrame, spec: ChurnSpec = DEFAULT_SPEC, fill_ts=None) -> DataFrame:
     """P15 (P3+P11+P12): ``event_count`` becomes ``frequency``, the sum of the
-    type counts as in training (B13); null counts and scale columns -> 0; null
+    type counts as in training (B13; without those it is renamed); null counts and scale columns -> 0; null
     first/last event -> ``fill_ts``.  One projection."""
     fills0 = set(spec.count_columns) | set(spec.scale_columns)
     out = []
     for f in df.schema.fields:
         name = "frequency" if f.name == "event_count" else f.name
         c = F.col(f.name)
-        if f.name == "event_count":
+        if f.name == "event_count" and set(spec.count_columns) <= set(df.columns):
             c = row_sum([F.coalesce(F.col(x), F.lit(0)) for x in spec.count_columns])
         elif name in fills0:
             c = F.coalesce(c, F.lit(0).cast(f.dataType))

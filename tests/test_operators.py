@@ -92,13 +92,15 @@ def test_churn_table_join_and_fill_semantics(spark):
     # user 1: both periods; 2: first only; 3: second only; 4: none
     ev = events(spark, [(1, "a", ts(1)), (1, "a", ts(10, 5)), (2, "b", ts(2)), (3, "a", ts(10, 6))])
     u = users(spark, [1, 2, 3, 4])
-    pinned = {r.login: r for r in churn_table(u, ev, SPEC).collect()}
+    pinned = {r.login: r for r in churn_table(u, ev, SPEC, public_only=False).collect()}
     assert set(pinned) == {1, 2}                         # B1: no first-period row -> dropped
     assert pinned[1].second_period_event_count == 1 and pinned[2].second_period_event_count == 0
     assert pinned[1].frequency == 1 and pinned[2].frequency == 1
     assert pinned[1].blog == 1 and pinned[2].blog == 0 and pinned[1].company == 0
     assert pinned[1].recency == 31                         # 2023-12-01 -> 2024-01-01
-    kept = {r.login: r for r in churn_table(u, ev, SPEC, keep_inactive=True).collect()}
+    kept = {r.login: r for r in churn_table(u, ev, SPEC, keep_inactive=True, public_only=False).collect()}
+    public = {r.login for r in churn_table(u, ev, SPEC).collect()}
+    assert public == {1}                                 # user 2 has private events only
     assert set(kept) == {1, 2, 3, 4} and kept[3].frequency == 0 and kept[3].second_period_event_count == 1
 
 
@@ -285,6 +287,9 @@ def test_serving_fill(spark):
                                "last_event timestamp_ntz")
     r = serving_fill(df, ChurnSpec(), dt.datetime(2018, 8, 1, 1)).collect()[0]
     assert (r.frequency, r.click_count, r.followers_count, r.last_event) == (0, 0, 0, dt.datetime(2018, 8, 1, 1))
+    two = ChurnSpec(event_types=("click", "view"))
+    df = spark.createDataFrame([(9, 4, 1), (9, None, 2)], "event_count long, click_count long, view_count long")
+    assert [x.frequency for x in serving_fill(df, two).collect()] == [5, 2]  # the declared types' sum, not all events
 
 
 def test_hot_user_third_of_rows(spark):
@@ -295,7 +300,7 @@ def test_hot_user_third_of_rows(spark):
     prof = {r.actor: r for r in act.activity_profile(ev, *SPEC.first_period, spec=SPEC).collect()}
     assert len(prof) == 501 and prof[1].event_count == 3000 and prof[1].b_count == 1000
     spec = ChurnSpec(**{**SPEC.__dict__, "outlier_limit": 10_000})
-    churn = {r.login: r for r in churn_table(users(spark, [1, 2, 3]), ev, spec).collect()}
+    churn = {r.login: r for r in churn_table(users(spark, [1, 2, 3]), ev, spec, public_only=False).collect()}
     assert churn[1].frequency == 3000 and churn[2].frequency == 12
     fresh = not_yet_known(spark.range(600).withColumnRenamed("id", "actor"), ev, "actor")
     assert fresh.count() == 600 - 501 - 1 + 1  # ids 0 and 501..599 were never seen
@@ -328,7 +333,7 @@ def test_archive_event_log_with_yearly_spec(spark):
     spec = ChurnSpec.for_year(2016)
     ev = archive_event_log(raw)
     p = {r.actor: r for r in act.activity_profile(ev, *spec.first_period, spec=spec, public_only=True).collect()}
-    assert set(p) == {"alice"} and p["alice"].Push_count == 1 and p["alice"].Watch_count == 0
+    assert set(p) == {"alice"} and p["alice"].PushEvent_count == 1 and p["alice"].WatchEvent_count == 0
     two = {r.actor: r for r in act.two_period_profile(ev, spec).collect()}
     assert two["alice"].second_period_event_count == 1
 
