@@ -161,9 +161,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, scale: float = 1024.0,
 
 
 def _pairs(asked: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Every block of queries with every block of candidates of the same dimension."""
+    """Every block of queries with every block of candidates of the same dimension.
+
+    The condition is written so that it isn't taken for a join key: all blocks have the same dimension, and one key is
+    one task.
+    """
     c = candidates.withColumnRenamed("dim", "c_dim")
-    return c.crossJoin(asked).filter("dim = c_dim").drop("c_dim")
+    return c.crossJoin(asked).filter(F.abs(F.col("dim") - F.col("c_dim")) < 1).drop("c_dim")
 
 
 def ranked(found: DataFrame, k: int) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.textops import saved, small_batches
+from churnlens.llm.textops import saved, sized, small_batches
 
 BLOCK = 4096  # vectors of a block, at most
 
@@ -52,7 +52,9 @@ def blocks(vectors: DataFrame, name: str, key: str, vector: str, keep_zero: bool
 
     rows = vectors.filter(F.col(key).isNotNull() & F.col(vector).isNotNull()).select(F.col(key).cast("long").alias("k"), F.col(vector).alias("v"))
     packed = rows.mapInArrow(run, "dim int, ids binary, data binary")
-    return saved(packed.select(F.xxhash64("ids").alias("block"), "dim", "ids", "data"), name)
+    packed = packed.select(F.xxhash64("ids").alias("block"), "dim", "ids", "data")
+    # A few blocks a file, so that their number sets the tasks of a search.
+    return saved(packed.repartition(sized(rows.count(), 2 * BLOCK), "block"), name)
 
 
 def gathered(vectors: DataFrame, each: int) -> DataFrame:
