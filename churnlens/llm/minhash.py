@@ -4,12 +4,13 @@ and connected components by alternating large-star and small-star.
 1. One pass over the texts makes a sketch of each document: the size and a 128-bit fingerprint of its set of word
    shingles, ``BANDS * ROWS`` minima of universal hashes (a * x + b modulo 2**64, a odd) and a key for each band.
    Documents with equal sets are linked to the smallest doc_id among them; only that one goes on.
-2. A bucket is a band key that two or more documents hold.  Every member is paired with the bucket's smallest doc_id;
-   pairs whose signatures or sizes can't reach the threshold are dropped, the others are confirmed on full sets.
+2. A bucket is a band key that two or more documents hold.  Every member is paired with two of them (the smallest
+   doc_id and the smallest hash); pairs whose signatures or sizes can't reach the threshold are dropped, the others are
+   confirmed on full sets.
 3. The links so far give components.  In buckets that still span several components, members of different components
    are compared by signature inside blocks of bounded size (all blocks of a bucket meet each other), and what is close
-   enough is confirmed on full sets.  So no link is lost to the choice of a bucket's first member, and no task holds a
-   whole bucket.
+   enough is confirmed on full sets, block by block.  So no link is lost to the choice of a bucket's first members, no
+   task holds a whole bucket, and no pair becomes a row.
 4. Components of all links.
 
 At similarity 0.75 a pair shares no band of 4 minima among 32 with probability 6e-6; the signature test drops estimates
@@ -134,9 +135,12 @@ def _close(pairs: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, set): the sorted shingle hashes of the documents in ``ids``."""
+    """(doc_id, set): the sorted shingle hashes of the documents in ``ids``.
+
+    The join is by shuffle at every size; one of several rows with the same doc_id is taken.
+    """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.join(ids, "doc_id", "left_semi")
+    rows = rows.join(ids.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -147,7 +151,15 @@ def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id").combine_chunks(),
                                                   pa.array([h[x:y].tobytes() for x, y in zip(off, off[1:])], pa.binary())], names=["doc_id", "set"])
 
-    return rows.mapInArrow(run, "doc_id long, set binary").dropDuplicates(["doc_id"])
+    return rows.mapInArrow(run, "doc_id long, set binary")
+
+
+def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    both = np.concatenate([a, b])
+    both.sort(kind="stable")
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(a) + len(b) - common)
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -157,50 +169,77 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = []
-            for x, y in zip(b.column("su"), b.column("sv")):
-                a, c = np.frombuffer(x.as_buffer(), dtype=np.uint64), np.frombuffer(y.as_buffer(), dtype=np.uint64)
-                both_ = np.concatenate([a, c])
-                both_.sort(kind="stable")
-                common = int((both_[1:] == both_[:-1]).sum())
-                keep.append(100 * common >= percent * (len(a) + len(c) - common))
+            keep = [_linked(np.frombuffer(x.as_buffer(), dtype=np.uint64), np.frombuffer(y.as_buffer(), dtype=np.uint64), percent)
+                    for x, y in zip(b.column("su"), b.column("sv"))]
             yield pa.RecordBatch.from_arrays([b.column("u"), b.column("v")], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     return both.mapInArrow(run, "u long, v long")
 
 
 def _across(buckets: DataFrame, comp: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of one bucket but different components that are close by size and signature.
+    """(group, doc_id, c, near): members of one bucket but different components that are close by size and signature.
 
-    Buckets are cut into blocks of about ``_BLOCK`` members by hash; each pair of blocks is one group.
+    Buckets are cut into blocks of about ``_BLOCK`` members by hash; a pair of blocks is a group.  ``near`` holds the
+    doc_ids beyond its own that a member is close to; a pair is listed in the first band that it shares and in no other.
+    No pair becomes a row.
     """
-    member = buckets.join(comp, "doc_id", "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("c"))
+    member = buckets.join(comp, "doc_id", "left").select("bucket", "band", "doc_id", F.coalesce("component", "doc_id").alias("c"))
     span = member.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("size"))
     span = saved(span.filter("lo <> hi").select("bucket", F.ceil(F.col("size") / _BLOCK).cast("int").alias("blocks")), "spans")
     open_ = member.join(span, "bucket")
     open_ = open_.join(sketch.select("doc_id", "n", "sig"), "doc_id")
     block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     open_ = open_.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    open_ = open_.select("bucket", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"), "block", "doc_id", "c", "n", "sig")
+    open_ = open_.select("bucket", "band", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"), "block",
+                         "doc_id", "c", "n", "sig")
     least = _least_estimate(percent)
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        same = pdf["b1"].iloc[0] == pdf["b2"].iloc[0]
+        b1, b2, band = int(pdf["b1"].iloc[0]), int(pdf["b2"].iloc[0]), int(pdf["band"].iloc[0])
+        group = int(mix64(np.array([pdf["bucket"].iloc[0]]).view(np.uint64) + np.uint64(b1 << 20 | b2)).view(np.int64)[0])
         pdf = pdf.sort_values("doc_id", kind="stable")
-        left = pdf if same else pdf[pdf["block"] == pdf["b1"]]
-        right = pdf if same else pdf[pdf["block"] == pdf["b2"]]
+        sig = np.frombuffer(b"".join(pdf["sig"]), dtype=np.uint32).reshape(len(pdf), BANDS, ROWS)
+        ids, c, n, block = (pdf[x].to_numpy() for x in ("doc_id", "c", "n", "block"))
+        near: list[list[int]] = [[] for _ in range(len(ids))]
+        seen = np.zeros(len(ids), dtype=bool)
+        for i in range(len(ids) - 1):
+            j = np.arange(i + 1, len(ids))
+            j = j[(c[j] != c[i]) & (100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i])) & ((b1 == b2) | (block[j] != block[i]))]
+            if len(j):
+                same = sig[j] == sig[i]
+                j = j[(same.mean(axis=(1, 2)) >= least) & ~same[:, :band].all(axis=2).any(axis=1)]
+            if len(j):
+                near[i] = ids[j].tolist()
+                seen[i] = seen[j] = True
+        return pd.DataFrame({"group": group, "doc_id": ids[seen], "c": c[seen],
+                             "near": [np.array(x, dtype=np.int64).tobytes() for x, s in zip(near, seen) if s]})
+
+    return open_.groupBy("bucket", "b1", "b2").applyInPandas(compare, "group long, doc_id long, c long, near binary")
+
+
+def _confirm_groups(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) between different components, from full sets; what earlier links of a group join isn't looked at."""
+    def check(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("doc_id", kind="stable")
+        ids, c = pdf["doc_id"].tolist(), dict(zip(pdf["doc_id"].tolist(), pdf["c"].tolist()))
+        held = {d: np.frombuffer(x, dtype=np.uint64) for d, x in zip(ids, pdf["set"])}
+        parent = {x: x for x in c.values()}
+
+        def find(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
         out = []
-        if len(left) and len(right):
-            sig = np.stack([np.frombuffer(s, dtype=np.uint32) for s in right["sig"]])
-            ids, c, n = (right[x].to_numpy() for x in ("doc_id", "c", "n"))
-            for d, cc, nn, s in zip(left["doc_id"], left["c"], left["n"], left["sig"]):
-                near = np.flatnonzero((c != cc) & (100 * np.minimum(n, nn) >= percent * np.maximum(n, nn)) & ((ids > d) if same else True))
-                if len(near):
-                    hit = near[_agreement(sig[near], np.frombuffer(s, dtype=np.uint32)) >= least]
-                    out += [(min(d, e), max(d, e)) for e in ids[hit].tolist()]
-        return pd.DataFrame(out, columns=["v", "u"]).astype("int64")
+        for d, others in zip(ids, pdf["near"]):
+            for e in np.frombuffer(others, dtype=np.int64).tolist():
+                x, y = find(c[d]), find(c[e])
+                if x != y and _linked(held[d], held[e], percent):
+                    parent[x] = y
+                    out.append((e, d))
+        return pd.DataFrame(out, columns=["u", "v"]).astype("int64")
 
-    return open_.groupBy("bucket", "b1", "b2").applyInPandas(compare, "v long, u long").distinct()
+    return near.join(sets, "doc_id").groupBy("group").applyInPandas(check, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -218,23 +257,23 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     reps = filled.join(copies.select(F.col("u").alias("doc_id")), "doc_id", "left_anti").dropDuplicates(["doc_id"])
     reps = saved(reps.select("doc_id", "n", "sig", "bands"), "reps")
 
-    # Buckets with two members or more, and their first.
-    held = reps.select("doc_id", F.explode("bands").alias("bucket"))
-    first = saved(held.groupBy("bucket").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-                  .filter("first <> last").select("bucket", "first"), "buckets")
+    # Buckets with two members or more; all members are paired with two of them.
+    held = reps.select("doc_id", F.posexplode("bands").alias("band", "bucket"))
+    by_hash = F.min_by("doc_id", F.xxhash64("doc_id"))
+    first = saved(held.groupBy("bucket").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), by_hash.alias("second"))
+                  .filter("first <> last").select("bucket", "first", "second"), "buckets")
     buckets = saved(held.join(first, "bucket"), "members")
-    pairs = buckets.filter("doc_id <> first").select(F.col("doc_id").alias("u"), F.col("first").alias("v")).distinct()
+    pairs = buckets.select("doc_id", F.explode(F.array("first", "second")).alias("other")).filter("doc_id <> other")
+    pairs = pairs.select(F.greatest("doc_id", "other").alias("u"), F.least("doc_id", "other").alias("v")).distinct()
     close = saved(_close(pairs, reps, percent), "close")
     ids = close.select(F.col("u").alias("doc_id")).unionByName(close.select(F.col("v").alias("doc_id"))).distinct()
     links = saved(_confirm(close, saved(_sets(docs, ids), "sets"), percent), "links")
 
-    # What the first members have not linked.
+    # What those two have not linked.
     comp = saved(components(links).select(F.col("node").alias("doc_id"), "component"), "components")
-    more = _across(buckets.select("bucket", "doc_id"), comp, reps, percent)
-    more = saved(more.join(close, ["u", "v"], "left_anti").select("u", "v"), "across")
-    ids = more.select(F.col("u").alias("doc_id")).unionByName(more.select(F.col("v").alias("doc_id"))).distinct()
-    more_links = saved(_confirm(more, saved(_sets(docs, ids), "sets"), percent), "links")
-    final = components(links.unionByName(more_links).unionByName(copies))
+    near = saved(_across(buckets.select("bucket", "band", "doc_id"), comp, reps, percent), "near")
+    more = saved(_confirm_groups(near, _sets(docs, near.select("doc_id").distinct()), percent), "links")
+    final = components(links.unionByName(more).unionByName(copies))
     final = saved(final.select(F.col("node").alias("doc_id"), "component"), "components")
     out = sketch.select("doc_id", F.col("n").alias("n_shingles")).join(final, "doc_id", "left")
     own = F.coalesce("component", "doc_id")
