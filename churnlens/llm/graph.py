@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.textops import saved
+from churnlens.llm.textops import forget, saved
 
 
 def _minimum(edges: DataFrame) -> DataFrame:
@@ -17,7 +17,9 @@ def large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the smallest of the node and its neighbours."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     found = _minimum(both)
-    return both.filter("v > u").join(found, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+    out = saved(both.filter("v > u").join(found, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct(), "edges")
+    forget(found)
+    return out
 
 
 def small_star(edges: DataFrame) -> DataFrame:
@@ -26,7 +28,9 @@ def small_star(edges: DataFrame) -> DataFrame:
     found = _minimum(down)
     linked = down.join(found, "u")
     out = linked.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(linked.select("u", F.col("m").alias("v")))
-    return out.filter("u <> v").distinct()
+    out = saved(out.filter("u <> v").distinct(), "edges")
+    forget(found)
+    return out
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -39,7 +43,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     now = saved(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     mark = _mark(now)
     for _ in range(most_rounds):
-        now = saved(small_star(large_star(now)), "edges")
+        wide = large_star(now)
+        then, now = now, small_star(wide)
+        forget(then, wide)
         new = _mark(now)
         if new == mark:
             roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.llm.graph import components
-from churnlens.llm.textops import Words, mix64, running, saved, slices, small_batches, span_hash
+from churnlens.llm.textops import Words, forget, mix64, running, saved, slices, small_batches, span_hash
 
 BANDS, ROWS = 32, 4
 PERCENT = 75
@@ -267,14 +267,18 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     pairs = pairs.select(F.greatest("doc_id", "other").alias("u"), F.least("doc_id", "other").alias("v")).distinct()
     close = saved(_close(pairs, reps, percent), "close")
     ids = close.select(F.col("u").alias("doc_id")).unionByName(close.select(F.col("v").alias("doc_id"))).distinct()
-    links = saved(_confirm(close, saved(_sets(docs, ids), "sets"), percent), "links")
+    sets = saved(_sets(docs, ids), "sets")
+    links = saved(_confirm(close, sets, percent), "links")
+    forget(first, close, sets)
 
     # What those two have not linked.
     comp = saved(components(links).select(F.col("node").alias("doc_id"), "component"), "components")
     near = saved(_across(buckets.select("bucket", "band", "doc_id"), comp, reps, percent), "near")
     more = saved(_confirm_groups(near, _sets(docs, near.select("doc_id").distinct()), percent), "links")
+    forget(buckets, near, reps)
     final = components(links.unionByName(more).unionByName(copies))
     final = saved(final.select(F.col("node").alias("doc_id"), "component"), "components")
+    forget(same, copies, comp, links, more)
     out = sketch.select("doc_id", F.col("n").alias("n_shingles")).join(final, "doc_id", "left")
     own = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))

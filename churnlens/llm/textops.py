@@ -184,7 +184,22 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut and lost executors cost no recomputation."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PATHS[id(out)] = out, path
+    return out
+
+
+_PATHS: dict[int, tuple[DataFrame, str]] = {}
+
+
+def forget(*frames: DataFrame) -> None:
+    """Delete tables of ``saved`` that nothing reads any more."""
+    for df in frames:
+        _, path = _PATHS.pop(id(df), (None, None))
+        if path:
+            spark = df.sparkSession
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def text_bytes(docs: DataFrame) -> int:
