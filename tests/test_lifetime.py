@@ -165,7 +165,7 @@ def test_lifetime_summary_cleaning(spark):
         (5, dt.datetime(2017, 1, 2), dt.datetime(2017, 3, 1), 4, 1)],
         "login long, first_event timestamp_ntz, last_event timestamp_ntz, frequency long, "
         "second_period_event_count long")
-    out = {r.login: r for r in lifetime_summary(activity, cohort, end, fill).collect()}
+    out = {r.login: r for r in lifetime_summary(activity, cohort, end, fill, keep_absent=True).collect()}
     assert set(out) == {1, 2, 4}
     assert out[2].recency == 0.0 and out[4].frequency == 0.0 and out[4].recency == 0.0
     assert out[1].recency == pytest.approx(425 / 7) and out[1].T == pytest.approx(518 / 7)
