@@ -8,7 +8,7 @@ that order, also start in a document with a smaller doc_id.
 2. Automata.  Documents are dealt to shards of a few megabytes.  Each shard gets the recurring phrases that its
    documents hold, compiles them, as text, into one Aho-Corasick automaton, and streams all its documents through it to
    locate every occurrence.  A window is a candidate if its phrase is among the occurrences.
-3. Exact check.  Candidate windows are compared by 128-bit fingerprints of all their words: inside the shard first, so
+3. Exact check.  Candidate windows are compared by 96-bit fingerprints of all their words: inside the shard first, so
    that a shard sends each different window once, with the smallest document that has it, then across shards.
 4. Each shard removes the covered words of its documents.
 
@@ -53,7 +53,7 @@ class Windows:
         self.words = w = Words(texts)
         n = len(w.start)
         self.at, self.first = w.grams(window)
-        self.second = np.zeros(0, dtype=np.uint64)
+        self.second = np.zeros(0, dtype=np.uint32)
         self.phrases = np.zeros(0, dtype=np.uint64)  # hash of the phrase that starts at each word
         self.least = np.zeros(0, dtype=np.uint64)
         if len(self.at):
@@ -61,7 +61,8 @@ class Windows:
             self.phrases = span_hash(running(w.hash), start, start + phrase)
             self.width = window - phrase + 1
             self.least = _sliding_min(self.phrases, self.width)[self.at]
-            self.second = span_hash(running(mix64(w.hash ^ np.uint64(0xA0761D6478BD642F))), self.at, self.at + window)
+            again = span_hash(running(mix64(w.hash ^ np.uint64(0xA0761D6478BD642F))), self.at, self.at + window)
+            self.second = (again >> np.uint64(32)).astype(np.uint32)
         self.doc = w.doc[self.at]
 
 
@@ -89,9 +90,10 @@ def _phrases(docs: DataFrame, window: int, phrase: int, shards: int) -> DataFram
     return docs.filter("__id IS NOT NULL").select("__id", "__shard", "__text").mapInArrow(run, "phrase long, shard int, lo long, hi long")
 
 
-def _ordered(docs: pa.Table) -> pa.Table:
-    """A shard's documents in an order that does not depend on how they arrived."""
-    return docs.sort_by([("__id", "ascending"), ("__text", "ascending")])
+def _ordered(docs: pa.Table, key: str, text: str) -> pa.Table:
+    """A shard's documents in an order that does not depend on how they arrived, with the ids as ``__id``."""
+    docs = docs.sort_by([(key, "ascending"), (text, "ascending")])
+    return docs.append_column("__id", docs.column(key).cast(pa.int64()))
 
 
 class Locator:
@@ -133,10 +135,10 @@ class Locator:
 
 
 _BLOB = "part int, shard int, f1 binary, f2 binary, id binary, at binary, known boolean"
-_DTYPES = (("f1", np.uint64), ("f2", np.uint64), ("id", np.int64), ("at", np.int64))
+_DTYPES = (("f1", np.uint64), ("f2", np.uint32), ("id", np.int64), ("at", np.int64))
 
 
-def _candidates(docs: DataFrame, recurring: DataFrame, window: int, phrase: int, parts: int) -> DataFrame:
+def _candidates(docs: DataFrame, recurring: DataFrame, window: int, phrase: int, parts: int, id_: str, text: str) -> DataFrame:
     """Candidate windows of each shard: those its smallest document has (to be compared across shards), packed by
     fingerprint part, and the removable ones it has settled itself (``known``).  ``at`` is document << 32 | word."""
     names = [c.split(" ")[0] for c in _BLOB.split(", ")]
@@ -144,11 +146,11 @@ def _candidates(docs: DataFrame, recurring: DataFrame, window: int, phrase: int,
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
         rows = []
         shard = key[0].as_py()
-        left = _ordered(left)
+        left = _ordered(left, id_, text)
         if right.num_rows and left.num_rows:
             parted, base = [], 0
-            for part in slices(left, "__text"):
-                parted.append((base, part.column("__id"), Windows(part.column("__text"), window, phrase)))
+            for part in slices(left, text):
+                parted.append((base, part.column("__id"), Windows(part.column(text), window, phrase)))
                 base += part.num_rows
             locator = Locator([w for _, _, w in parted], np.unique(right.column("phrase").to_numpy().view(np.uint64)))
             got = []
@@ -226,27 +228,28 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE
     kept = [f for f in docs.schema if f.name not in RESULTS]
     n_bytes = text_bytes(docs.select(F.col(text).cast("string").alias("text")))
     shards = sized(n_bytes, _SHARD)
-    rows = docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(key).cast("long").alias("__id"), F.col(text).cast("string").alias("__text"))
-    rows = rows.withColumn("__shard", F.pmod(F.xxhash64("__id", "__text"), F.lit(shards)).cast("int"))
-    slim = rows.select("__id", "__text", "__shard")
+    shard = F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(shards)).cast("int").alias("__shard")
+    # One deal of the documents serves both passes over the shards.
+    rows = docs.select(*[F.col(f"`{f.name}`") for f in kept], shard)
+    slim = docs.select(F.col(key).cast("long").alias("__id"), F.col(text).cast("string").alias("__text"), shard)
 
     held = _phrases(slim, window, phrase, shards)
     recurring = held.groupBy("phrase").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo < hi").select("phrase")
     recurring = held.select("phrase", "shard").join(recurring, "phrase").select("phrase", "shard")
-    gone = _settled(_candidates(slim, recurring, window, phrase, shards))
+    gone = _settled(_candidates(rows, recurring, window, phrase, shards, key, text))
 
     names = [f.name for f in kept]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
     schema += ", n_words long, n_removed long, removed_spans array<struct<first:int,end:int>>, kept_text string"
 
     def remove(left: pa.Table, right: pa.Table) -> pa.Table:
-        left = _ordered(left)
+        left = _ordered(left, key, text)
         at = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in right.column("at").to_pylist()]) if right.num_rows else np.zeros(0, dtype=np.int64)
         at = np.sort(at)
         out = []
         base = 0
-        for part in slices(left, "__text"):
-            w = Words(part.column("__text"))
+        for part in slices(left, text):
+            w = Words(part.column(text))
             own = at[np.searchsorted(at, base << 32):np.searchsorted(at, (base + part.num_rows) << 32)]
             doc, word = (own >> 32) - base, own & 0xFFFFFFFF
             edge = np.zeros(len(w.start) + 1, dtype=np.int64)
