@@ -164,7 +164,10 @@ def slices(table: pa.Table | pa.RecordBatch, text: str = "text", most_bytes: int
 
 
 def small_batches(spark: SparkSession, rows: int = 1024) -> None:
-    """Lower the Arrow batch size so that a batch of long documents stays small in a Python worker."""
+    """Before Python runs in tasks: send the package to the executors, and lower the Arrow batch size so that a batch
+    of long documents stays small in a worker."""
+    from churnlens.session import ship_package
+    ship_package(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key, "10000"))
     if now <= 0 or now > rows:
