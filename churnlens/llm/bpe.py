@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from churnlens.llm.textops import CODES, Memo, ragged, raw, running, slices, small_batches, span_hash
 
 _CODE = 1 << 20  # ids are below this; a pair of ids is one integer
-_SLICE = 4 << 20  # bytes of text whose unseen pre-tokens share one queue
+_SLICE = 2 << 20  # bytes of text whose unseen pre-tokens share one queue
 
 
 def load_ranks(path: str) -> dict[bytes, int]:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from churnlens.llm.bpe import ByteBpe, coder, load_json
 from churnlens.llm.textops import saved, slices, small_batches
 
-_SLICE = 4 << 20
+_SLICE = 2 << 20
 _GROUP = 20_000  # open pieces that one group packs at the end
 
 

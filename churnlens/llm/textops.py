@@ -87,7 +87,7 @@ class Memo:
     ``make`` turns a list of strings into a list of integer sequences; it sees each string once while it is kept.
     """
 
-    def __init__(self, make, most: int = 1_000_000):
+    def __init__(self, make, most: int = 500_000):
         self.make, self.most = make, most
         self._clear()
 

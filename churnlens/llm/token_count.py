@@ -28,7 +28,7 @@ from churnlens.llm.textops import Memo, Words, slices, small_batches
 #: Fixed value: the pre-token pattern of lower-case vocabularies with word ends (white space is dropped).
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"""
 WORD_END = "</w>"
-_SLICE = 4 << 20
+_SLICE = 2 << 20
 
 
 class WordCounter:
