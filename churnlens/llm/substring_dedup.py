@@ -105,9 +105,10 @@ class Locator:
             if not len(w.at):
                 continue
             here = np.intersect1d(np.unique(w.least), recurring)
-            spots = np.flatnonzero(np.isin(w.phrases, here))
-            spots = spots[np.unique(w.phrases[spots], return_index=True)[1]]
             data, words = w.words.buf.tobytes(), w.words
+            inside = words.doc[:len(w.phrases)] == words.doc[PHRASE - 1:]  # documents stand in the buffer without a separator
+            spots = np.flatnonzero(inside & np.isin(w.phrases, here))
+            spots = spots[np.unique(w.phrases[spots], return_index=True)[1]]
             for p in spots.tolist():
                 text = " ".join(_SPLIT.split(data[words.start[p]:words.end[p + PHRASE - 1]].decode()))
                 if text not in seen:

@@ -62,6 +62,13 @@ def test_substring_dedup_of_repeated_and_null_ids(spark):
     assert got == [(False, 2, 0), (False, 5, 0), (False, 5, 0), (False, 7, 80), (True, 0, 0)]
 
 
+def test_phrases_that_first_run_across_two_documents_are_located(spark):
+    rows = [(1, "x y"), (2, "x y " * 60), (3, "x y " * 60), (4, "x\ny"), (5, "y " + "x y " * 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.n_removed for r in substring_dedup.dedup_substrings(docs).collect()}
+    assert got == {i: brute.substring_dedup(rows)[i, t][1] for i, t in rows} and got[3] == 120
+
+
 def test_drop_repeats_returns_the_columns_of_the_input(spark):
     long = " ".join(f"t{k}" for k in range(60))
     docs = spark.createDataFrame([(1, long, len(long)), (2, "a  b " + long, len(long) + 5), (3, "a  b", 4)], "doc_id long, text string, n_chars long")
