@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,10 +33,14 @@ def usable(part: pa.RecordBatch, vector: str) -> tuple[np.ndarray, list[np.ndarr
 
 
 def blocks(vectors: DataFrame, name: str, key: str, vector: str, keep_zero: bool = True) -> DataFrame:
-    """(block, dim, ids, data): packed vectors (float64, row by row), stored; unusable vectors are left out."""
+    """(block, dim, ids, data): packed vectors (float64, row by row), stored; unusable vectors are left out.
+
+    A block's id is the number of the task that packed it and a counter: blocks may hold the same ids.
+    """
     small_batches(vectors.sparkSession, BLOCK)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, made = TaskContext.get().partitionId(), 0
         for b in batches:
             dims, ids, data = [], [], []
             for rows, m in usable(b, "v"):
@@ -47,12 +52,13 @@ def blocks(vectors: DataFrame, name: str, key: str, vector: str, keep_zero: bool
                     dims.append(m.shape[1])
                     ids.append(k[a:a + BLOCK].astype(np.int64).tobytes())
                     data.append(m[a:a + BLOCK].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(dims, pa.int32()), pa.array(ids, pa.binary()), pa.array(data, pa.binary())],
-                                             names=["dim", "ids", "data"])
+            block = (task << 32) + made + np.arange(len(dims), dtype=np.int64)
+            made += len(dims)
+            yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(dims, pa.int32()), pa.array(ids, pa.binary()), pa.array(data, pa.binary())],
+                                             names=["block", "dim", "ids", "data"])
 
     rows = vectors.filter(F.col(key).isNotNull() & F.col(vector).isNotNull()).select(F.col(key).cast("long").alias("k"), F.col(vector).alias("v"))
-    packed = rows.mapInArrow(run, "dim int, ids binary, data binary")
-    packed = packed.select(F.xxhash64("ids").alias("block"), "dim", "ids", "data")
+    packed = rows.mapInArrow(run, "block long, dim int, ids binary, data binary")
     # A few blocks a file, so that their number sets the tasks of a search.
     return saved(packed.repartition(sized(rows.count(), 2 * BLOCK), "block"), name)
 

@@ -1,9 +1,10 @@
 """Exact top-k against brute force; recall of the hash-prefix forest."""
 
+import duckdb
 import numpy as np
 import pytest
 
-from churnlens.llm import ann, topk
+from churnlens.llm import ann, queries, topk, vectors
 from tests.llm import brute
 
 SCHEMA = "vec_id long, embedding array<float>, rank string"
@@ -51,6 +52,27 @@ def test_top_k_with_few_candidates_and_none(spark):
     assert ann.nearest(none, none, 3).count() == 0 and ann.nearest(one, one, 3).count() == 0
 
 
+def test_doubled_rows_in_several_blocks_of_queries(spark, scratch):
+    rng = np.random.default_rng(6)
+    m = rng.standard_normal((400, 8)).astype(np.float32)
+    rows = [(100 * i, m[i].tolist()) for i in range(400) for _ in range(2)]
+    path = f"{scratch}/embeddings.parquet"
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1).write.parquet(path)
+    df = spark.read.parquet(path)
+    got = sorted(tuple(r) for r in queries.op3_exact_topk(spark, scratch).collect())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{path}/*.parquet'")
+    assert got == sorted(con.execute(queries.ORACLE["op3_exact_topk"]).fetchall())
+    asked = vectors.blocks(vectors.gathered(df, 256), "queries", "vec_id", "embedding")
+    assert asked.count() == asked.select("block").distinct().count() > 1
+    near = {}
+    for r in ann.nearest(df, df, 10).collect():
+        near.setdefault(r.query_id, []).append(r.vec_id)
+    exact = brute.nearest(list(range(400)), m.astype(float), list(range(400)), 10, lambda q, c: c @ q)
+    hit = [len(set(near[100 * q]) & {100 * i for i, _ in exact[q][:3]}) / 3 for q in exact]
+    assert np.mean(hit) >= 0.9
+
+
 def test_large_scores_stay_exact():
     q, c = np.array([[2.0 ** 27 + 1, 1.0]]), np.array([[2.0 ** 27 - 1, 3.0]])
     assert topk.scores(q, c)[0, 0] == (2 ** 27 + 1) * (2 ** 27 - 1) + 3
