@@ -4,7 +4,8 @@ Every tree hashes a vector to a string of ``LENGTH`` bits (the signs of its prod
 the strings of a block of rows as a sorted array.  A query descends each tree to its longest prefix match; then all
 trees ascend together, one bit at a time, until the prefixes at that depth hold enough candidates.  Rows with a common
 prefix are a range of each sorted array, so descent and ascent are binary searches.  Blocks of rows count alone; the
-depth of a query is taken from the sum over all blocks, as if each tree were one array.
+depth of a query is taken from the sum over all blocks, as if each tree were one array.  A query with no more than k
+candidates ascends to the top, where every row is.
 
 How many candidates are enough is measured: for a bounded sample of queries the exact neighbours are found by brute
 force, and the fewest candidates that reach ``RECALL`` on them are taken.  Every row is indexed.  Candidates are scored
@@ -158,9 +159,11 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id",
     def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in cells(batches):
             qi, q = matrix(row["q_ids"], row["q_data"], row["dim"])
-            _, c = matrix(row["ids"], row["data"], row["dim"])
+            ci, c = matrix(row["ids"], row["data"], row["dim"])
             counts = Forest(c, length).counts(strings(q, None))
             n = np.diff(counts[:, ::-1], prepend=0, axis=1)[:, ::-1]  # rows at exactly that depth
+            own = np.sort(ci)
+            n = np.column_stack([n, np.searchsorted(own, qi, side="right") - np.searchsorted(own, qi)])  # and rows of the query's id
             a, x = np.nonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), row["q_block"])), pa.array(a, pa.int32()), pa.array(x, pa.int32()), pa.array(n[a, x])],
                                              names=["q_block", "q", "x", "n"])
@@ -170,10 +173,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id",
     def ascend(key_, left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         for row in left.to_pylist():
-            table = np.zeros((len(row["q_ids"]) // 8, LENGTH + 1), dtype=np.int64)
+            table = np.zeros((len(row["q_ids"]) // 8, LENGTH + 2), dtype=np.int64)
             table[right.column("q").to_numpy(), right.column("x").to_numpy()] = right.column("n").to_numpy()
-            table = np.cumsum(table[:, ::-1], axis=1)[:, ::-1]
-            out.append((row["q_block"], np.array([_depth(c, enough) for c in table], dtype=np.int64).tobytes()))
+            table, own = np.cumsum(table[:, -2::-1], axis=1)[:, ::-1], table[:, -1]
+            depth = np.array([_depth(c, enough) for c in table], dtype=np.int64)
+            depth[table[:, 0] // TREES - own <= k] = 0  # no more candidates than asked for: all of them
+            out.append((row["q_block"], depth.tobytes()))
         cols = list(zip(*out)) if out else [[], []]
         return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary())], names=["q_block", "depth"])
 

@@ -103,6 +103,23 @@ def test_forest_finds_longest_inner_products_of_uneven_vectors(spark):
     assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 5 for q in want]) >= 0.9
 
 
+@pytest.mark.parametrize("n", [5, 15, 20, 21])
+def test_forest_finds_all_candidates_of_small_tables(spark, n):
+    m = np.random.default_rng(n).standard_normal((n, 16))
+    df = spark.createDataFrame([(i, m[i].tolist()) for i in range(n)], "vec_id long, embedding array<double>")
+    got = grouped(ann.nearest(df, df, 20))
+    assert {q: {i for i, _ in found} for q, found in got.items()} == {q: set(range(n)) - {q} for q in range(n)}
+
+
+def test_forest_finds_all_candidates_of_a_rare_length(spark):
+    rng = np.random.default_rng(12)
+    rows = [(i, rng.standard_normal(16).tolist()) for i in range(600)] + [(1000 + i, rng.standard_normal(24).tolist()) for i in range(14)]
+    df = spark.createDataFrame([*rows, rows[-1]], "vec_id long, embedding array<double>")  # the last one twice
+    got = grouped(ann.nearest(df, df.filter("vec_id % 3 = 0 OR vec_id >= 1000"), 14))
+    for q in range(1000, 1013):
+        assert sorted(i for i, _ in got[q]) == sorted([*(i for i in range(1000, 1014) if i != q), 1013])
+
+
 def test_descent_and_ascent_count_prefixes():
     rng = np.random.default_rng(8)
     c = rng.standard_normal((50, 4))
