@@ -1146,7 +1146,7 @@ def _tree_metrics(spark, sf, estimator):
 
 @q("m11_gbt_metrics")
 def m11_gbt_metrics(spark, sf):
-    return _tree_metrics(spark, sf, mdl.gbt(max_iter=20))
+    return _tree_metrics(spark, sf, mdl.gbt())
 
 
 @q("m11_forest_metrics")

@@ -164,3 +164,9 @@ def test_api_end_to_end(spark, scratch):
     spec = ChurnSpec.for_year(2016)
     assert spec.outlier_limit == 200 and ChurnSpec.for_year(2017).outlier_limit == 600
     assert len(spec.count_columns) == 14 and spec.count_columns[0] == "CommitCommentEvent_count"
+
+
+def test_gbt_metrics_fit_as_many_trees_as_the_scores(spark, monkeypatch):
+    from churnlens import catalog
+    monkeypatch.setattr(catalog, "_tree_metrics", lambda spark, sf, estimator: estimator)
+    assert catalog.m11_gbt_metrics(spark, None).getMaxIter() == 50  # the reference's maxIter
