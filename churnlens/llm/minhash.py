@@ -3,9 +3,10 @@ and connected components by alternating large-star and small-star.
 
 1. One pass over the texts makes a sketch of each document: the size and a 128-bit fingerprint of its set of word
    shingles, ``BANDS * ROWS`` minima of universal hashes (a * x + b modulo 2**64, a odd) and a key for each band.
-   Documents with equal sets are linked to the smallest doc_id among them; only that one goes on.
-2. A bucket is a band key that two or more documents hold.  Every member is paired with two of them (the smallest
-   doc_id and the smallest hash); pairs whose signatures or sizes can't reach the threshold are dropped, the others are
+   Documents with equal sets are linked to the smallest doc_id among them; only one row of each set goes on, under a
+   row number, so that texts that share a doc_id are compared each for itself.
+2. A bucket is a band key that two or more rows hold.  Every member is paired with two of them (the smallest row
+   number and the smallest hash); pairs whose signatures or sizes can't reach the threshold are dropped, the others are
    confirmed on full sets.
 3. The links so far give components.  In buckets that still span several components, members of different components
    are compared by signature inside blocks of bounded size (all blocks of a bucket meet each other), and what is close
@@ -37,6 +38,7 @@ from churnlens.llm.textops import Words, forget, mix64, running, saved, slices,
 
 BANDS, ROWS = 32, 4
 PERCENT = 75
+_PAIR = ("u", "v", "du", "dv")
 _BLOCK = 256  # members of a bucket that are compared at once
 _RNG = np.random.Generator(np.random.PCG64(75))
 _A = _RNG.integers(1, 1 << 63, size=BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -81,6 +83,12 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return out
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, t1, t2): the texts with a 128-bit hash, which tells the texts of one doc_id apart."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.select("doc_id", "text", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"))
+
+
 def _sketch(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -99,13 +107,12 @@ def _sketch(docs: DataFrame) -> DataFrame:
                 small[rows] = (sig >> np.uint64(32)).astype(np.uint32)
                 id_ = part.column("doc_id").combine_chunks()
                 yield pa.RecordBatch.from_arrays([
-                    id_, pa.array(n, pa.int64()), *(pa.array(m.view(np.int64)) for m in marks),
+                    id_, *(part.column(x).combine_chunks() for x in ("t1", "t2")), pa.array(n, pa.int64()), *(pa.array(m.view(np.int64)) for m in marks),
                     pa.array([r.tobytes() for r in small], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(np.arange(w.n_docs + 1) * BANDS, pa.int32()), pa.array(keys.reshape(-1).view(np.int64)))],
-                    names=["doc_id", "n", "f1", "f2", "sig", "bands"])
+                    names=["doc_id", "t1", "t2", "n", "f1", "f2", "sig", "bands"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n long, f1 long, f2 long, sig binary, bands array<long>")
+    return _texts(docs).mapInArrow(run, "doc_id long, t1 long, t2 long, n long, f1 long, f2 long, sig binary, bands array<long>")
 
 
 def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -117,30 +124,31 @@ def _least_estimate(percent: int) -> float:
     return j - 6 * (j * (1 - j) / (BANDS * ROWS)) ** 0.5
 
 
-def _close(pairs: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose sizes and signatures allow the threshold."""
-    side = sketch.select("doc_id", "n", "sig")
-    both = pairs.join(side.select(F.col("doc_id").alias("v"), F.col("n").alias("nv"), F.col("sig").alias("sv")), "v")
-    both = both.join(side.select(F.col("doc_id").alias("u"), F.col("n").alias("nu"), F.col("sig").alias("su")), "u")
-    both = both.filter(100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv")).select("u", "v", "su", "sv")
+def _close(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) whose sizes and signatures allow the threshold, with the doc_ids (du, dv) of both."""
+    side = reps.select("row", "doc_id", "n", "sig")
+    both = pairs.join(side.select(F.col("row").alias("v"), F.col("doc_id").alias("dv"), F.col("n").alias("nv"), F.col("sig").alias("sv")), "v")
+    both = both.join(side.select(F.col("row").alias("u"), F.col("doc_id").alias("du"), F.col("n").alias("nu"), F.col("sig").alias("su")), "u")
+    both = both.filter(100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv")).select(*_PAIR, "su", "sv")
     least = _least_estimate(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
                 a, c = (np.frombuffer(b"".join(b.column(x).to_pylist()), dtype=np.uint32).reshape(b.num_rows, -1) for x in ("su", "sv"))
-                yield pa.RecordBatch.from_arrays([b.column("u"), b.column("v")], names=["u", "v"]).filter(pa.array(_agreement(a, c) >= least))
+                yield b.select(list(_PAIR)).filter(pa.array(_agreement(a, c) >= least))
 
-    return both.mapInArrow(run, "u long, v long")
+    return both.mapInArrow(run, "u long, v long, du long, dv long")
 
 
-def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, set): the sorted shingle hashes of the documents in ``ids``.
+def _sets(docs: DataFrame, reps: DataFrame, rows: DataFrame) -> DataFrame:
+    """(row, set): the sorted shingle hashes of the documents in ``rows``.
 
-    The join is by shuffle at every size; one of several rows with the same doc_id is taken.
+    The join is by shuffle at every size; one of several rows with the same doc_id and text is taken.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.join(ids.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    key = ["doc_id", "t1", "t2"]
+    wanted = reps.select("row", *key).join(rows, "row", "left_semi")
+    texts = _texts(docs).join(wanted.hint("merge"), key).dropDuplicates(key).select("row", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -148,10 +156,10 @@ def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
                 w = Words(part.column("text"), lower=True)
                 doc, h = shingles(w)
                 off = np.searchsorted(doc, np.arange(w.n_docs + 1)).tolist()
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").combine_chunks(),
-                                                  pa.array([h[x:y].tobytes() for x, y in zip(off, off[1:])], pa.binary())], names=["doc_id", "set"])
+                yield pa.RecordBatch.from_arrays([part.column("row").combine_chunks(),
+                                                  pa.array([h[x:y].tobytes() for x, y in zip(off, off[1:])], pa.binary())], names=["row", "set"])
 
-    return rows.mapInArrow(run, "doc_id long, set binary")
+    return texts.mapInArrow(run, "row long, set binary")
 
 
 def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -164,42 +172,42 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets reach the threshold."""
-    both = pairs.join(sets.select(F.col("doc_id").alias("v"), F.col("set").alias("sv")), "v")
-    both = both.join(sets.select(F.col("doc_id").alias("u"), F.col("set").alias("su")), "u").select("u", "v", "su", "sv")
+    both = pairs.join(sets.select(F.col("row").alias("v"), F.col("set").alias("sv")), "v")
+    both = both.join(sets.select(F.col("row").alias("u"), F.col("set").alias("su")), "u").select(*_PAIR, "su", "sv")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = [_linked(np.frombuffer(x.as_buffer(), dtype=np.uint64), np.frombuffer(y.as_buffer(), dtype=np.uint64), percent)
                     for x, y in zip(b.column("su"), b.column("sv"))]
-            yield pa.RecordBatch.from_arrays([b.column("u"), b.column("v")], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
+            yield b.select(list(_PAIR)).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(run, "u long, v long")
+    return both.mapInArrow(run, "u long, v long, du long, dv long")
 
 
-def _across(buckets: DataFrame, comp: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
-    """(group, doc_id, c, near): members of one bucket but different components that are close by size and signature.
+def _across(buckets: DataFrame, comp: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """(group, row, doc_id, c, near): members of one bucket but different components that are close by size and signature.
 
     Buckets are cut into blocks of about ``_BLOCK`` members by hash; a pair of blocks is a group.  ``near`` holds the
-    doc_ids beyond its own that a member is close to; a pair is listed in the first band that it shares and in no other.
+    rows beyond its own that a member is close to; a pair is listed in the first band that it shares and in no other.
     No pair becomes a row.
     """
-    member = buckets.join(comp, "doc_id", "left").select("bucket", "band", "doc_id", F.coalesce("component", "doc_id").alias("c"))
+    member = buckets.join(comp, "row", "left").select("bucket", "band", "row", F.coalesce("component", "row").alias("c"))
     span = member.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("size"))
     span = saved(span.filter("lo <> hi").select("bucket", F.ceil(F.col("size") / _BLOCK).cast("int").alias("blocks")), "spans")
     open_ = member.join(span, "bucket")
-    open_ = open_.join(sketch.select("doc_id", "n", "sig"), "doc_id")
-    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+    open_ = open_.join(reps.select("row", "doc_id", "n", "sig"), "row")
+    block = F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int")
     open_ = open_.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     open_ = open_.select("bucket", "band", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"), "block",
-                         "doc_id", "c", "n", "sig")
+                         "row", "doc_id", "c", "n", "sig")
     least = _least_estimate(percent)
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         b1, b2, band = int(pdf["b1"].iloc[0]), int(pdf["b2"].iloc[0]), int(pdf["band"].iloc[0])
         group = int(mix64(np.array([pdf["bucket"].iloc[0]]).view(np.uint64) + np.uint64(b1 << 20 | b2)).view(np.int64)[0])
-        pdf = pdf.sort_values("doc_id", kind="stable")
+        pdf = pdf.sort_values("row", kind="stable")
         sig = np.frombuffer(b"".join(pdf["sig"]), dtype=np.uint32).reshape(len(pdf), BANDS, ROWS)
-        ids, c, n, block = (pdf[x].to_numpy() for x in ("doc_id", "c", "n", "block"))
+        ids, docs, c, n, block = (pdf[x].to_numpy() for x in ("row", "doc_id", "c", "n", "block"))
         near: list[list[int]] = [[] for _ in range(len(ids))]
         seen = np.zeros(len(ids), dtype=bool)
         for i in range(len(ids) - 1):
@@ -211,17 +219,18 @@ def _across(buckets: DataFrame, comp: DataFrame, sketch: DataFrame, percent: int
             if len(j):
                 near[i] = ids[j].tolist()
                 seen[i] = seen[j] = True
-        return pd.DataFrame({"group": group, "doc_id": ids[seen], "c": c[seen],
+        return pd.DataFrame({"group": group, "row": ids[seen], "doc_id": docs[seen], "c": c[seen],
                              "near": [np.array(x, dtype=np.int64).tobytes() for x, s in zip(near, seen) if s]})
 
-    return open_.groupBy("bucket", "b1", "b2").applyInPandas(compare, "group long, doc_id long, c long, near binary")
+    return open_.groupBy("bucket", "b1", "b2").applyInPandas(compare, "group long, row long, doc_id long, c long, near binary")
 
 
 def _confirm_groups(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) between different components, from full sets; what earlier links of a group join isn't looked at."""
+    """Links (du, dv) between different components, from full sets; what earlier links of a group join isn't looked at."""
     def check(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("doc_id", kind="stable")
-        ids, c = pdf["doc_id"].tolist(), dict(zip(pdf["doc_id"].tolist(), pdf["c"].tolist()))
+        pdf = pdf.sort_values("row", kind="stable")
+        ids = pdf["row"].tolist()
+        c, docs = dict(zip(ids, pdf["c"].tolist())), dict(zip(ids, pdf["doc_id"].tolist()))
         held = {d: np.frombuffer(x, dtype=np.uint64) for d, x in zip(ids, pdf["set"])}
         parent = {x: x for x in c.values()}
 
@@ -236,10 +245,10 @@ def _confirm_groups(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame
                 x, y = find(c[d]), find(c[e])
                 if x != y and _linked(held[d], held[e], percent):
                     parent[x] = y
-                    out.append((e, d))
-        return pd.DataFrame(out, columns=["u", "v"]).astype("int64")
+                    out.append((docs[e], docs[d]))
+        return pd.DataFrame(out, columns=["du", "dv"]).astype("int64")
 
-    return near.join(sets, "doc_id").groupBy("group").applyInPandas(check, "u long, v long")
+    return near.join(sets, "row").groupBy("group").applyInPandas(check, "du long, dv long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -253,30 +262,33 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     same = saved(filled.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
                  .filter("rep <> last").drop("last"), "same")
     copies = filled.select("doc_id", "n", "f1", "f2").join(same, ["n", "f1", "f2"])
-    copies = saved(copies.filter("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v")).distinct(), "copies")
-    reps = filled.join(copies.select(F.col("u").alias("doc_id")), "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    reps = saved(reps.select("doc_id", "n", "sig", "bands"), "reps")
+    copies = saved(copies.filter("doc_id <> rep").distinct(), "copies")
+    # One row of each set goes on, under a number of its own: a doc_id may have several texts.
+    key = ["doc_id", "n", "f1", "f2"]
+    reps = filled.join(copies.select(*key), key, "left_anti").dropDuplicates(key)
+    reps = saved(reps.select(F.monotonically_increasing_id().alias("row"), "doc_id", "t1", "t2", "n", "sig", "bands"), "reps")
 
     # Buckets with two members or more; all members are paired with two of them.
-    held = reps.select("doc_id", F.posexplode("bands").alias("band", "bucket"))
-    by_hash = F.min_by("doc_id", F.xxhash64("doc_id"))
-    first = saved(held.groupBy("bucket").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), by_hash.alias("second"))
+    held = reps.select("row", F.posexplode("bands").alias("band", "bucket"))
+    by_hash = F.min_by("row", F.xxhash64("row"))
+    first = saved(held.groupBy("bucket").agg(F.min("row").alias("first"), F.max("row").alias("last"), by_hash.alias("second"))
                   .filter("first <> last").select("bucket", "first", "second"), "buckets")
     buckets = saved(held.join(first, "bucket"), "members")
-    pairs = buckets.select("doc_id", F.explode(F.array("first", "second")).alias("other")).filter("doc_id <> other")
-    pairs = pairs.select(F.greatest("doc_id", "other").alias("u"), F.least("doc_id", "other").alias("v")).distinct()
+    pairs = buckets.select("row", F.explode(F.array("first", "second")).alias("other")).filter("row <> other")
+    pairs = pairs.select(F.greatest("row", "other").alias("u"), F.least("row", "other").alias("v")).distinct()
     close = saved(_close(pairs, reps, percent), "close")
-    ids = close.select(F.col("u").alias("doc_id")).unionByName(close.select(F.col("v").alias("doc_id"))).distinct()
-    sets = saved(_sets(docs, ids), "sets")
+    rows = close.select(F.col("u").alias("row")).unionByName(close.select(F.col("v").alias("row"))).distinct()
+    sets = saved(_sets(docs, reps, rows), "sets")
     links = saved(_confirm(close, sets, percent), "links")
     forget(first, close, sets)
 
     # What those two have not linked.
-    comp = saved(components(links).select(F.col("node").alias("doc_id"), "component"), "components")
-    near = saved(_across(buckets.select("bucket", "band", "doc_id"), comp, reps, percent), "near")
-    more = saved(_confirm_groups(near, _sets(docs, near.select("doc_id").distinct()), percent), "links")
+    comp = saved(components(links.select("u", "v")).select(F.col("node").alias("row"), "component"), "components")
+    near = saved(_across(buckets.select("bucket", "band", "row"), comp, reps, percent), "near")
+    more = saved(_confirm_groups(near, _sets(docs, reps, near.select("row").distinct()), percent), "links")
     forget(buckets, near, reps)
-    final = components(links.unionByName(more).unionByName(copies))
+    joined = links.select("du", "dv").unionByName(more).toDF("u", "v")
+    final = components(joined.unionByName(copies.select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))))
     final = saved(final.select(F.col("node").alias("doc_id"), "component"), "components")
     forget(same, copies, comp, links, more)
     out = sketch.select("doc_id", F.col("n").alias("n_shingles")).join(final, "doc_id", "left")

@@ -95,6 +95,15 @@ def test_links_beyond_the_first_of_a_bucket_are_found(spark):
     assert set(got.values()) == {0}
 
 
+def test_texts_that_share_a_doc_id_are_all_compared(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(80)) for x in "abc")
+    rows = [(5, a), (5, b), (3, b), (9, a + " end"), (5, c), (11, "start " + c), (5, a), (20, "q r s"), (21, c + " z")]
+    for n in (1, 4):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(n)
+        got = [(r.doc_id, r.component_id) for r in minhash.near_duplicates(docs).collect()]
+        assert len(got) == len(rows) and dict(got) == {3: 3, 5: 3, 9: 3, 11: 3, 20: 20, 21: 3}
+
+
 def test_drop_near_duplicates_keeps_one_of_each_group_and_null_ids(spark):
     t = " ".join(f"k{i}" for i in range(30))
     docs = spark.createDataFrame([(4, t, 1), (2, t, 2), (9, t + " x", 3), (None, t, 4), (11, None, 5), (12, None, 6)], "doc_id long, text string, component long")
