@@ -99,18 +99,19 @@ def _ordered(docs: pa.Table, key: str, text: str) -> pa.Table:
 class Locator:
     """An Aho-Corasick automaton over the recurring phrases of a shard, on words joined by single spaces."""
 
-    def __init__(self, slices_: list[Windows], recurring: np.ndarray):
+    def __init__(self, slices_: list[Windows], recurring: np.ndarray, window: int, phrase: int):
+        self.window = window
         self.auto, seen = ahocorasick.Automaton(ahocorasick.STORE_LENGTH), set()
         for w in slices_:
             if not len(w.at):
                 continue
             here = np.intersect1d(np.unique(w.least), recurring)
             data, words = w.words.buf.tobytes(), w.words
-            inside = words.doc[:len(w.phrases)] == words.doc[PHRASE - 1:]  # documents stand in the buffer without a separator
+            inside = words.doc[:len(w.phrases)] == words.doc[phrase - 1:]  # documents stand in the buffer without a separator
             spots = np.flatnonzero(inside & np.isin(w.phrases, here))
             spots = spots[np.unique(w.phrases[spots], return_index=True)[1]]
             for p in spots.tolist():
-                text = " ".join(_SPLIT.split(data[words.start[p]:words.end[p + PHRASE - 1]].decode()))
+                text = " ".join(_SPLIT.split(data[words.start[p]:words.end[p + phrase - 1]].decode()))
                 if text not in seen:
                     seen.add(text)
                     self.auto.add_word(f" {text} ")
@@ -124,7 +125,7 @@ class Locator:
         data = w.buf.tobytes()
         for d in range(w.n_docs):
             a, b = int(w.begin[d]), int(w.begin[d + 1])
-            if b - a < WINDOW:
+            if b - a < self.window:
                 continue
             text = data[w.off[d]:w.off[d + 1]].decode()
             words = [x for x in _SPLIT.split(text) if x]
@@ -153,7 +154,7 @@ def _candidates(docs: DataFrame, recurring: DataFrame, window: int, phrase: int,
             for part in slices(left, text):
                 parted.append((base, part.column("__id"), Windows(part.column(text), window, phrase)))
                 base += part.num_rows
-            locator = Locator([w for _, _, w in parted], np.unique(right.column("phrase").to_numpy().view(np.uint64)))
+            locator = Locator([w for _, _, w in parted], np.unique(right.column("phrase").to_numpy().view(np.uint64)), window, phrase)
             got = []
             for base, ids, w in parted if locator.size else []:
                 spots = locator.occurrences(w.words) if len(w.at) else ()
@@ -223,7 +224,8 @@ RESULTS = ("n_words", "n_removed", "removed_spans", "kept_text")
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with n_words, n_removed, removed_spans (array of first word, end word) and kept_text (the words that
-    stay, joined by single spaces)."""
+    stay, joined by single spaces).  A window shorter than ``phrase`` is its own phrase."""
+    phrase = min(phrase, window)
     spark = docs.sparkSession
     small_batches(spark)
     kept = [f for f in docs.schema if f.name not in RESULTS]

@@ -69,6 +69,16 @@ def test_phrases_that_first_run_across_two_documents_are_located(spark):
     assert got == {i: brute.substring_dedup(rows)[i, t][1] for i, t in rows} and got[3] == 120
 
 
+@pytest.mark.parametrize("window, phrase", [(20, 5), (5, 8)])
+def test_substring_dedup_with_other_parameters_equals_brute_force(docs, rows, window, phrase):
+    short = " ".join(f"s{k}" for k in range(24))
+    more = [(10_000, short), (10_001, "before " + short)]
+    both = docs.unionByName(docs.sparkSession.createDataFrame([(i, t, "clash", "clash") for i, t in more], SCHEMA))
+    got = substring_dedup.dedup_substrings(both, window, phrase).withColumn("sha", F.sha2("kept_text", 256)).collect()
+    want = brute.substring_dedup(rows + more, window)
+    assert {(r.doc_id, r.text): (r.n_words, r.n_removed, r.sha) for r in got} == want
+
+
 def test_drop_repeats_returns_the_columns_of_the_input(spark):
     long = " ".join(f"t{k}" for k in range(60))
     docs = spark.createDataFrame([(1, long, len(long)), (2, "a  b " + long, len(long) + 5), (3, "a  b", 4)], "doc_id long, text string, n_chars long")
