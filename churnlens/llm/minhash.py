@@ -297,6 +297,17 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that stand for their group: those with the smallest doc_id."""
-    gone = near_duplicates(docs, percent).filter(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    """One row of ``docs`` for each group, with its smallest doc_id; rows without words or doc_id stay unless their
+    doc_id goes.  Of several rows with that doc_id and words the one with the smallest hash stays."""
+    near = near_duplicates(docs, percent)
+    gone = near.filter(~F.col("kept")).select("doc_id").distinct()
+    often = near.filter("kept AND n_shingles > 0 AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
+    often = saved(often.select(F.col("doc_id").alias("__id")), "repeated")
+    apart = gone.select(F.col("doc_id").alias("__id")).unionByName(often)
+    once = docs.join(apart, docs["doc_id"] == apart["__id"], "left_anti")
+    again = docs.join(often, docs["doc_id"] == often["__id"], "left_semi")
+    has_words = F.coalesce(F.col("text").cast("string"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
+    again = again.withColumn("__own", F.when(has_words, F.lit(-1)).otherwise(F.monotonically_increasing_id()))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    one = again.groupBy("doc_id", "__own").agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("__row"))
+    return once.unionByName(one.select("__row.*"))

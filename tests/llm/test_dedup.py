@@ -122,6 +122,14 @@ def test_drop_near_duplicates_keeps_one_of_each_group_and_null_ids(spark):
     assert sorted(r.component for r in got.collect()) == [2, 4, 5, 6]
 
 
+def test_drop_near_duplicates_keeps_one_row_of_a_repeated_doc_id(spark):
+    t, other = (" ".join(f"{x}{i}" for i in range(30)) for x in "kv")
+    rows = [(2, t, 1), (2, t, 1), (2, t, 2), (4, t, 3), (2, "", 4), (2, " \n", 5), (6, other, 6), (6, other, 6), (None, t, 7), (None, t, 7), (8, None, 8), (8, None, 8)]
+    kept = minhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, source long").repartition(4)).collect()
+    assert sorted(r.source for r in kept if r.source > 2) == [4, 5, 6, 7, 7, 8, 8]
+    assert sum(r.source <= 2 for r in kept) == 1
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(400 + k, 401 + k) for k in range(60)]
