@@ -7,7 +7,7 @@ prefix are a range of each sorted array, so descent and ascent are binary search
 depth of a query is taken from the sum over all blocks, as if each tree were one array.  A query with no more than k
 candidates ascends to the top, where every row is.
 
-How many candidates are enough is measured: for a bounded sample of queries the exact neighbours are found by brute
+How many candidates are enough is measured: for a bounded sample of usable queries the exact neighbours are found by brute
 force, and the fewest candidates that reach ``RECALL`` on them are taken.  Every row is indexed.  Candidates are scored
 exactly, on the vectors as given.
 
@@ -21,11 +21,12 @@ with fewer candidates than k gets all; ties go to the smaller id.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.llm.textops import saved
@@ -89,8 +90,8 @@ def _best(ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -score))[:k]
 
 
-def _measure(asked: DataFrame, rows: DataFrame, k: int, length: float, recall: float) -> int:
-    """The fewest candidates (summed over trees) that reach ``recall`` on the sampled queries."""
+def _measure(asked: DataFrame, rows: DataFrame, k: int, length: float, recall: float) -> float:
+    """The fewest candidates (summed over trees) that reach ``recall`` on the sampled queries; infinite if none has any."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in cells(batches):
             qi, q = matrix(row["q_ids"], row["q_data"], row["dim"])
@@ -122,7 +123,7 @@ def _measure(asked: DataFrame, rows: DataFrame, k: int, length: float, recall: f
     for r in best:
         depths.setdefault(r.query_id, []).append(r.depth)
     if not depths:
-        return 1
+        return math.inf  # nothing to measure: all candidates
     enough = float(k)
     while True:
         hit = []
@@ -140,11 +141,19 @@ def _depth(counts: np.ndarray, enough: float) -> int:
     return int(level[-1]) if len(level) else 0
 
 
+def _taken(vector: str) -> Column:
+    """Whether ``blocks`` takes a vector: finite components, not all of them zero."""
+    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return finite & F.exists(vector, lambda x: x != 0)
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding", recall: float = RECALL) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each row of ``queries`` among all rows of ``vectors``."""
     rows = blocks(vectors, "rows", key, vector, keep_zero=False)
     asked = blocks(gathered(queries, _QUERIES), "queries", key, vector, keep_zero=False)
-    sampled = blocks(queries.filter(F.col(key).isNotNull()).orderBy(F.xxhash64(key), key).limit(SAMPLE).repartition(1), "sampled", key, vector, keep_zero=False)
+    met = queries.join(F.broadcast(rows.select(F.col("dim").alias("__dim")).distinct()), F.size(vector) == F.col("__dim"), "left_semi")
+    fit = met.filter(F.col(key).isNotNull() & _taken(vector)).orderBy(F.xxhash64(key), key).limit(SAMPLE)
+    sampled = blocks(fit.repartition(1), "sampled", key, vector, keep_zero=False)
     name = [F.col("block").alias("q_block"), "dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data")]
     asked, sampled = asked.select(*name), sampled.select(*name)
 

@@ -120,6 +120,18 @@ def test_forest_finds_all_candidates_of_a_rare_length(spark):
         assert sorted(i for i, _ in got[q]) == sorted([*(i for i in range(1000, 1014) if i != q), 1013])
 
 
+def test_forest_measures_on_usable_queries(spark):
+    rng = np.random.default_rng(14)
+    m = rng.standard_normal((500, 16))
+    df = spark.createDataFrame([(i, m[i].tolist()) for i in range(500)], "vec_id long, embedding array<double>")
+    bad = [None, [0.0] * 16, [float("nan")] * 16, [float("inf")] * 16, [None] * 16, [], [1.0, 2.0]]
+    asked = df.filter("vec_id % 100 = 0").unionByName(spark.createDataFrame([(1000 + i, bad[i % 7]) for i in range(7000)], df.schema))
+    got = grouped(ann.nearest(df, asked, 10))
+    want = brute.nearest(list(range(500)), m, list(range(0, 500, 100)), 10, lambda q, c: c @ q)
+    assert set(got) == set(want)
+    assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 10 for q in want]) >= 0.9
+
+
 def test_descent_and_ascent_count_prefixes():
     rng = np.random.default_rng(8)
     c = rng.standard_normal((50, 4))
