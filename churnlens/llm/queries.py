@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.llm import ann, bpe, minhash, packing, quality, sharding, substring_dedup, token_count, topk, toxicity
+from churnlens.llm import ann, bpe, minhash, mixing, packing, quality, sharding, substring_dedup, token_count, topk, toxicity
 from churnlens.llm.labelled import held_out
 
 SHARDS = 8
@@ -70,9 +70,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs, mixing.cyclic_weights(docs)).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op2_byte_bpe, op3_exact_topk, op4_hash_forest, op5_toxicity_grammar,
-    op6_rendezvous_sharding, op7_token_counts, op8_minhash, op9_quality_nbsvm, op10_packing)}
+    op6_rendezvous_sharding, op7_token_counts, op8_minhash, op9_quality_nbsvm, op10_packing, op13_source_mix)}
 ORACLE: dict[str, str] = {
     "op3_exact_topk": """
         WITH v AS (
@@ -88,4 +93,31 @@ ORACLE: dict[str, str] = {
         SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score
         FROM s WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
         QUALIFY row_number() OVER w <= 10""",
+    "op13_source_mix": r"""
+        WITH d AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                   md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS draw
+            FROM documents),
+        s AS (
+            SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+                   CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END::DOUBLE AS weight
+            FROM d GROUP BY source),
+        -- sources in the order in which they stop; the level if all before this one have stopped
+        l AS (
+            SELECT *, (sum(source_size) OVER () - coalesce(3 * sum(source_size) OVER earlier, 0))::DOUBLE / sum(weight) OVER later AS level, row_number() OVER earlier AS place
+            FROM s WINDOW earlier AS (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                          later AS (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+        t AS (
+            SELECT source, source_size, CASE WHEN least_level * weight >= 3 * source_size OR least_level IS NULL
+                                             THEN (3 * source_size)::DOUBLE ELSE least_level * weight END AS target
+            FROM l, (SELECT arg_min(level, place) FILTER (WHERE level * weight < 3 * source_size) AS least_level FROM l)),
+        r AS (
+            SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size), 3) ELSE 0 END AS copies FROM t),
+        b AS (
+            SELECT d.doc_id, d.size, r.source_size, r.target, r.copies, r.target - r.copies * r.source_size AS rest,
+                   coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.draw ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+            FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source)
+        SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+               CAST(size * (copies + CASE WHEN size > 0 AND 2 * (rest - before) >= size THEN 1 ELSE 0 END) AS BIGINT) AS taken
+        FROM b""",
 }
