@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.llm import ann, bpe, minhash, mixing, packing, quality, sharding, substring_dedup, token_count, topk, toxicity
+from churnlens.llm import ann, bond, bpe, minhash, mixing, packing, quality, sharding, substring_dedup, token_count, topk, toxicity
 from churnlens.llm.labelled import held_out
 
 SHARDS = 8
@@ -70,6 +70,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return bond.hard_negatives(rows, F.col("vec_id") % 100 == 0, label)
+
+
 def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs, mixing.cyclic_weights(docs)).select("doc_id", "size", "source_size", "target", "taken")
@@ -77,7 +83,8 @@ def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op2_byte_bpe, op3_exact_topk, op4_hash_forest, op5_toxicity_grammar,
-    op6_rendezvous_sharding, op7_token_counts, op8_minhash, op9_quality_nbsvm, op10_packing, op13_source_mix)}
+    op6_rendezvous_sharding, op7_token_counts, op8_minhash, op9_quality_nbsvm, op10_packing,
+    op11_hard_negatives, op13_source_mix)}
 ORACLE: dict[str, str] = {
     "op3_exact_topk": """
         WITH v AS (
@@ -93,6 +100,27 @@ ORACLE: dict[str, str] = {
         SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score
         FROM s WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
         QUALIFY row_number() OVER w <= 10""",
+    "op11_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+                   CAST(list_sum(list_transform(list_zip(a.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+            FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.e) = len(c.e)
+            WHERE a.vec_id % 100 = 0),
+        p AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.vec_id AS negative_id,
+               p.positive_score, s.score AS negative_score
+        FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+             AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
+        WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)
+        QUALIFY row_number() OVER w <= 5""",
     "op13_source_mix": r"""
         WITH d AS (
             SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
