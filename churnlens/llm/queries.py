@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.llm import ann, bond, bpe, minhash, mixing, packing, quality, sharding, substring_dedup, token_count, topk, toxicity
+from churnlens.llm import ann, bond, bpe, minhash, mixing, packing, quality, sharding, spelling, substring_dedup, token_count, topk, toxicity
 from churnlens.llm.labelled import held_out
 
 SHARDS = 8
@@ -76,6 +76,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bond.hard_negatives(rows, F.col("vec_id") % 100 == 0, label)
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.vocabulary(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return spelling.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs, mixing.cyclic_weights(docs)).select("doc_id", "size", "source_size", "target", "taken")
@@ -84,7 +89,7 @@ def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op2_byte_bpe, op3_exact_topk, op4_hash_forest, op5_toxicity_grammar,
     op6_rendezvous_sharding, op7_token_counts, op8_minhash, op9_quality_nbsvm, op10_packing,
-    op11_hard_negatives, op13_source_mix)}
+    op11_hard_negatives, op12_spelling_variants, op13_source_mix)}
 ORACLE: dict[str, str] = {
     "op3_exact_topk": """
         WITH v AS (
