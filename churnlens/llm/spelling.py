@@ -24,9 +24,7 @@ columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
-from operator import add
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +34,8 @@ from pyspark.sql import functions as F
 from churnlens.llm.textops import CODES, forget, mix64, ragged, running, saved, sized, small_batches, span_hash
 
 GROUPS = 13  # a letter's group is its code point modulo this number
-CELL = 20_000  # words of a cell, at most
+_ORDER = [10, 6, 12, 7, 1, 11, 0, 9, 4, 8, 5, 3, 2]  # groups with frequent letters (e and r, a and n, g and t ...) come first
+CELL = 40_000  # words of a cell, at most
 LETTERS = "A-Za-z\\u00C0-\\u00FF"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _STEPS = 1 << 16  # queries that descend together
@@ -66,64 +65,6 @@ def vocabulary(docs: DataFrame, least_letters: int = 6, least_count: int = 5, ke
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_count)
 
 
-def _vector() -> Column:
-    """The counts of a word's letters by group."""
-    letters = [chr(c) for c in [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x100)]]
-    of = [F.translate("word", "".join(c for c in letters if ord(c) % GROUPS == g), "") for g in range(GROUPS)]
-    return F.array(*[(F.char_length("word") - F.char_length(rest)).cast("int") for rest in of])
-
-
-def _cell(depth: int, more: dict[int, int] | None = None) -> Column:
-    """The cell of a vector's first ``depth`` counts, some of them changed by ``more``."""
-    counts = [F.col("vec")[g] + (more or {}).get(g, 0) for g in range(depth)]
-    return F.concat_ws(",", *[c.cast("string") for c in counts]) if counts else F.lit("")
-
-
-def _half(longer: bool) -> tuple[Column, Column]:
-    """The first and the last half of a word; for ``longer`` those that it shares with a word shorter by one."""
-    n = F.char_length("word")
-    h = F.floor((n - int(longer)) / 2).cast("int")
-    return F.substr("word", F.lit(1), h), F.substr("word", h + 1 + int(longer))
-
-
-def _depth(words: DataFrame, n: int, cell: int) -> tuple[int, bool]:
-    """(counts that a cell is cut by, whether halves are needed too)."""
-    if n <= cell:
-        return 0, False
-    cells = words.select(F.posexplode(F.array(*map(_cell, range(1, GROUPS + 1)))).alias("depth", "cell")).groupBy("depth", "cell").count()
-    fits = [r["depth"] + 1 for r in cells.groupBy("depth").agg(F.max("count").alias("most")).collect() if r["most"] <= cell]  # a row for each depth
-    return min(fits, default=GROUPS), not fits
-
-
-def _owners(words: DataFrame, depth: int, halves: bool) -> DataFrame:
-    """(cell, word, n, vec): every word in its cell."""
-    if not halves:
-        return words.withColumn("cell", _cell(depth))
-    keys = [F.concat_ws("|", _cell(depth), F.lit(f"{kind}{int(longer)}"), half) for longer in (False, True) for kind, half in zip("fl", _half(longer))]
-    return words.withColumn("cell", F.explode(F.array(*keys)))
-
-
-def _queries(words: DataFrame, depth: int, halves: bool) -> DataFrame:
-    """(cell, state, half, word, n, vec): every word in each cell that its budget reaches."""
-    def reach(state: int, more: dict[int, int]) -> list[Column]:
-        # a deficit needs a letter to take away
-        fits = reduce(lambda a, b: a & b, [F.col("vec")[g] > 0 for g, d in more.items() if d < 0], F.lit(True))
-        at = _cell(depth, more)
-        if not halves:
-            return [F.when(fits, F.struct(at.alias("cell"), F.lit(state).alias("state"), F.lit(_WHOLE).alias("half")))]
-        longer = int(state == _LONGER)
-        return [F.when(fits, F.struct(F.concat_ws("|", at, F.lit(f"{kind}{longer}"), half).alias("cell"), F.lit(state).alias("state"), F.lit(code).alias("half")))
-                for kind, code, half in zip("fl", (_FIRST, _LAST), _half(False))]
-
-    to = reach(_SAME, {})
-    for g in range(depth):
-        to += reach(_LONGER, {g: 1})
-        for h in range(g + 1, depth):
-            to += reach(_REPLACED, {g: 1, h: -1})
-    sent = words.withColumn("to", F.explode(F.filter(F.array(*to), lambda x: x.isNotNull())))
-    return sent.select("to.cell", "to.state", "to.half", "word", "n", "vec")
-
-
 class _Words:
     """Words as bytes (their letters are Latin-1), with hashes of their halves."""
 
@@ -134,6 +75,11 @@ class _Words:
         self.buf = np.frombuffer(b"".join(self.bytes), dtype=np.uint8)
         self.prefix = running(CODES[self.buf])
 
+    def counts(self) -> np.ndarray:
+        """(word, group): the frequency vectors."""
+        word = np.repeat(np.arange(len(self.size)), self.size)
+        return np.bincount(word * GROUPS + self.buf % GROUPS, minlength=len(self.size) * GROUPS).reshape(-1, GROUPS)[:, _ORDER]
+
     def halves(self, longer: bool) -> tuple[np.ndarray, np.ndarray]:
         h = (self.size - int(longer)) // 2
         return (span_hash(self.prefix, self.start, self.start + h),
@@ -147,9 +93,10 @@ class _Words:
 
 
 class Trie:
-    """Words arranged by the counts ``vec`` (word, level)."""
+    """Words arranged by their counts from group ``depth`` on."""
 
-    def __init__(self, words: list[str], vec: np.ndarray):
+    def __init__(self, words: list[str], depth: int):
+        vec = _Words(words).counts()[:, depth:]
         order = np.lexsort(vec.T[::-1]) if vec.shape[1] else np.arange(len(words))
         self.words, vec = _Words([words[i] for i in order.tolist()]), vec[order]
         self.row = order
@@ -249,32 +196,93 @@ def _verified(a: _Words, i: np.ndarray, b: _Words, j: np.ndarray, longer: bool,
     return ok
 
 
+_CODE = np.random.Generator(np.random.PCG64(13)).integers(1, 1 << 63, size=GROUPS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _cells(vec: np.ndarray, depth: int) -> np.ndarray:
+    """The cell of each vector, a sum over its first ``depth`` counts: a letter more or less adds or takes its code."""
+    return (vec[:, :depth].astype(np.uint64) * _CODE[:depth]).sum(axis=1, dtype=np.uint64)
+
+
+def _key(cell: np.ndarray, half: np.ndarray | None = None, tag: int = 0) -> np.ndarray:
+    key = mix64(cell) if half is None else mix64(mix64(cell) + half * np.uint64(2 * tag + 1))
+    return key.view(np.int64)
+
+
+def _depth(words: DataFrame, n: int, cell: int) -> tuple[int, bool]:
+    """(counts that a cell is cut by, whether halves are needed too)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            vec = _Words(b.column("word").to_pylist()).counts()
+            for depth in range(1, GROUPS + 1):
+                cells, n = np.unique(_cells(vec, depth).view(np.int64), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(cells), depth, dtype=np.int32)), pa.array(cells), pa.array(n, pa.int64())], names=["depth", "cell", "n"])
+
+    if n <= cell:
+        return 0, False
+    sizes = words.mapInArrow(run, "depth int, cell long, n long").groupBy("depth", "cell").agg(F.sum("n").alias("n"))
+    fits = [r["depth"] for r in sizes.groupBy("depth").agg(F.max("n").alias("most")).collect() if r["most"] <= cell]  # a row for each depth
+    return min(fits, default=GROUPS), not fits
+
+
+def _owners(words: DataFrame, depth: int, halves: bool) -> DataFrame:
+    """(own_cell, own_word, own_n): every word in its cell."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            w = _Words(b.column("word").to_pylist())
+            cell = _cells(w.counts(), depth)
+            keys = [_key(cell, h, 2 * longer + kind) for longer in (0, 1) for kind, h in enumerate(w.halves(bool(longer)))] if halves else [_key(cell)]
+            for key in keys:
+                yield pa.RecordBatch.from_arrays([pa.array(key), b.column("word"), b.column("n")], names=["own_cell", "own_word", "own_n"])
+
+    return words.mapInArrow(run, "own_cell long, own_word string, own_n long")
+
+
+def _queries(words: DataFrame, depth: int, halves: bool) -> DataFrame:
+    """(cell, state, half, word, n): every word in each cell that its budget reaches."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            w = _Words(b.column("word").to_pylist())
+            vec, own = w.counts(), w.halves(False)
+            cell, every = _cells(vec, depth), np.arange(len(w.size))
+            to = [(_SAME, every, cell)]
+            for g in range(depth):
+                to.append((_LONGER, every, cell + _CODE[g]))
+                for h in range(g + 1, depth):
+                    some = np.flatnonzero(vec[:, h])  # a deficit needs a letter to take away
+                    to.append((_REPLACED, some, (cell + _CODE[g] - _CODE[h])[some]))
+            for state, some, at in to:
+                longer = int(state == _LONGER)
+                keys = [(kind + 1, _key(at, h[some], 2 * longer + kind)) for kind, h in enumerate(own)] if halves else [(_WHOLE, _key(at))]
+                for half, key in keys:
+                    yield pa.RecordBatch.from_arrays([pa.array(key), *(pa.array(np.full(len(key), x, dtype=np.int32)) for x in (state, half)),
+                                                      b.column("word").take(pa.array(some)), b.column("n").take(pa.array(some))],
+                                                     names=["cell", "state", "half", "word", "n"])
+
+    return words.mapInArrow(run, "cell long, state int, half int, word string, n long")
+
+
 def near_pairs(words: DataFrame, cell: int = CELL) -> DataFrame:
     """(a, na, b, nb): each pair of words that differ by one inserted, deleted or replaced code point, once; ``words`` is
     a stored table (word, n) of different words."""
     spark = words.sparkSession
     small_batches(spark, 4096)
-    words = saved(words.select("word", "n", _vector().alias("vec")), "vectors")
     n = words.count()
     depth, halves = _depth(words, n, cell)
     owners, asked = _owners(words, depth, halves), _queries(words, depth, halves)
     # Only cells that exist; as many tasks as the words to be looked up need.
     tasks = sized(n * (1 + depth + depth * (depth - 1) // 2), 5 * cell)
-    asked = asked.join(owners.select("cell").distinct(), "cell", "left_semi").repartition(tasks, "cell")
-    owners = owners.select(*[F.col(c).alias(f"own_{c}") for c in ("cell", "word", "n", "vec")]).repartition(tasks, "own_cell")
-
-    def counts(vec: pa.ChunkedArray) -> np.ndarray:
-        flat = vec.combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        return flat.astype(np.int64).reshape(len(vec), GROUPS)[:, depth:]
+    asked = asked.join(owners.select("own_cell").distinct(), F.col("cell") == F.col("own_cell"), "left_semi").repartition(tasks, "cell")
+    owners = owners.repartition(tasks, "own_cell")
 
     def search(key, left: pa.Table, right: pa.Table) -> pa.Table:
         out = [[], [], [], []]
         if left.num_rows and right.num_rows:
             held, names = left.column("own_word").to_pylist(), right.column("word").to_pylist()
             n_held, n_names = left.column("own_n").to_numpy(), right.column("n").to_numpy()
-            trie = Trie(held, counts(left.column("own_vec")))
+            trie, words_ = Trie(held, depth), _Words(names)
             state, half = (right.column(c).to_numpy().astype(np.int64) for c in ("state", "half"))
-            for i, j in trie.near(_Words(names), counts(right.column("vec")), state, half):
+            for i, j in trie.near(words_, words_.counts()[:, depth:], state, half):
                 out[0] += [names[x] for x in i.tolist()]
                 out[1].append(n_names[i])
                 out[2] += [held[x] for x in j.tolist()]

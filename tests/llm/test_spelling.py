@@ -73,9 +73,12 @@ def words():
     return {w: 5 + int(rnd.paretovariate(0.4)) % 10 ** 9 for w in sorted(out) if w}
 
 
-@pytest.mark.parametrize("cell", [20_000, 300, 40, 1])
-def test_equals_brute_force(spark, words, cell):
-    """Cells by no counts, by some, by all, and by halves."""
+@pytest.mark.parametrize("cell, every", [(40_000, 1), (300, 1), (10, 20), (1, 60)])
+def test_equals_brute_force(spark, words, cell, every):
+    """Cells by no counts, by some, by many, and by halves."""
+    kept = sorted(words)[::every]
+    if every > 1:  # with an anagram, a replaced and a missing letter of each
+        words = {w: 5 + len(w) ** 3 % 97 for k in kept for w in (k, k[:2] + k[2:4][::-1] + k[4:], k[:3] + "x" + k[4:], k[:2] + k[3:])}
     df = spark.createDataFrame(list(words.items()), "word string, n long").repartition(5)
     assert result(spelling.variants(df, cell=cell)) == grouped(words)
 
