@@ -81,42 +81,73 @@ def ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(total)
 
 
+class _Generation:
+    """Sorted keys and the runs that they stand for."""
+
+    def __init__(self):
+        self.keys, self.start, self.size = (np.zeros(0, dtype=t) for t in (np.uint64, np.int64, np.int64))
+        self.flat = np.zeros(1 << 16, dtype=np.int32)
+        self.used = 0
+
+    def at(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place of each key, whether it is there)."""
+        at = np.searchsorted(self.keys, keys)
+        known = at < len(self.keys)
+        known[known] = self.keys[at[known]] == keys[known]
+        return at, known
+
+    def add(self, keys: np.ndarray, size: np.ndarray, flat: np.ndarray) -> None:
+        """Merge sorted keys that aren't there yet."""
+        at = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, at, keys)
+        self.start = np.insert(self.start, at, self.used + np.cumsum(size) - size)
+        self.size = np.insert(self.size, at, size)
+        if self.used + len(flat) > len(self.flat):
+            grown = np.zeros(max(2 * len(self.flat), self.used + len(flat)), dtype=np.int32)
+            grown[:self.used] = self.flat[:self.used]
+            self.flat = grown
+        self.flat[self.used:self.used + len(flat)] = flat
+        self.used += len(flat)
+
+
 class Memo:
-    """Results (runs of int32) of distinct strings, kept by 64-bit hash in sorted arrays and emptied beyond ``most``.
+    """Results (runs of int32) of distinct strings, kept by 64-bit hash in two generations of at most about ``most``.
 
-    ``make`` turns a list of strings into a list of integer sequences; it sees each string once while it is kept.
+    ``make`` turns a list of strings into a list of integer sequences.  When the young generation is full it becomes the
+    old one, whose results are dropped; what is found in the old one moves to the young.  So a string that keeps coming
+    back is made once.
     """
 
-    def __init__(self, make, most: int = 500_000):
+    def __init__(self, make, most: int = 700_000):
         self.make, self.most = make, most
-        self._clear()
+        self.young, self.old = _Generation(), _Generation()
 
-    def _clear(self) -> None:
-        self.keys, self.start, self.size = (np.zeros(0, dtype=t) for t in (np.uint64, np.int64, np.int64))
-        self.flat = np.zeros(0, dtype=np.int32)
+    @property
+    def flat(self) -> np.ndarray:
+        return self.young.flat
 
     def find(self, hashes: np.ndarray, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(start, size) in ``flat`` for each span of ``buf``; spans with equal hashes are taken as equal."""
         distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.keys) > self.most:
-            self._clear()
-        at = np.searchsorted(self.keys, distinct)
-        known = at < len(self.keys)
-        known[known] = self.keys[at[known]] == distinct[known]
-        new = np.flatnonzero(~known)
-        if len(new):
-            data = buf.tobytes()
-            made = self.make([data[a:b].decode() for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist())])
-            size = np.fromiter(map(len, made), dtype=np.int64, count=len(made))
-            flat = np.fromiter(chain.from_iterable(made), dtype=np.int32, count=int(size.sum()))
-            keys = np.concatenate([self.keys, distinct[new]])
-            order = np.argsort(keys, kind="stable")
-            self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])[order]
-            self.size = np.concatenate([self.size, size])[order]
-            self.keys, self.flat = keys[order], np.concatenate([self.flat, flat])
-            at = np.searchsorted(self.keys, distinct)
+        if len(self.young.keys) > self.most:
+            self.young, self.old = _Generation(), self.young
+        at, known = self.young.at(distinct)
+        if not known.all():
+            new = np.flatnonzero(~known)
+            place, held = self.old.at(distinct[new])
+            if held.any():
+                place = place[held]
+                size = self.old.size[place]
+                self.young.add(distinct[new[held]], size, self.old.flat[ragged(self.old.start[place], size)])
+                new = new[~held]
+            if len(new):
+                data = buf.tobytes()
+                made = self.make([data[a:b].decode() for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist())])
+                size = np.fromiter(map(len, made), dtype=np.int64, count=len(made))
+                self.young.add(distinct[new], size, np.fromiter(chain.from_iterable(made), dtype=np.int32, count=int(size.sum())))
+            at, _ = self.young.at(distinct)
         at = at[back]
-        return self.start[at], self.size[at]
+        return self.young.start[at], self.young.size[at]
 
 
 class Words:

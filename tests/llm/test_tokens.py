@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from churnlens.llm import bpe, packing, sharding, token_count
+from churnlens.llm.textops import Memo, Words
 
 MULTI = P.path("byte_bpe_multi_50k.tiktoken")
 DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
@@ -161,3 +162,20 @@ def test_sharding_of_repeated_rows_and_null_keys(spark):
 def test_empty_tables(spark, run):
     assert run(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     assert run(spark.createDataFrame([(None, None)], "doc_id long, text string")).count() == 1
+
+
+def test_memo_keeps_what_comes_back():
+    made = []
+
+    def letters(words):
+        made.extend(words)
+        return [list(w.encode()) for w in words]
+
+    memo, rng = Memo(letters, most=40), random.Random(2)
+    for turn in range(60):
+        words = ["often", "usual", *(f"w{rng.randrange(400)}" for _ in range(15))]
+        w = Words(pa.array([" ".join(words)]))
+        at, size = memo.find(w.hash, w.buf, w.start, w.end)
+        assert [bytes(memo.flat[a:a + n].tolist()).decode() for a, n in zip(at.tolist(), size.tolist())] == words
+        assert len(memo.young.keys) <= 40 + 17
+    assert made.count("often") == made.count("usual") == 1 and len(made) > len(set(made))  # rare ones are made again
