@@ -1181,45 +1181,6 @@ def m12_holdout_auc(spark, sf):
     return mdl.auc(scored, "p", "label")
 
 
-def _cv_frame(spark, metrics):
-    return spark.createDataFrame([(i, float(m)) for i, m in enumerate(metrics)],
-                                 "candidate int, avg_auc double")
-
-
-def _cross_validated(spark, sf):
-    def build():
-        _, data = cached_segmented_features(spark, sf, SPEC)
-        train, _ = hash_split(data, "login", 0.7, 2018)
-        return mdl.cross_validate(train, feature_columns(data, SPEC), grid="full", folds=5)
-    return memoized(spark, ("cv", sf), build)
-
-
-@q("m14_cross_validation")
-def m14_cross_validation(spark, sf):
-    _, metrics = _cross_validated(spark, sf)
-    return _cv_frame(spark, metrics)
-
-
-@q("m14_best_on_test")
-def m14_best_on_test(spark, sf):
-    """The best model of the search, refitted, on the test side."""
-    from churnlens.functions.columns import vector_element
-    best, _ = _cross_validated(spark, sf)
-    _, data = cached_segmented_features(spark, sf, SPEC)
-    _, test = hash_split(data, "login", 0.7, 2018)
-    return mdl.auc(best.transform(test).select(vector_element("probability", 1).alias("p"), "label"), "p", "label")
-
-
-@q("m14_weighted_cross_validation")
-def m14_weighted_cross_validation(spark, sf):
-    _, data = cached_segmented_features(spark, sf, SPEC)
-    feats = feature_columns(data, SPEC)
-    train, _ = hash_split(class_weights(data, "label"), "login", 0.7, 2018)
-    _, grid_metrics = mdl.cross_validate(train, feats, grid="balanced", folds=5)
-    _, single = mdl.cross_validate(train, feats, grid="none", folds=5)
-    return _cv_frame(spark, grid_metrics + single)
-
-
 def _contributors(spark, sf):
     return stored_repo_contributors(spark, sf)
 

@@ -147,3 +147,39 @@ def two_period_profile(events: DataFrame, spec: ChurnSpec = DEFAULT_SPEC,
         *[F.when(has_first, F.col(c)).alias(c) for c in cols],
         "second_period_event_count",
     )
+
+
+def with_payload(events: DataFrame, payload: str = "payload", out: str = "parsed") -> DataFrame:
+    """The payload parsed once into a VARIANT; malformed text becomes null."""
+    return events.withColumn(out, F.try_parse_json(F.col(payload)))
+
+
+def payload_fields(parsed: DataFrame, paths: dict[str, tuple[str, str]], variant: str = "parsed") -> DataFrame:
+    """One column per (path, type) of a parsed payload; null where the path is missing or doesn't cast.
+
+    All paths are read from the same parsed value; nothing is parsed again.
+    """
+    return parsed.withColumns({name: F.try_variant_get(F.col(variant), path, kind) for name, (path, kind) in paths.items()})
+
+
+def payload_schema(parsed: DataFrame, variant: str = "parsed") -> DataFrame:
+    """(schema, n_parsed): the merged schema of all payloads, from which paths are discovered."""
+    return parsed.agg(F.schema_of_variant_agg(F.col(variant)).alias("schema"), F.count(variant).alias("n_parsed"))
+
+
+def period_days(spark, periods: dict[str, tuple[dt.datetime, dt.datetime]]) -> DataFrame:
+    """(period, day) for named half-open periods of whole days."""
+    rows = [(name, a.date(), (b - dt.timedelta(microseconds=1)).date()) for name, (a, b) in periods.items()]
+    table = spark.createDataFrame(rows, "period string, first date, last date")
+    return table.select("period", F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias("day"))
+
+
+def profiles_of_periods(events_by_day: DataFrame, days: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:
+    """A2 for several periods at once, from a log that is partitioned by ``day``.
+
+    The scan learns its days from the period table at run time (dynamic
+    pruning): a day that no period has is not listed; one that several have
+    is read once.
+    """
+    hit = events_by_day.join(F.broadcast(days), "day")  # a row for each day of each period
+    return hit.groupBy("period", "actor").agg(*_profile_aggs(spec.event_types))

@@ -127,3 +127,23 @@ def serving_fill(df: DataFrame, spec: ChurnSpec = DEFAULT_SPEC, fill_ts=None) ->
             c = F.coalesce(c, F.lit(fill_ts).cast(f.dataType))
         out.append(c.alias(name))
     return df.select(out)
+
+
+# ---------------------------------------------------------------- co-located merge
+
+def store_by_user(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """``df`` as a table bucketed and sorted by its user key in the warehouse.
+
+    Tables with the same number of buckets join on that key without a shuffle,
+    also when only one side has been stored anew.
+    """
+    # One task a bucket: a bucket is one file, not one per task.
+    df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def colocated_churn_table(users: DataFrame, periods: DataFrame, spec: ChurnSpec = DEFAULT_SPEC, keep_inactive: bool = False) -> DataFrame:
+    """M24 from two tables of :func:`store_by_user` (profiles by ``login``, two-period profiles by ``actor``): each
+    bucket is merged where it lies."""
+    merged = merge_profiles(users.hint("merge"), periods, spec, keep_inactive=keep_inactive)
+    return outlier_filter(merged, spec.outlier_limit)

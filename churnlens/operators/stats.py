@@ -102,37 +102,67 @@ def pearson(a: str | Column, b: str | Column, a_nullable: bool = True,
     return F.try_divide(F.covar_samp(x2, y2), F.stddev_samp(x2) * F.stddev_samp(y2))
 
 
+def _co_moments(m: np.ndarray) -> np.ndarray:
+    """(6, k, k) of the rows of ``m`` (nulls are NaN) where both columns of a pair are present: count, mean of the first,
+    mean of the second, and the sums of squares and products about these means."""
+    has = ~np.isnan(m)
+    h = has.astype("float64")
+    size = h.sum(axis=0)
+    pivot = np.divide(np.where(has, m, 0.0).sum(axis=0), size, out=np.zeros(len(size)), where=size > 0)
+    v = np.where(has, m - pivot, 0.0)  # small numbers: sums about the pivot don't cancel
+    n, x, y = h.T @ h, v.T @ h, h.T @ v
+    some = np.maximum(n, 1.0)
+    return np.stack([n, pivot[:, None] + x / some, pivot[None, :] + y / some,
+                     np.maximum((v * v).T @ h - x * x / some, 0.0), np.maximum(h.T @ (v * v) - y * y / some, 0.0), v.T @ v - x * y / some])
+
+
+def _merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The co-moments of two sets of rows together."""
+    n = a[0] + b[0]
+    share = np.divide(b[0], n, out=np.zeros_like(n), where=n > 0)
+    dx, dy, both = b[1] - a[1], b[2] - a[2], a[0] * share
+    return np.stack([n, a[1] + dx * share, a[2] + dy * share, a[3] + b[3] + dx * dx * both, a[4] + b[4] + dy * dy * both, a[5] + b[5] + dx * dy * both])
+
+
 def correlation_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson r for every pair c1 < c2 (upper triangle), over the rows
     where both are present; null when either side has no variance there.
 
-    One pass: each task sums, for all pairs at once, the counts, values,
-    squares and products of its rows (matrix products with null masks); Spark
-    adds the tasks' sums.
+    One pass: each task keeps, for all pairs at once, counts, means and
+    centred co-moments of its rows (matrix products with null masks), and
+    Spark combines the tasks about the common mean.  Nothing of the size of a
+    squared mean is ever subtracted, so timestamps and large ids keep their r.
     """
     k = len(cols)
     pairs = list(itertools.combinations(range(k), 2))
     names = ("n", "x", "y", "xx", "yy", "xy")
-    def sums(batches):
+
+    def moments(batches):
         total = np.zeros((6, k, k))
         for pdf in batches:
-            m = pdf.to_numpy(dtype="float64", na_value=np.nan)
-            has = ~np.isnan(m)
-            v, h = np.where(has, m, 0.0), has.astype("float64")
-            total += np.stack([h.T @ h, v.T @ h, h.T @ v, (v * v).T @ h, h.T @ (v * v), v.T @ v])
+            total = _merged(total, _co_moments(pdf.to_numpy(dtype="float64", na_value=np.nan)))
         yield pd.DataFrame({"a": [i for i, _ in pairs], "b": [j for _, j in pairs],
                             **{c: [total[q, i, j] for i, j in pairs] for q, c in enumerate(names)}})
 
     wide = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
-    got = wide.mapInPandas(sums, "a int, b int, " + ", ".join(f"{c} double" for c in names))
-    got = got.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in names])
-    n, x, y, xx, yy, xy = (F.col(c) for c in names)
-    vx, vy, cov = n * xx - x * x, n * yy - y * y, n * xy - x * y
-    # a variance of rounding size is none
-    flat = (vx <= 1e-12 * n * xx) | (vy <= 1e-12 * n * yy)
+    got = wide.mapInPandas(moments, "a int, b int, " + ", ".join(f"{c} double" for c in names)).where("n > 0")
+    pair = Window.partitionBy("a", "b")  # a row for each task
+    size = F.sum("n").over(pair)
+    got = got.withColumns({"mx": F.sum(F.col("n") * F.col("x")).over(pair) / size, "my": F.sum(F.col("n") * F.col("y")).over(pair) / size})
+    n, dx, dy = F.col("n"), F.col("x") - F.col("mx"), F.col("y") - F.col("my")
+    got = got.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max(F.abs("mx")).alias("mx"), F.max(F.abs("my")).alias("my"),
+                                    F.sum(F.col("xx") + n * dx * dx).alias("xx"), F.sum(F.col("yy") + n * dy * dy).alias("yy"),
+                                    F.sum(F.col("xy") + n * dx * dy).alias("xy"))
+    # a spread that rounding of the values themselves can make is none
+    def flat(s, m):
+        return F.col(s) <= F.col("n") * F.pow(F.col(m) * F.lit(4e-15), F.lit(2))
+
     named = F.array(*[F.lit(c) for c in cols])
-    return got.select(named[F.col("a")].alias("c1"), named[F.col("b")].alias("c2"),
-                      F.when(~flat, cov / F.sqrt(vx * vy)).alias("r"))
+    # a pair without common rows has no r
+    every = df.sparkSession.createDataFrame(pairs, "a int, b int") if pairs else got.select("a", "b").limit(0)
+    out = every.join(got, ["a", "b"], "left")
+    return out.select(named[F.col("a")].alias("c1"), named[F.col("b")].alias("c2"),
+                      F.when(~(flat("xx", "mx") | flat("yy", "my")), F.col("xy") / F.sqrt(F.col("xx") * F.col("yy"))).alias("r"))
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -232,6 +262,37 @@ def histogram_2d(df: DataFrame, x: str | Column, y: str | Column, x_range: tuple
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def joint_density(df: DataFrame, x: str | Column, y: str | Column, x_range: tuple[float, float], y_range: tuple[float, float],
+                  bins: int = 20, kernel: Sequence[float] = (0.25, 0.5, 0.25)) -> DataFrame:
+    """A11 with marginals: (part, x_bin, y_bin, n, smoothed) for the joint grid ("joint")
+    and both margins ("x": y_bin is null, "y": x_bin is null).
+
+    One pass counts all three by grouping sets.  The kernel (odd length, centred)
+    is then applied along one axis after the other on the counts, a table of
+    at most bins**2 + 2 * bins rows; what it would move off the grid is left out.
+    """
+    counted = df.select(bin_index(x, bins, *x_range).alias("x_bin"), bin_index(y, bins, *y_range).alias("y_bin")).where("x_bin IS NOT NULL AND y_bin IS NOT NULL")
+    cells = counted.groupingSets([[F.col("x_bin"), F.col("y_bin")], [F.col("x_bin")], [F.col("y_bin")]], F.col("x_bin"), F.col("y_bin")).agg(
+        F.count(F.lit(1)).alias("n"), F.grouping_id().alias("__g"))
+    part = F.when(F.col("__g") == 0, "joint").when(F.col("__g") == 1, "x").otherwise("y")
+    cells = cells.select(part.alias("part"), "x_bin", "y_bin", "n")
+    half = len(kernel) // 2
+    taps = F.array(*[F.struct(F.lit(i - half).alias("d"), F.lit(float(w)).alias("w")) for i, w in enumerate(kernel)])
+
+    def along(t: DataFrame, axis: str) -> DataFrame:
+        spread = t.withColumn("__t", F.explode(taps)).withColumns({
+            "s": F.when(F.col(axis).isNull(), F.when(F.col("__t.d") == 0, F.col("s"))).otherwise(F.col("s") * F.col("__t.w")),
+            axis: F.col(axis) + F.col("__t.d")})
+        inside = F.col(axis).isNull() | F.col(axis).between(0, bins - 1)
+        return spread.where(inside & F.col("s").isNotNull()).groupBy("part", "x_bin", "y_bin").agg(F.sum("s").alias("s"))
+
+    smooth = along(along(cells.withColumn("s", F.col("n").cast("double")), "x_bin"), "y_bin")
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in ("part", "x_bin", "y_bin")]
+    held = cells.select(*[F.col(c).alias(f"__{c}") for c in ("part", "x_bin", "y_bin")], "n")
+    return smooth.join(held, same[0] & same[1] & same[2], "left").select(
+        "part", "x_bin", "y_bin", F.coalesce("n", F.lit(0)).cast("long").alias("n"), F.col("s").alias("smoothed"))
+
+
 def mean_se_by_group(df: DataFrame, group: str | Column, value: str | Column) -> DataFrame:
     """Mean and standard error of ``value`` per group (each its own SE)."""
     v = _c(value).cast("double")

@@ -140,54 +140,62 @@ def cross_validate(train: DataFrame, features: Sequence[str], grid: str = "full"
 _RANGES = 64
 
 
-def _cumulated(df: DataFrame, score: str | Column, label: str | Column) -> DataFrame:
-    """(threshold, pos, neg, tp, fp, P, N) per distinct score, exact.
+def _cumulated(df: DataFrame, score: str | Column, label: str | Column, by: Sequence[str] = ()) -> DataFrame:
+    """(*by, threshold, pos, neg, tp, fp, P, N) per distinct score of each group, exact.
 
     Rows are counted per distinct score first.  Distinct scores are cut into
-    ranges at approximate quantiles; counts are cumulated inside each range,
-    and the totals of the ranges above (a table of at most ``_RANGES`` rows)
-    are added.  Null scores are left out.
+    ranges at approximate quantiles, the same for all groups; counts are
+    cumulated inside each range of a group, and the totals of the group's
+    ranges above (at most ``_RANGES`` rows a group) are added.  So no window
+    holds a whole group.  Null scores are left out; a null group is a group.
     """
     s = (F.col(score) if isinstance(score, str) else score).cast("double")
     y = F.col(label) if isinstance(label, str) else label
-    counts = df.groupBy(s.alias("threshold")).agg(
+    counts = df.groupBy(*by, s.alias("threshold")).agg(
         F.count(F.when(y == 1, 1)).alias("pos"), F.count(F.when(y != 1, 1)).alias("neg")).where("threshold IS NOT NULL")
     cuts = counts.approxQuantile("threshold", [i / _RANGES for i in range(1, _RANGES)], 1 / (4 * _RANGES))
     cuts = sorted(set(cuts)) or [0.0]
     above = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c > F.col("threshold")))
     counts = counts.withColumn("range", above)
-    total = counts.groupBy("range").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # at most _RANGES rows
-    whole = Window.partitionBy()
-    first = total.select("range", F.coalesce(F.sum("p").over(before), F.lit(0)).alias("p0"),
-                         F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n0"),
+    total = counts.groupBy(*by, "range").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    before = Window.partitionBy(*by).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # at most _RANGES rows
+    whole = Window.partitionBy(*by)
+    first = total.select(*[F.col(c).alias(f"__{c}") for c in by], F.col("range").alias("__range"),
+                         F.coalesce(F.sum("p").over(before), F.lit(0)).alias("p0"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n0"),
                          F.sum("p").over(whole).alias("P"), F.sum("n").over(whole).alias("N"))
-    inside = Window.partitionBy("range").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    return counts.join(F.broadcast(first), "range").select(
-        "threshold", "pos", "neg", (F.col("p0") + F.sum("pos").over(inside)).alias("tp"),
-        (F.col("n0") + F.sum("neg").over(inside)).alias("fp"), "P", "N")
-
-
-def roc_curve(df: DataFrame, score: str | Column = "p_active", label: str | Column = "label") -> DataFrame:
-    """ROC points (threshold, fpr, tpr), one per distinct score, and the
-    start point (infinity, 0, 0)."""
-    points = _cumulated(df, score, label).select(
-        "threshold", F.try_divide(F.col("fp").cast("double"), F.col("N")).alias("fpr"),
+    inside = Window.partitionBy(*by, "range").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
+    match = F.col("range") == F.col("__range")
+    for c in by:
+        match = match & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    ran = counts.withColumns({"tp": F.sum("pos").over(inside), "fp": F.sum("neg").over(inside)})
+    return ran.join(first if by else F.broadcast(first), match).select(
+        *by, "threshold", "pos", "neg", (F.col("p0") + F.col("tp")).alias("tp"), (F.col("n0") + F.col("fp")).alias("fp"), "P", "N")
+
+
+def roc_curve(df: DataFrame, score: str | Column = "p_active", label: str | Column = "label", by: Sequence[str] = ()) -> DataFrame:
+    """ROC points (*by, threshold, fpr, tpr), one per distinct score, and
+    the start point (infinity, 0, 0) of each group."""
+    points = _cumulated(df, score, label, by).select(
+        *by, "threshold", F.try_divide(F.col("fp").cast("double"), F.col("N")).alias("fpr"),
         F.try_divide(F.col("tp").cast("double"), F.col("P")).alias("tpr"))
-    start = df.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)], points.schema)
+    if by:
+        start = points.select(*by).distinct().select(*by, F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    else:
+        start = df.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)], points.schema)
     return start.unionByName(points)
 
 
-def pr_curve(df: DataFrame, score: str | Column = "p_active", label: str | Column = "label") -> DataFrame:
-    """(threshold, recall, precision), one point per distinct score."""
+def pr_curve(df: DataFrame, score: str | Column = "p_active", label: str | Column = "label", by: Sequence[str] = ()) -> DataFrame:
+    """(*by, threshold, recall, precision), one point per distinct score."""
     tp, fp = F.col("tp").cast("double"), F.col("fp")
-    return _cumulated(df, score, label).select("threshold", F.try_divide(tp, F.col("P")).alias("recall"),
-                                               F.try_divide(tp, tp + fp).alias("precision"))
+    return _cumulated(df, score, label, by).select(*by, "threshold", F.try_divide(tp, F.col("P")).alias("recall"),
+                                                   F.try_divide(tp, tp + fp).alias("precision"))
 
 
-def auc(df: DataFrame, score: str | Column = "p_active", label: str | Column = "label") -> DataFrame:
-    """Exact area under ROC (trapezoids, ties as one step) and under PR."""
+def auc(df: DataFrame, score: str | Column = "p_active", label: str | Column = "label", by: Sequence[str] = ()) -> DataFrame:
+    """Exact area under ROC (trapezoids, ties as one step) and under PR, of each group if ``by`` is given."""
     tp, pos, neg = F.col("tp").cast("double"), F.col("pos").cast("double"), F.col("neg").cast("double")
-    return _cumulated(df, score, label).agg(
-        F.sum(F.try_divide(neg, F.col("N")) * F.try_divide(2 * tp - pos, 2 * F.col("P"))).alias("auc_roc"),
-        F.sum(F.try_divide(pos, F.col("P")) * F.try_divide(tp, tp + F.col("fp"))).alias("auc_pr"))
+    areas = [F.sum(F.try_divide(neg, F.col("N")) * F.try_divide(2 * tp - pos, 2 * F.col("P"))).alias("auc_roc"),
+             F.sum(F.try_divide(pos, F.col("P")) * F.try_divide(tp, tp + F.col("fp"))).alias("auc_pr")]
+    points = _cumulated(df, score, label, by)
+    return points.groupBy(*by).agg(*areas) if by else points.agg(*areas)

@@ -71,21 +71,48 @@ def centres_of(model: PipelineModel) -> Centres:
     return Centres(tuple(model.stages[0].getInputCols()), tuple(tuple(map(float, c)) for c in model.stages[-1].clusterCenters()))
 
 
-def routed(models: Mapping[str, Linear], segment: str = "segment") -> Column:
-    """P(active) by the model of the row's segment; null without one."""
-    out = None
+def inputs_of(models: Mapping[str, Linear]) -> list[str]:
+    """The features of all models, each once, in the order in which they come up."""
+    return list(dict.fromkeys(f for m in models.values() for f, _ in m.weights))
+
+
+def _by_segment(models: Mapping[str, Linear], value, segment: str) -> Column:
+    """One value per model, looked up by the row's segment; null without a model."""
+    table = F.create_map(*[x for name, m in models.items() for x in (F.lit(name), value(m))])
+    return F.try_element_at(table, F.col(segment))
+
+
+def scorable(models: Mapping[str, Linear], segment: str = "segment") -> Column:
+    """Whether the row has a model and all of that model's features (F9: other rows are not scored)."""
+    every = inputs_of(models)
+    shared = [f for f in every if all(f in dict(m.weights) for m in models.values())]
+    cond = F.col(segment).isin(*models)
+    for f in shared:
+        cond = cond & F.col(f).isNotNull()
     for name, m in models.items():
-        cond = F.col(segment) == name
-        out = F.when(cond, m.probability()) if out is None else out.when(cond, m.probability())
-    return out
+        for f, _ in m.weights:
+            if f not in shared:
+                cond = cond & ((F.col(segment) != name) | F.col(f).isNotNull())
+    return cond
+
+
+def routed(models: Mapping[str, Linear], segment: str = "segment") -> Column:
+    """P(active) by the model of the row's segment; null without one.
+
+    Every feature stands in the expression once, whatever the number of
+    models: the weights of the row's segment are one array, and the margin adds
+    up its products from the intercept on.
+    """
+    every = inputs_of(models)
+    weights = _by_segment(models, lambda m: F.array(*[F.lit(dict(m.weights).get(f)).cast("double") for f in every]), segment)
+    values = F.array(*[F.col(f).cast("double") for f in every])
+    products = F.zip_with(values, weights, lambda x, w: F.when(w.isNotNull(), x * w).otherwise(F.lit(0.0)))
+    margin = F.aggregate(products, _by_segment(models, lambda m: F.lit(float(m.intercept)), segment), lambda total, x: total + x)
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
 
 
 def routed_threshold(models: Mapping[str, Linear], segment: str = "segment") -> Column:
-    out = None
-    for name, m in models.items():
-        cond = F.col(segment) == name
-        out = F.when(cond, F.lit(m.threshold)) if out is None else out.when(cond, F.lit(m.threshold))
-    return out
+    return _by_segment(models, lambda m: F.lit(float(m.threshold)), segment)
 
 
 def needed(models: Sequence[Linear]) -> list[str]:

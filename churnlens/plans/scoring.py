@@ -18,7 +18,7 @@ from churnlens.functions.columns import vector_element, verdict
 from churnlens.operators.ranking import top_k_per_group
 from churnlens.operators.stats import bin_index
 from churnlens.plans.features import feature_table
-from churnlens.plans.routing import Centres, Linear, centres_of, linear_of, routed, routed_threshold
+from churnlens.plans.routing import Centres, Linear, centres_of, linear_of, routed, routed_threshold, scorable
 
 
 def score_by_segment(models: Mapping[str, PipelineModel | Linear], data: DataFrame,
@@ -30,9 +30,9 @@ def score_by_segment(models: Mapping[str, PipelineModel | Linear], data: DataFra
     """
     linear = {s: m if isinstance(m, Linear) else linear_of(m) for s, m in models.items()}
     if all(m is not None for m in linear.values()):
-        scored = data.select(*keep, "segment", routed(linear).alias("p_active"), routed_threshold(linear).alias("__t"))
-        out = scored.where("p_active IS NOT NULL")
-        return out.select(*keep, "segment", "p_active", (F.col("p_active") > F.col("__t")).cast("int").alias("prediction"),
+        # Rows are left out by their inputs: a test of the probability would carry its whole expression into the filter.
+        scored = data.where(scorable(linear)).select(*keep, "segment", routed(linear).alias("p_active"), routed_threshold(linear).alias("__t"))
+        return scored.select(*keep, "segment", "p_active", (F.col("p_active") > F.col("__t")).cast("int").alias("prediction"),
                           verdict("p_active").alias("verdict"))
     parts = []
     for seg, model in models.items():

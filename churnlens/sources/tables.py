@@ -172,8 +172,16 @@ def read_activity_export(spark: SparkSession, paths: str | Sequence[str], spec:
 
 
 def read_users_export(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """The exported users, without the index column and repeated logins."""
-    return read_csv(spark, paths, USER_SCHEMA).dropDuplicates(["login"])
+    """The exported users, without the index column.
+
+    Of a repeated login the row updated last stays; of those the first in the
+    order of all columns, so that every run keeps the same one.
+    """
+    users = read_csv(spark, paths, USER_SCHEMA)
+    rest = [c for c in users.columns if c != "login"]
+    # nulls are smallest in a struct: an unknown time of update is the oldest
+    latest = F.max(F.struct("updated_at", *[c for c in rest if c != "updated_at"])).alias("u")
+    return users.groupBy("login").agg(latest).select("login", *[F.col(f"u.{c}").alias(c) for c in rest])
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -232,6 +240,16 @@ def _stored(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
     return spark.read.schema(df.schema).parquet(_STORED[key][1])
 
 
+def stored_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written to a fresh path under the shared checkpoint folder and read back, and the path."""
+    import uuid
+    from churnlens.session import checkpoint_dir
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def drop_stored(spark: SparkSession, path: str) -> None:
     """Delete a table this library has stored."""
     jvm = spark.sparkContext._jvm
