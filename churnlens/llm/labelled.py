@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.llm.textops import saved
 
 #: Labelled rows per class that a classifier is fitted on at most (lowest hashes of doc_id first).
 PER_CLASS = 4000
+#: Bytes of text per class that the rows of a sample hold at most; beyond, the rows with the highest hashes are left out.
+MOST_BYTES = 64 << 20
 
 
 def held_out(key: Column) -> Column:
@@ -17,17 +19,24 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int = PER_CLASS) -> tuple[DataFrame, tuple[int, int]]:
-    """((text, label) rows of a bounded sample, stored in the shared folder; labelled rows of class 0 and 1 in all)."""
+def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int = PER_CLASS, most_bytes: int = MOST_BYTES) -> tuple[DataFrame, tuple[int, int]]:
+    """((doc_id, text, label) rows of a bounded sample, stored in the shared folder; labelled ids of class 0 and 1 in all).
+
+    A doc_id counts once for a class, however often it is labelled or held: of the texts of one doc_id the one with the
+    smallest hash is taken.  An id that is labelled both ways is in both classes.
+    """
     usable = labels.select(F.col("doc_id").alias("__id"), F.col(label).cast("int").alias("label")).filter(
-        F.col("__id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("__id")))
+        F.col("__id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("__id"))).distinct()
     total = {r["label"]: r["n"] for r in usable.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
     ids = None
     for c in (0, 1):
         part = usable.filter(F.col("label") == c).orderBy(F.xxhash64("__id"), "__id").limit(per_class)
         ids = part if ids is None else ids.unionByName(part)
     texts = docs.select(F.col("doc_id").alias("__id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    got = texts.join(F.broadcast(ids), "__id").select(F.col("__id").alias("doc_id"), "text", "label")  # at most 2 * per_class ids
+    # At most 2 * per_class ids; rows of one id are reduced to one before they are shuffled.
+    got = texts.join(F.broadcast(ids), "__id").groupBy("__id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.xxhash64(F.lit(1), "text"))).alias("text"))
+    upto = F.sum(F.octet_length("text")).over(Window.partitionBy("label").orderBy(F.xxhash64("__id"), "__id"))  # per_class rows
+    got = got.select(F.col("__id").alias("doc_id"), "text", "label", upto.alias("__upto")).filter(F.col("__upto") <= most_bytes).drop("__upto")
     return saved(got, "sample"), (total.get(0, 0), total.get(1, 0))
 
 

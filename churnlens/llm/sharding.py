@@ -5,7 +5,8 @@ record.  A record's draw for a shard never changes, so one more shard takes reco
 to its weight.  Everything is a column expression.
 
 Slots number the records of a shard without gaps: records are dealt to hash cells of bounded size, one small table of
-cell counts gives each cell its first slot, and rows are numbered inside their cells only.
+cell counts gives each cell its first slot, and rows are numbered inside their cells only.  Rows that are alike are dealt
+by their place in the table (stored, so that both passes see the same), so copies of one row fill many cells.
 
 Defined results: a null key is a key of its own; a null text has no bytes and the crc32 of the empty text; repeated
 rows get slots of their own; other columns are passed through (input columns named like a result are replaced).
@@ -16,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlens.llm.textops import saved
+
 _CELL = 4096  # rows of a cell, on average
 
 
@@ -41,13 +44,13 @@ def assign(docs: DataFrame, weights: list[float], key: str = "doc_id", text: str
         F.crc32(t.cast("binary")).cast("long").alias("text_crc32"),
         shard_of(k, weights).alias("shard"),
         shard_of(k, [*weights, new_weight]).alias("grown_shard"))
-    cells = max(1, docs.count() // (_CELL * len(weights)))
-    cell = F.pmod(F.xxhash64(F.col(key).cast("string"), F.col("text_crc32"), F.col("size")), F.lit(cells))
-    rows = rows.withColumn("__cell", cell)
+    rows = saved(rows.withColumn("__row", F.monotonically_increasing_id()), "records")
+    cells = max(1, rows.count() // (_CELL * len(weights)))
+    rows = rows.withColumn("__cell", F.pmod(F.xxhash64("__row"), F.lit(cells)))
     counts = rows.groupBy("shard", "__cell").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("shard").orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select("shard", "__cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__first"))
-    inside = Window.partitionBy("shard", "__cell").orderBy(F.col(key).asc_nulls_first(), "text_crc32", "size")
+    inside = Window.partitionBy("shard", "__cell").orderBy(F.col(key).asc_nulls_first(), "text_crc32", "size", "__row")
     numbered = rows.withColumn("__n", F.row_number().over(inside) - 1)
     out = numbered.join(first, ["shard", "__cell"])
-    return out.withColumn("slot", (F.col("__first") + F.col("__n")).cast("long")).drop("__cell", "__first", "__n")
+    return out.withColumn("slot", (F.col("__first") + F.col("__n")).cast("long")).drop("__cell", "__first", "__n", "__row")

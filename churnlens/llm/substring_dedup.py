@@ -176,10 +176,11 @@ def _candidates(docs: DataFrame, recurring: DataFrame, window: int, phrase: int,
                 if known.any():
                     rows.append((0, shard, b"", b"", b"", at[known].tobytes(), True))
                 f1, f2, ids, at = f1[~known], f2[~known], ids[~known], at[~known]
-                cut = np.searchsorted(f1, np.array([(k << 64) // parts for k in range(1, parts)], dtype=np.uint64))
-                for k, (a, b) in enumerate(zip([0, *cut.tolist()], [*cut.tolist(), len(f1)])):
-                    if b > a:
-                        rows.append((k, shard, *(x[a:b].tobytes() for x in (f1, f2, ids, at)), False))
+                # the part of each fingerprint (its 32 high bits times parts, scaled); fingerprints are sorted, so a part is a run
+                part_of = ((f1 >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+                cut = np.flatnonzero(np.append(True, part_of[1:] != part_of[:-1])) if len(f1) else np.zeros(0, dtype=np.int64)
+                for a, b in zip(cut.tolist(), np.append(cut[1:], len(f1)).tolist()):
+                    rows.append((int(part_of[a]), shard, *(x[a:b].tobytes() for x in (f1, f2, ids, at)), False))
         cols = list(zip(*rows)) if rows else [[] for _ in names]
         kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.bool_()]
         return pa.table([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from churnlens.llm import quality, toxicity
-from churnlens.llm.labelled import held_out
+from churnlens.llm.labelled import held_out, sample
 from tests.conftest import SF_MID
 
 
@@ -91,3 +91,17 @@ def test_stems_are_learnt_from_rows_that_hold_them():
                 counts.setdefault(s, [0, 0])[y] += 1
     chosen = toxicity.choose([(s, c[1], c[0]) for s, c in counts.items()], [toxicity._stems(t) & counts.keys() for t in bad], 30, 30)
     assert chosen and all(s.startswith("grum") for s in chosen)
+
+
+def test_sample_is_bounded_when_one_id_holds_many_rows(spark):
+    docs = spark.range(20_000).select(F.lit(5).cast("long").alias("doc_id"), F.when(F.col("id") % 3 == 0, "same").otherwise(F.concat(F.lit("text "), "id")).alias("text"))
+    docs = docs.unionByName(spark.createDataFrame([(i, f"doc {i}") for i in range(100, 160)], "doc_id long, text string"))
+    labels = spark.createDataFrame([(5, 1)] * 3 + [(5, 0)] + [(i, i % 2) for i in range(100, 160)] + [(None, 1), (101, None)], "doc_id long, toxic int")
+    rows, (zero, one) = sample(docs, labels, "toxic", per_class=10)
+    got = rows.collect()
+    counts = {c: [r.doc_id for r in got if r.label == c] for c in (0, 1)}
+    assert zero > 10 and one > 10 and all(len(v) <= 10 and len(v) == len(set(v)) for v in counts.values())
+    again = sample(docs.repartition(9), labels, "toxic", per_class=10)[0]
+    assert {(r.doc_id, r.label, r.text) for r in got} == {(r.doc_id, r.label, r.text) for r in again.collect()}
+    few = sample(docs, labels, "toxic", per_class=10, most_bytes=30)[0]
+    assert few.groupBy("label").agg(F.sum(F.octet_length("text")).alias("n")).filter("n > 30").count() == 0 and few.count() > 0

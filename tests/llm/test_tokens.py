@@ -10,6 +10,7 @@ import public_tokenizers as P
 import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
@@ -179,3 +180,22 @@ def test_memo_keeps_what_comes_back():
         assert [bytes(memo.flat[a:a + n].tolist()).decode() for a, n in zip(at.tolist(), size.tolist())] == words
         assert len(memo.young.keys) <= 40 + 17
     assert made.count("often") == made.count("usual") == 1 and len(made) > len(set(made))  # rare ones are made again
+
+
+def test_copies_of_one_row_fill_many_cells(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "_CELL", 50)
+    docs = spark.range(6000).select(F.when(F.col("id") < 4000, 7).otherwise(F.col("id")).alias("doc_id"), F.lit("same").alias("text")).repartition(5)
+    sizes = []
+    real = sharding.saved
+
+    def seen(df, name):
+        out = real(df, name)
+        cells = out.select(F.pmod(F.xxhash64("__row"), F.lit(15)).alias("c"), "shard").groupBy("shard", "c").count()
+        sizes.append(cells.agg(F.max("count")).first()[0])
+        return out
+
+    monkeypatch.setattr(sharding, "saved", seen)
+    rows = sharding.assign(docs, [1.0] * 8).collect()
+    assert max(sizes) < 500  # 4,000 copies of one row in one shard
+    for s in range(8):
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows)))
