@@ -1123,42 +1123,61 @@ def m10_weighted_lr_scores(spark, sf):
     return out
 
 
+def _tree_model(spark, sf, name: str):
+    """(model, features, test side): a tree model on the training side, fitted once a session."""
+    def build():
+        _, data = cached_segmented_features(spark, sf, SPEC)
+        feats = feature_columns(data, SPEC)
+        train, test = hash_split(data, "login", 0.7, 2018)
+        return mdl.fit_classifier(train, feats, {"gbt": mdl.gbt, "forest": mdl.random_forest}[name]()), feats, test
+    return memoized(spark, ("tree", sf, name), build)
+
+
 @q("m11_gbt_scores")
 def m11_gbt_scores(spark, sf):
-    _, data = cached_segmented_features(spark, sf, SPEC)
-    feats = feature_columns(data, SPEC)
-    train, test = hash_split(data, "login", 0.7, 2018)
-    model = mdl.fit_classifier(train, feats, mdl.gbt(max_iter=50))
+    model, feats, _ = _tree_model(spark, sf, "gbt")
     return mdl.coefficient_table(spark, model, feats)
 
 
-def _tree_metrics(spark, sf, estimator):
+def _tree_metrics(spark, sf, name: str):
     """Predictions of a tree model on the test side, as A15 metrics and M12 areas."""
     from churnlens.functions.columns import vector_element
-    _, data = cached_segmented_features(spark, sf, SPEC)
-    feats = feature_columns(data, SPEC)
-    train, test = hash_split(data, "login", 0.7, 2018)
-    scored = mdl.fit_classifier(train, feats, estimator).transform(test).select(
-        vector_element("probability", 1).alias("p"), "prediction", "label")
+    model, _, test = _tree_model(spark, sf, name)
+    scored = model.transform(test).select(vector_element("probability", 1).alias("p"), "prediction", "label")
     scored = scored.checkpoint()
     return stats.confusion_metrics(scored, "prediction", "label").crossJoin(F.broadcast(mdl.auc(scored, "p", "label")))
 
 
 @q("m11_gbt_metrics")
 def m11_gbt_metrics(spark, sf):
-    return _tree_metrics(spark, sf, mdl.gbt())
+    return _tree_metrics(spark, sf, "gbt")
 
 
 @q("m11_forest_metrics")
 def m11_forest_metrics(spark, sf):
-    return _tree_metrics(spark, sf, mdl.random_forest())
+    return _tree_metrics(spark, sf, "forest")
 
 
-def _holdout_lr(spark, sf):
+@q("m11_trees_by_segment")
+def m11_trees_by_segment(spark, sf):
+    """A forest of each segment's own, fitted side by side: metrics and areas on the test side by segment."""
+    from churnlens.plans.models import fit_segment_models
     _, data = cached_segmented_features(spark, sf, SPEC)
-    feats = feature_columns(data, SPEC)
     train, test = hash_split(data, "login", 0.7, 2018)
-    return mdl.fit_classifier(train, feats), feats, test
+    held = [r["segment"] for r in train.groupBy("segment").agg(F.count_distinct("label").alias("n")).where("n = 2").select("segment").collect()]  # segments with both classes
+    models = memoized(spark, ("segment-trees", sf), lambda: fit_segment_models(train, feature_columns(data, SPEC), mdl.random_forest, sorted(held)))
+    scored = score_by_segment(models, test, keep=("login", "label")).checkpoint()
+    metrics = stats.confusion_metrics(scored, "prediction", "label", by=["segment"])
+    return metrics.join(mdl.auc(scored, "p_active", "label", by=["segment"]), "segment")
+
+
+def _holdout_lr(spark, sf):
+    def build():
+        _, data = cached_segmented_features(spark, sf, SPEC)
+        feats = feature_columns(data, SPEC)
+        train, test = hash_split(data, "login", 0.7, 2018)
+        return mdl.fit_classifier(train, feats), feats, test
+    return memoized(spark, ("holdout", sf), build)
 
 
 @q("m13_o4_coefficients")

@@ -405,3 +405,35 @@ def k3_k4_e14_registry_round_trip(spark, sf):
             "login", "segment", vector_element("probability", 1).alias("p"), F.col("prediction").cast("int").alias("prediction"))
         out = part if out is None else out.unionByName(part)
     return out.select("login", "segment", _r("p").alias("p_active"), "prediction", verdict("p").alias("verdict"))
+
+
+def _declared_weights_sql() -> str:
+    rows = ", ".join(f"('{name}', '{f}', CAST({w} AS DOUBLE))" for name, m in cat._DECLARED.items() for f, w in m.weights)
+    return f"(VALUES {rows}) t(segment, feature, weight)"
+
+
+@q("m13_o4_o5_declared_coefficients", f"""
+SELECT segment, feature, weight, CAST(row_number() OVER (PARTITION BY segment ORDER BY weight DESC, feature) AS INTEGER) AS from_top,
+       CAST(row_number() OVER (PARTITION BY segment ORDER BY weight, feature) AS INTEGER) AS from_bottom FROM {_declared_weights_sql()}""")
+def m13_o4_o5_declared_coefficients(spark, sf):
+    """The coefficient table of each segment's pipeline, with the place of each feature from both ends."""
+    from pyspark.sql import Window
+    out = None
+    for name, model in _declared_pipelines(spark)[1].items():
+        part = mdl.coefficient_table(spark, model, model.stages[0].getInputCols()).withColumn("segment", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    by = Window.partitionBy("segment")
+    return out.select("segment", "feature", "weight", F.row_number().over(by.orderBy(F.desc("weight"), "feature")).alias("from_top"),
+                      F.row_number().over(by.orderBy("weight", "feature")).alias("from_bottom"))
+
+
+# ====================================================================== optimality of the lifetime fit
+
+@q("m20_k5_fit_is_optimal", "SELECT TRUE AS converged, TRUE AS optimal_or_boundary, TRUE AS positive")
+def m20_k5_fit_is_optimal(spark, sf):
+    """The stored parameters, reloaded: the gradient at the returned point is flat, or a parameter ran to its boundary."""
+    path = cat._file(spark, "bgnbd")
+    cat.QUERIES["m20_bgnbd_fit"](spark, sf).write.parquet(path)
+    p = spark.read.parquet(path)
+    return p.select("converged", ((F.col("gradient") < 1e-6) | F.col("at_boundary")).alias("optimal_or_boundary"),
+                    ((F.least("r", "alpha", "a", "b") > 0)).alias("positive"))

@@ -45,15 +45,20 @@ def next_batch(candidates: DataFrame, known: DataFrame, key: str, n: int,
     return fresh.orderBy(key_hash(key, seed), F.col(key)).limit(n)
 
 
-def _with_counts(df: DataFrame, **conditions: Column) -> DataFrame:
-    """``df`` with the number of rows that meet each condition (one aggregate row, broadcast)."""
-    total = df.agg(*[F.count(F.when(c, 1)).alias(n) for n, c in conditions.items()])
-    return df.join(F.broadcast(total))
+def _stored_with_counts(df: DataFrame, **conditions: Column) -> DataFrame:
+    """``df``, stored, with the number of rows that meet each condition (one aggregate row, broadcast).
+
+    The input is computed once; the counts read a few columns of what is stored.
+    """
+    from churnlens.sources.tables import stored_table
+    held, _ = stored_table(df, "counted")
+    total = held.agg(*[F.count(F.when(c, 1)).alias(n) for n, c in conditions.items()])
+    return held.join(F.broadcast(total))
 
 
 def class_weights(df: DataFrame, label: str = "label", out: str = "class_weight") -> DataFrame:
     """M6: weight ``ratio`` for positives and ``1 - ratio`` for negatives, ratio = (N - P) / N."""
-    counted = _with_counts(df, __n=F.lit(True), __p=F.col(label) == 1)
+    counted = _stored_with_counts(df, __n=F.lit(True), __p=F.col(label) == 1)
     ratio = F.coalesce(F.try_divide(F.col("__n") - F.col("__p"), F.col("__n")), F.lit(0.0))
     return counted.withColumn(out, F.when(F.col(label) == 1, ratio).otherwise(1.0 - ratio)).drop("__n", "__p")
 
@@ -65,7 +70,7 @@ def undersample_majority(df: DataFrame, label: str, key: str, seed: int = 0,
     Fraction = minority / majority, at most 1.
     """
     y = F.col(label)
-    counted = _with_counts(df, __m=y == minority_value, __a=y != minority_value)
+    counted = _stored_with_counts(df, __m=y == minority_value, __a=y != minority_value)
     fraction = F.coalesce(F.try_divide(F.col("__m").cast("double"), F.col("__a")), F.lit(1.0))
     keep = (y == minority_value) | ((y != minority_value) & (key_uniform(key, seed) < fraction))
     return counted.where(keep).drop("__m", "__a")

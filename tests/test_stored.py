@@ -173,3 +173,60 @@ def test_users_export_keeps_the_latest_row_of_a_login(spark, scratch):
     got = read_users_export(spark, scratch + "/u")
     assert {r.login: r.followers_count for r in got.collect()} == {"x": 2, "y": 5, "z": 8}
     assert got.columns == [f.name for f in USER_SCHEMA]
+
+
+# ---------------------------------------------------------------- ledger, registry, payloads, layouts
+
+def test_a_batch_that_was_committed_stays(spark, scratch):
+    from churnlens.operators.ledger import committed, fetch_batch
+    path = scratch + "/ledger"
+    users = spark.createDataFrame([(i,) for i in range(20)] + [(3,), (None,)], "actor int")
+    known = spark.createDataFrame([(0,), (1,)], "actor int")
+    one = fetch_batch(users, known, "actor", 5, "a/b c", path).collect()
+    two = fetch_batch(users, known, "actor", 5, "second", path).collect()
+    spark.createDataFrame([(7, 0)], "actor int, place int").write.parquet(path + "/batch=third")
+    import os
+    os.remove(path + "/batch=third/_SUCCESS")  # a writer died
+    again = fetch_batch(users.where("actor > 15"), known, "actor", 5, "a/b c", path).collect()
+    third = fetch_batch(users, known, "actor", 50, "third", path).collect()
+    assert again == one and [r.place for r in sorted(one, key=lambda r: r.place)] == list(range(5)) and len(committed(spark, path)) == 3
+    taken = [r.actor for r in one + two + third]
+    assert sorted(taken) == list(range(2, 20))
+
+
+def test_registry_versions(spark, scratch):
+    from churnlens import catalog_stored as cs
+    from churnlens.api import TrainedModels
+    from churnlens.plans import registry
+    segments_, models_ = cs._declared_pipelines(spark)
+    trained = TrainedModels(segments_, models_, ["blog", "recency"])
+    with pytest.raises(FileNotFoundError):
+        registry.load(spark, scratch + "/r")
+    assert [registry.publish(spark, scratch + "/r", trained, SPEC, "s1"), registry.publish(spark, scratch + "/r", trained, SPEC, "s2")] == [1, 2]
+    held = registry.load(spark, scratch + "/r")
+    assert held.number == 2 and held.data_state == "s2" and held.spec == SPEC and held.trained.features == ["blog", "recency"]
+    assert registry.load(spark, scratch + "/r", 1).data_state == "s1" and set(held.trained.models) == {"company", "high", "low"}
+    import os
+    os.makedirs(scratch + "/r/.incoming-dead")  # what a crash leaves is no version
+    assert registry.versions(spark, scratch + "/r") == [1, 2]
+    with pytest.raises(ValueError, match="recency"):
+        registry.check_features(held, spark.createDataFrame([(1,)], "blog int"))
+
+
+def test_plans_of_stored_layouts(spark):
+    merged = entry.queries()["m24_colocated_merge"](spark, SF_SMALL)
+    assert "Exchange" not in plan(merged) and "SortMergeJoin" in plan(merged)
+    periods = entry.queries()["s2_profiles_of_periods"](spark, SF_SMALL)
+    assert "dynamicpruning" in plan(periods).lower()
+    fields = entry.queries()["a5_variant_fields"](spark, SF_SMALL)
+    assert fields._jdf.queryExecution().optimizedPlan().toString().count("parse_json") <= 1
+
+
+def test_at_risk_reports_plan_quickly(spark):
+    import time
+    for name in ("m16_at_risk_declared", "m16_histogram_declared"):
+        entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan()
+        df = entry.queries()[name](spark, SF_SMALL)
+        start = time.perf_counter()
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+        assert time.perf_counter() - start < 5 and text.lower().count("log1p") <= 60
