@@ -126,6 +126,37 @@ ORACLE: dict[str, str] = {
              AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
         WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)
         QUALIFY row_number() OVER w <= 5""",
+    "op12_spelling_variants": r"""
+        WITH RECURSIVE tab AS (
+            SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)), lambda c, k:
+                CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+        r AS (
+            SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]{6,}')),
+                                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+        d AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS s, run, count(*) AS c FROM r GROUP BY 1, 2),
+        h AS (
+            SELECT run, c, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(s, ''), lambda x:
+                       CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [195::BIGINT, unicode(x)::BIGINT - 64] END))),
+                       lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) AS h
+            FROM d, tab),
+        w AS (
+            SELECT word, CAST(sum(c) AS BIGINT) AS n
+            FROM (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM h)
+            WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+        holes AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM w)),
+        near AS (
+            SELECT a.word, b.word AS other, b.n AS m FROM holes a JOIN holes b ON a.i = b.i AND a.cut = b.cut AND a.word <> b.word
+            UNION SELECT a.word, b.word, b.n FROM holes a JOIN w b ON a.cut = b.word
+            UNION SELECT b.word, a.word, a.n FROM holes a JOIN w b ON a.cut = b.word),
+        best AS (SELECT word, count(*) AS n_near, max(m) AS m FROM near GROUP BY word),
+        first AS (SELECT near.word, min(other) AS other FROM near JOIN best ON near.word = best.word AND near.m = best.m GROUP BY near.word),
+        f AS (
+            SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * n THEN other END AS form, CASE WHEN m >= 5 * n THEN m END AS form_n
+            FROM w LEFT JOIN best ON w.word = best.word LEFT JOIN first ON w.word = first.word),
+        up AS (
+            SELECT word, word AS root, form AS next FROM f
+            UNION ALL SELECT up.word, f.word, f.form FROM up JOIN f ON f.word = up.next)
+        SELECT f.word, form, up.root, n, n_near, form_n FROM f JOIN up ON up.word = f.word AND up.next IS NULL""",
     "op13_source_mix": r"""
         WITH d AS (
             SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
