@@ -12,6 +12,7 @@ from churnlens.llm.textops import saved
 PER_CLASS = 4000
 #: Bytes of text per class that the rows of a sample hold at most; beyond, the rows with the highest hashes are left out.
 MOST_BYTES = 64 << 20
+_FILES = 16  # tasks that read a sample
 
 
 def held_out(key: Column) -> Column:
@@ -37,6 +38,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int = PER_
     got = texts.join(F.broadcast(ids), "__id").groupBy("__id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.xxhash64(F.lit(1), "text"))).alias("text"))
     upto = F.sum(F.octet_length("text")).over(Window.partitionBy("label").orderBy(F.xxhash64("__id"), "__id"))  # per_class rows
     got = got.select(F.col("__id").alias("doc_id"), "text", "label", upto.alias("__upto")).filter(F.col("__upto") <= most_bytes).drop("__upto")
+    got = got.repartition(_FILES, "doc_id")  # the window leaves two partitions
     return saved(got, "sample"), (total.get(0, 0), total.get(1, 0))
 
 
