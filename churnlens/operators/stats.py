@@ -8,6 +8,7 @@ scalars) come back to the driver, to become literals of the bin expression.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Mapping, Sequence
 
 import numpy as np
@@ -34,28 +35,26 @@ def exact_quartiles(df: DataFrame, cols: Sequence[str], accuracy: int = 10000) -
     reaches p * n, exact at any size.
 
     A first pass brackets each quartile with approximate percentiles (rank
-    error at most 1 / accuracy); the second counts the rows below the bracket
-    and, per value, those inside it, about 6 / accuracy of the rows.
+    error at most 1 / accuracy), a second counts the rows below each bracket in
+    one aggregate row, and a third counts the values inside the brackets, about
+    6 / accuracy of the rows; no other row is passed on.  ``df`` is read three
+    times, so it should be a stored table.
     """
     margin = 3.0 / accuracy
     probes = [p for _, q in QUARTILES for p in (max(0.0, q - margin), min(1.0, q + margin))]
     got = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probes, accuracy).alias(f"q{i}")
                    for i, c in enumerate(cols)]).first()  # one row
-    items = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        for j, (name, q) in enumerate(QUARTILES):
-            lo, hi = (got[f"q{i}"][2 * j], got[f"q{i}"][2 * j + 1]) if got[f"q{i}"] else (0.0, 0.0)
-            # v is null below the bracket, the value inside it; rows above only count
-            items.append(F.struct(F.lit(c).alias("column"), F.lit(name).alias("name"), F.lit(q).alias("q"),
-                                  F.when(x < lo, 0).when(x <= hi, 1).when(x > hi, 2).alias("part"),
-                                  F.when((x >= lo) & (x <= hi), x).alias("v")))
-    counted = df.select(F.inline(F.array(*items))).groupBy("column", "name", "q", "part", "v").agg(F.count("part").alias("n"))
-    counted = counted.where("part IS NOT NULL")
-    size = F.sum("n").over(Window.partitionBy("column", "name"))
-    upto = F.sum("n").over(Window.partitionBy("column", "name").orderBy("part", "v"))
-    found = counted.select("column", "name", "q", "part", "v", size.alias("size"), upto.alias("upto"))
-    found = found.where("part = 1 AND upto >= ceil(q * size)").groupBy("column", "name").agg(F.min("v").alias("v"))
+    spots = [(i, j, c, name, q, *((got[f"q{i}"][2 * j], got[f"q{i}"][2 * j + 1]) if got[f"q{i}"] else (0.0, 0.0)))
+             for i, c in enumerate(cols) for j, (name, q) in enumerate(QUARTILES)]
+    x = [F.col(c).cast("double") for c in cols]
+    below = df.agg(*[F.count(v).alias(f"n{i}") for i, v in enumerate(x)],
+                   *[F.count(F.when(x[i] < lo, 1)).alias(f"b{i}_{j}") for i, j, _, _, _, lo, _ in spots]).first()  # one row
+    inside = F.array(*[F.when((x[i] >= lo) & (x[i] <= hi), F.struct(
+        F.lit(c).alias("column"), F.lit(name).alias("name"), F.lit(math.ceil(q * below[f"n{i}"]) - below[f"b{i}_{j}"]).cast("long").alias("need"), x[i].alias("v")))
+        for i, j, c, name, q, lo, hi in spots])
+    counted = df.select(F.inline(F.filter(inside, lambda s: s.isNotNull()))).groupBy("column", "name", "need", "v").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("column", "name").orderBy("v"))
+    found = counted.select("column", "name", "need", "v", upto.alias("upto")).where("upto >= need").groupBy("column", "name").agg(F.min("v").alias("v"))
     return found.groupBy("column").agg(*[F.max(F.when(F.col("name") == n, F.col("v"))).alias(n) for n, _ in QUARTILES])
 
 
@@ -63,11 +62,14 @@ def summary_stats(df: DataFrame, cols: Sequence[str], quartiles: bool = False,
                   approximate: bool = False, accuracy: int = 10000) -> DataFrame:
     """count/mean/stddev/min/max per column (long form), one scan.
 
-    ``quartiles=True`` adds exact quartiles (two more scans), or, with
-    ``approximate=True``, ``percentile_approx`` ones in the same scan.
+    ``quartiles=True`` adds exact quartiles (the columns are stored and read
+    three more times), or, with ``approximate=True``, ``percentile_approx``
+    ones in the same scan.
     """
     if quartiles and not approximate:
-        return summary_stats(df, cols).join(exact_quartiles(df, cols, accuracy), "column", "left")
+        from churnlens.sources.tables import stored_table
+        held, _ = stored_table(df.select(*cols), "summary")
+        return summary_stats(held, cols).join(exact_quartiles(held, cols, accuracy), "column", "left")
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
