@@ -1123,26 +1123,26 @@ def m10_weighted_lr_scores(spark, sf):
     return out
 
 
-def _tree_model(spark, sf, name: str):
-    """(model, features, test side): a tree model on the training side, fitted once a session."""
+def _tree_model(spark, sf, estimator):
+    """(model, features, test side): a tree model on the training side; one of each kind is fitted once a session."""
     def build():
         _, data = cached_segmented_features(spark, sf, SPEC)
         feats = feature_columns(data, SPEC)
         train, test = hash_split(data, "login", 0.7, 2018)
-        return mdl.fit_classifier(train, feats, {"gbt": mdl.gbt, "forest": mdl.random_forest}[name]()), feats, test
-    return memoized(spark, ("tree", sf, name), build)
+        return mdl.fit_classifier(train, feats, estimator), feats, test
+    return memoized(spark, ("tree", sf, type(estimator).__name__), build)
 
 
 @q("m11_gbt_scores")
 def m11_gbt_scores(spark, sf):
-    model, feats, _ = _tree_model(spark, sf, "gbt")
+    model, feats, _ = _tree_model(spark, sf, mdl.gbt())
     return mdl.coefficient_table(spark, model, feats)
 
 
-def _tree_metrics(spark, sf, name: str):
+def _tree_metrics(spark, sf, estimator):
     """Predictions of a tree model on the test side, as A15 metrics and M12 areas."""
     from churnlens.functions.columns import vector_element
-    model, _, test = _tree_model(spark, sf, name)
+    model, _, test = _tree_model(spark, sf, estimator)
     scored = model.transform(test).select(vector_element("probability", 1).alias("p"), "prediction", "label")
     scored = scored.checkpoint()
     return stats.confusion_metrics(scored, "prediction", "label").crossJoin(F.broadcast(mdl.auc(scored, "p", "label")))
@@ -1150,12 +1150,12 @@ def _tree_metrics(spark, sf, name: str):
 
 @q("m11_gbt_metrics")
 def m11_gbt_metrics(spark, sf):
-    return _tree_metrics(spark, sf, "gbt")
+    return _tree_metrics(spark, sf, mdl.gbt())
 
 
 @q("m11_forest_metrics")
 def m11_forest_metrics(spark, sf):
-    return _tree_metrics(spark, sf, "forest")
+    return _tree_metrics(spark, sf, mdl.random_forest())
 
 
 @q("m11_trees_by_segment")
