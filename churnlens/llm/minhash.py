@@ -101,10 +101,11 @@ def _sketch(docs: DataFrame) -> DataFrame:
                 off = np.concatenate([[0], np.cumsum(n)])
                 marks = [t[off[1:]] - t[off[:-1]] for t in total]
                 rows, sig = signatures(doc, h, w.n_docs)
+                sig >>= np.uint64(32)  # keys and stored signatures see the same upper halves: equal minima mean an equal key
                 keys = np.zeros((w.n_docs, BANDS), dtype=np.uint64)
                 keys[rows] = band_keys(sig)
                 small = np.zeros((w.n_docs, BANDS * ROWS), dtype=np.uint32)
-                small[rows] = (sig >> np.uint64(32)).astype(np.uint32)
+                small[rows] = sig.astype(np.uint32)
                 id_ = part.column("doc_id").combine_chunks()
                 yield pa.RecordBatch.from_arrays([
                     id_, *(part.column(x).combine_chunks() for x in ("t1", "t2")), pa.array(n, pa.int64()), *(pa.array(m.view(np.int64)) for m in marks),

@@ -12,7 +12,9 @@ that order, also start in a document with a smaller doc_id.
    that a shard sends each different window once, with the smallest document that has it, then across shards.
 4. Each shard removes the covered words of its documents.
 
-A window that recurs in every document is sent once by each shard, never once by each document.
+A window that recurs in every document is sent once by each shard, never once by each document.  Rows that are alike in
+doc_id and text have the same result: beyond ``_OFTEN`` of them one goes on and the others take its result, so that no
+shard holds a group of equal rows.
 
 Defined results: null texts have no words; documents shorter than a window keep everything; rows with a null doc_id
 neither lose words nor count as a source; rows with equal doc_ids are no source for each other; a table without rows
@@ -29,10 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.textops import Words, mix64, running, sized, slices, small_batches, span_hash, text_bytes
+from churnlens.llm.textops import Words, forget, mix64, running, saved, sized, slices, small_batches, span_hash
 
 WINDOW, PHRASE = 50, 8
 _SHARD = 4 << 20  # bytes of text in a shard
+_OFTEN = 32  # equal rows that go to a shard as they are, at most
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 _SPLIT = re.compile(r"[\x20\x09-\x0D]+")
 
@@ -226,11 +229,35 @@ RESULTS = ("n_words", "n_removed", "removed_spans", "kept_text")
 def dedup_substrings(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with n_words, n_removed, removed_spans (array of first word, end word) and kept_text (the words that
     stay, joined by single spaces).  A window shorter than ``phrase`` is its own phrase."""
+    small_batches(docs.sparkSession)
     phrase = min(phrase, window)
-    spark = docs.sparkSession
-    small_batches(spark)
-    kept = [f for f in docs.schema if f.name not in RESULTS]
-    n_bytes = text_bytes(docs.select(F.col(text).cast("string").alias("text")))
+    columns = [F.col(f"`{c}`") for c in docs.columns if c not in RESULTS]
+    mark = [F.xxhash64(F.col(key), F.col(text)).alias("__h1"), F.xxhash64(F.lit(1), F.col(key), F.col(text)).alias("__h2")]
+    size = F.octet_length(F.col(text).cast("string"))
+    alike = saved(docs.select(*mark, size.alias("size")).groupBy("__h1", "__h2").agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.max("size"), F.lit(0)).cast("long").alias("size")), "alike")
+    often = F.col("n") > _OFTEN
+    total, groups = alike.agg(F.sum(F.when(often, F.col("size")).otherwise(F.col("n") * F.col("size"))), F.count_if(often)).first()
+    total = int(total or 0)
+    if not groups:
+        forget(alike)
+        return _dedup(docs.select(*columns), total, window, phrase, key, text)
+
+    pair = ["__h1", "__h2"]
+    hot = alike.filter(often).select(*pair)
+    marked = docs.select(*columns, *mark)
+    again = marked.join(hot, pair, "left_semi")
+    one = again.groupBy(*pair).agg(F.first(F.col(key)).alias(key), F.first(F.col(text)).alias(text))
+    once = marked.join(hot, pair, "left_anti").select(*columns, *[F.lit(None).cast("long").alias(h) for h in pair])
+    done = saved(_dedup(once.unionByName(one, allowMissingColumns=True), total, window, phrase, key, text), "dedup")
+    # A hot group is split by the join: its one result is sent to every part of it.
+    result = done.filter("__h1 IS NOT NULL").select(*pair, *RESULTS)
+    return done.filter("__h1 IS NULL").drop(*pair).unionByName(again.join(result, pair).drop(*pair))
+
+
+def _dedup(docs: DataFrame, n_bytes: int, window: int, phrase: int, key: str, text: str) -> DataFrame:
+    """``docs`` (without columns named like a result) with the results."""
+    kept = list(docs.schema)
     shards = sized(n_bytes, _SHARD)
     shard = F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(shards)).cast("int").alias("__shard")
     # One deal of the documents serves both passes over the shards.

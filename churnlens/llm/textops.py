@@ -236,11 +236,6 @@ def forget(*frames: DataFrame) -> None:
             p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def text_bytes(docs: DataFrame) -> int:
-    """Bytes of all texts: one aggregate row; used only to size partitions."""
-    return int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
-
-
 def sized(n_bytes: int, each: int) -> int:
     """Partitions of about ``each`` bytes."""
     return max(1, -(-n_bytes // each))

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,6 +63,25 @@ def test_substring_dedup_of_repeated_and_null_ids(spark):
     assert got == [(False, 2, 0), (False, 5, 0), (False, 5, 0), (False, 7, 80), (True, 0, 0)]
 
 
+def test_substring_dedup_of_a_row_that_fills_a_third_of_the_table(monkeypatch, docs, rows):
+    monkeypatch.setattr(substring_dedup, "_SHARD", 1 << 12)
+    long = " ".join(f"h{k}" for k in range(90))
+    more = [(50_000, long)] * 60 + [(40_000, "a " + long)] + [(60_000, long + " z")] + [(50_001, None)] * 40
+    nulls = [(None, long + " q")] * 50
+    spark = docs.sparkSession
+    both = docs.unionByName(spark.createDataFrame([(i, t, str(n), "clash") for n, (i, t) in enumerate(more + nulls)], SCHEMA)).repartition(6)
+    got = substring_dedup.dedup_substrings(both).withColumn("sha", F.sha2("kept_text", 256)).collect()
+    want = brute.substring_dedup(rows + more)
+    assert len(got) == len(rows) + len(more) + len(nulls)
+    for r in got:
+        if r.doc_id is None:
+            assert (r.n_words, r.n_removed, r.kept_text) == (91, 0, long + " q")
+        else:
+            assert (r.n_words, r.n_removed, r.sha) == want[r.doc_id, r.text], r.doc_id
+    assert want[50_000, long][1] == 90
+    assert {r.component_id for r in got} == {"clash"}
+
+
 def test_phrases_that_first_run_across_two_documents_are_located(spark):
     rows = [(1, "x y"), (2, "x y " * 60), (3, "x y " * 60), (4, "x\ny"), (5, "y " + "x y " * 40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
@@ -96,6 +116,13 @@ def test_near_duplicates_equal_brute_force(monkeypatch, docs, rows, block):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_equal_stored_minima_of_a_band_mean_an_equal_key(spark):
+    docs = spark.createDataFrame([(i, f"a b c d e f{i % 3} g h i j") for i in range(9)], "doc_id long, text string")
+    for r in minhash._sketch(docs).collect():
+        stored = np.frombuffer(r.sig, dtype=np.uint32).astype(np.uint64)[None, :]
+        assert minhash.band_keys(stored).view(np.int64)[0].tolist() == r.bands
+
+
 def test_links_beyond_the_first_of_a_bucket_are_found(spark):
     # a chain: each differs from the next by less than a quarter, its ends by far more
     words = [f"c{k}" for k in range(400)]
