@@ -16,7 +16,7 @@ largest inner product is then the smallest angle.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components take no part, nor do rows
 without an id; vectors of different length are not compared; a query is not compared with rows of its own id; a query
-with fewer candidates than k gets all; ties go to the smaller id.
+with fewer candidates than k gets all; ties go to the smaller id; a product beyond the range of doubles is infinite.
 """
 
 from __future__ import annotations
@@ -38,6 +38,7 @@ RECALL = 0.95
 SAMPLE = 128  # queries that the number of candidates is measured on, at most
 _QUERIES = 256
 _GRID = 2.0 ** (1 / 4)
+_LONGEST = float(np.finfo(np.float64).max)
 
 
 def directions(dim: int, seed: int = 11) -> np.ndarray:
@@ -45,8 +46,21 @@ def directions(dim: int, seed: int = 11) -> np.ndarray:
     return np.random.Generator(np.random.PCG64([seed, dim])).standard_normal((dim + 1, TREES * LENGTH))
 
 
+def _size(m: np.ndarray) -> tuple[float, float]:
+    """(the largest absolute component, the largest length in units of it): lengths whose squares no double holds."""
+    unit = float(np.abs(m).max(initial=0.0))
+    return unit, float(np.sqrt(((m / unit) ** 2).sum(axis=1)).max()) if unit else 0.0
+
+
 def strings(m: np.ndarray, length: float | None) -> np.ndarray:
-    """(tree, row) hash strings as integers; ``length`` is the longest row's, None for queries."""
+    """(tree, row) hash strings as integers; ``length`` is the longest row's, None for queries.
+
+    Rows are divided by that length, queries by their own largest component: signs stay, squares can't overflow.
+    """
+    if length is None:
+        m = m / np.maximum(np.abs(m).max(axis=1, initial=0.0), np.finfo(np.float64).tiny)[:, None]
+    elif length:
+        m, length = m / length, 1.0
     extra = np.zeros(len(m)) if length is None else np.sqrt(np.maximum(length ** 2 - (m * m).sum(axis=1), 0.0))
     signs = np.column_stack([m, extra]) @ directions(m.shape[1]) > 0
     packed = np.packbits(signs.reshape(len(m), TREES, LENGTH), axis=2)
@@ -78,8 +92,15 @@ class Forest:
 
 
 def _products(c: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Inner products row by row: equal rows give equal values wherever they stand."""
-    return (c * q).sum(axis=1)
+    """Inner products row by row: equal rows give equal values wherever they stand.  Where a sum leaves the range of
+    doubles, the sign of the product of the scaled vectors decides which infinity it is."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        out = (c * q).sum(axis=1)
+        out_of_range = ~np.isfinite(out)
+        if out_of_range.any():
+            units = np.abs(c[out_of_range]).max(axis=1), np.abs(q).max()
+            out[out_of_range] = ((c[out_of_range] / units[0][:, None]) * (q / units[1])).sum(axis=1) * units[0] * units[1]
+    return out
 
 
 def _best(ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
@@ -159,8 +180,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id",
 
     def longest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in cells(batches):
-            m = np.frombuffer(row["data"], dtype=np.float64).reshape(-1, row["dim"])
-            yield pa.RecordBatch.from_arrays([pa.array([float(np.sqrt((m * m).sum(axis=1)).max(initial=0.0))])], names=["m"])
+            unit, times = _size(np.frombuffer(row["data"], dtype=np.float64).reshape(-1, row["dim"]))
+            yield pa.RecordBatch.from_arrays([pa.array([min(unit * times, _LONGEST)])], names=["m"])
 
     length = rows.select("dim", "data").mapInArrow(longest, "m double").agg(F.max("m")).first()[0] or 0.0
     enough = _measure(sampled, rows, k, length, recall)

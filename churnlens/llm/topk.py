@@ -9,7 +9,8 @@ at most the k smallest ids of each block, and ranks what is left.
 
 Defined results: vectors that are null, empty or hold null or non-finite components take no part, nor do rows without
 an id; vectors of different length are not compared; a query is not compared with rows of its own id; a query with
-fewer candidates than k gets all; ties go to the smaller id; repeated rows are candidates of their own.
+fewer candidates than k gets all; ties go to the smaller id; repeated rows are candidates of their own; a score beyond
+2**62 - 2 either way counts as that bound (components that large are multiplied in integers of any width).
 """
 
 from __future__ import annotations
@@ -28,23 +29,43 @@ BINS = 2048
 _QUERIES = 256  # queries of a block
 _SALTS = 16
 _FAR = 1 << 62
+_HUGE = float(np.finfo(np.float64).max)
 
 
 def scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Integer inner products, exact: in doubles while no partial sum can leave 2**53, else in 64-bit integers."""
-    bound = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * q.shape[1]
+    """Integer inner products, exact: in doubles while no partial sum can leave 2**53, in 64-bit integers below 2**62,
+    else, for the rows that are too large, in integers of any width, held to the bound."""
+    bound = np.abs(q).max(initial=0) * np.abs(c).max(initial=0) * q.shape[1] if q.size and c.size else 0.0
     if bound < 2 ** 53:
         return (q @ c.T).astype(np.int64)
-    if bound >= 2 ** 62:
-        raise OverflowError("a score may not fit 64 bits")
-    return np.einsum("ij,kj->ik", q.astype(np.int64), c.astype(np.int64))
+    if bound < 2 ** 62:
+        return np.einsum("ij,kj->ik", q.astype(np.int64), c.astype(np.int64))
+    most = (2.0 ** 61 / q.shape[1]) ** 0.5
+    large_q, large_c = (np.abs(x).max(axis=1) >= most for x in (q, c))
+    out = np.empty((len(q), len(c)), dtype=np.int64)
+    out[np.ix_(~large_q, ~large_c)] = scores(q[~large_q], c[~large_c])
+    out[large_q] = _wide(q[large_q], c)
+    out[np.ix_(~large_q, large_c)] = _wide(q[~large_q], c[large_c])
+    return out
+
+
+def _wide(q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Products in Python integers, a row of ``q`` at a time."""
+    whole = np.vectorize(int, otypes=[object])
+    out = np.empty((len(q), len(c)), dtype=np.int64)
+    if out.size:
+        other = whole(c)
+        for i, row in enumerate(whole(q)):
+            out[i] = np.clip(other @ row, 2 - _FAR, _FAR - 2).astype(np.int64)
+    return out
 
 
 def _scored(row: dict, scale: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query ids, candidate ids, scores with the lowest value where the ids are equal)."""
     qi, q = matrix(row["q_ids"], row["q_data"], row["dim"])
     ci, c = matrix(row["ids"], row["data"], row["dim"])
-    s = scores(np.floor(q * scale), np.floor(c * scale))
+    with np.errstate(over="ignore"):
+        s = scores(*(np.clip(np.floor(m * scale), -_HUGE, _HUGE) for m in (q, c)))
     s[qi[:, None] == ci[None, :]] = -_FAR
     return qi, ci, s
 

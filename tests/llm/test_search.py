@@ -76,8 +76,36 @@ def test_doubled_rows_in_several_blocks_of_queries(spark, scratch):
 def test_large_scores_stay_exact():
     q, c = np.array([[2.0 ** 27 + 1, 1.0]]), np.array([[2.0 ** 27 - 1, 3.0]])
     assert topk.scores(q, c)[0, 0] == (2 ** 27 + 1) * (2 ** 27 - 1) + 3
-    with pytest.raises(OverflowError):
-        topk.scores(q * 2.0 ** 20, c * 2.0 ** 20)
+    assert topk.scores(q * 2.0 ** 20, c * 2.0 ** 20)[0, 0] == (1 << 62) - 2  # held to the bound
+    rng = np.random.default_rng(1)
+    q, c = (np.floor(rng.standard_normal((n, 5)) * 1000) for n in (7, 9))
+    q[2] *= 2.0 ** 40
+    c[[1, 5]] *= 2.0 ** 45
+    c[5] = 0
+    c[5, 3], q[2, 3] = 2.0 ** 60, 1.0
+    held = lambda x: max(2 - (1 << 62), min((1 << 62) - 2, x))
+    assert topk.scores(q, c).tolist() == [[held(sum(int(x) * int(y) for x, y in zip(a, b))) for b in c] for a in q]
+
+
+def test_a_row_of_huge_components_costs_no_other_row(spark):
+    rng = np.random.default_rng(17)
+    m = rng.standard_normal((300, 8))
+    rows = [(i, m[i].tolist()) for i in range(300)] + [(1000, [1e200] + [0.0] * 7), (1001, [-1.7e308] * 8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = df.filter("vec_id % 20 = 0")
+    got = grouped(topk.top_k(df, asked, 5))
+    whole = brute.integers(m)
+    want = brute.nearest(list(range(300)), whole, list(range(0, 300, 20)), 300, lambda q, c: c @ q)
+    for q, best in want.items():
+        far = [(i, (1 << 62) - 2) for i, s in ((1000, m[q][0]), (1001, -m[q].sum())) if s > 0]
+        assert got[q] == (far + best)[:5]
+    assert set(got) == {*want, 1000}
+    near = grouped(ann.nearest(df, asked, 5))
+    assert set(near) == set(got) and not any(np.isnan(s) for best in near.values() for _, s in best)
+    every = np.array([v for _, v in rows], dtype=np.longdouble)  # a wider range than doubles have
+    ids = [i for i, _ in rows]
+    exact = {q: [ids[j] for j in np.argsort(-(every @ every[j]), kind="stable") if ids[j] != q][:5] for j, q in enumerate(ids) if q in near}
+    assert np.mean([len({i for i, _ in near[q]} & set(exact[q])) / 5 for q in near]) >= 0.9
 
 
 def test_forest_recall_order_and_scores(table):
