@@ -41,6 +41,17 @@ SCHEMAS: dict[str, T.StructType] = {
 }
 
 
+# Rows that one task joins or groups.  Where the number of tasks follows from it and the size of the data, a task's
+# memory does not grow with the input, whatever number of shuffle partitions the session has.
+TASK_ROWS = 250_000
+
+
+def tasks_for(table: DataFrame, least: int | None = None) -> int:
+    """Tasks of at most about ``TASK_ROWS`` rows of a stored table (counted from its files' footers), ``least`` or
+    one per core at least."""
+    return max(least or table.sparkSession.sparkContext.defaultParallelism, -(-table.count() // TASK_ROWS))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Typed parquet scan of one driver table (no inference pass)."""
     reader = spark.read
@@ -80,6 +91,11 @@ def user_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     nullable text/boolean fields follow fixed null rules so presence flags
     meet true nulls.  Three aggregates keyed by customer are joined on the
     same key, so the joins reuse the aggregation's hash partitioning.
+
+    Distinct parts and suppliers are counted in two steps: lines are grouped by
+    customer and part or supplier, then these groups by customer.  The number
+    of tasks of the join and of the first step grows with the lines; lines are
+    shuffled for the join only if the orders are not broadcast.
     """
     cust = read_table(spark, sf_dir, "customer")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
@@ -90,14 +106,19 @@ def user_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min("o_orderdate").alias("created_at"),
         F.max("o_orderdate").alias("updated_at"),
     )
-    line_stats = (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-        .groupBy(F.col("o_custkey").alias("login"))
-        .agg(
-            F.count(F.lit(1)).cast("int").alias("following_count"),
-            F.count_distinct("l_partkey").cast("int").alias("public_repos_count"),
-            F.count_distinct("l_suppkey").cast("int").alias("public_gists_count"),
-        )
+    tasks = tasks_for(lines)
+    dealt = orders.select("o_orderkey", "o_custkey").repartition(tasks, "o_orderkey")
+    things = (  # two rows a line
+        lines.join(dealt, lines.l_orderkey == dealt.o_orderkey)
+        .select(F.col("o_custkey").alias("login"),
+                F.stack(F.lit(2), F.lit(True), F.col("l_partkey"), F.lit(False), F.col("l_suppkey")).alias("is_part", "thing"))
+        .repartition(2 * tasks, "login", "is_part", "thing")
+        .groupBy("login", "is_part", "thing").agg(F.count(F.lit(1)).alias("n_lines"))
+    )
+    line_stats = things.groupBy("login").agg(
+        F.sum(F.when(F.col("is_part"), F.col("n_lines"))).cast("int").alias("following_count"),
+        F.count(F.when(F.col("is_part"), F.col("thing"))).cast("int").alias("public_repos_count"),
+        F.count(F.when(~F.col("is_part"), F.col("thing"))).cast("int").alias("public_gists_count"),
     )
     base = cust.select(
         F.col("c_custkey").alias("login"),
@@ -106,7 +127,8 @@ def user_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_mktsegment")).alias("company"),
         F.when(F.col("c_mktsegment") != "AUTOMOBILE", F.col("c_nationkey") % 2 == 0).alias("hireable"),
     )
-    prof = base.join(order_stats, "login", "left").join(line_stats, "login", "left")
+    prof = (base.repartition(tasks_for(cust), "login")
+            .join(order_stats, "login", "left").join(line_stats, "login", "left"))
     return prof.select(
         "login",
         *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in
