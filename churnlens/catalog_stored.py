@@ -25,7 +25,7 @@ from churnlens.plans.features import feature_columns, feature_table
 from churnlens.plans.scoring import score_by_segment
 from churnlens.plans.segments import compressed_points, weighted_lloyd
 from churnlens.plans.training import cached_segmented_features, memoized
-from churnlens.sources.tables import read_table, stored_table, stored_user_profiles, write_parquet
+from churnlens.sources.tables import read_table, stored_table, stored_user_profiles, tasks_for, write_parquet
 
 _r = cat._r
 
@@ -304,8 +304,10 @@ def m24_colocated_merge(spark, sf):
     """The churn table from profiles and period profiles that are stored bucketed by user."""
     def build():
         mark = uuid.uuid4().hex
-        users = store_by_user(stored_user_profiles(spark, sf), f"users_{mark}", "login", 8)
-        return users, store_by_user(act.two_period_profile(cat._ev(spark, sf), SPEC, public_only=True), f"periods_{mark}", "actor", 8)
+        profiles = stored_user_profiles(spark, sf)
+        buckets = tasks_for(profiles, least=8)
+        users = store_by_user(profiles, f"users_{mark}", "login", buckets)
+        return users, store_by_user(act.two_period_profile(cat._ev(spark, sf), SPEC, public_only=True), f"periods_{mark}", "actor", buckets)
     users, periods = memoized(spark, ("colocated", sf), build)
     return colocated_churn_table(users, periods, SPEC)
 

@@ -74,3 +74,10 @@ def test_profiles_count_exactly_in_small_tasks(spark, rows):
         want[key, name, n_orders[key] if key is not None else 0, len(held), len({x[1] for x in held} - {None}), len({x[2] for x in held} - {None})] += 1
     cols = ("login", "bio", "followers_count", "following_count", "public_repos_count", "public_gists_count")
     assert Counter(tuple(r) for r in df.select(*cols).collect()) == want
+
+
+def test_colocated_buckets_follow_the_users(spark, rows):
+    folder, data = rows
+    merged = catalog_stored.m24_colocated_merge(spark, folder)
+    assert merged.rdd.getNumPartitions() == len(data["customer"]) // EACH  # 8 before, however many users
+    assert Counter(merged.collect()) == Counter(catalog.m24_churn_table(spark, folder).collect())
