@@ -81,3 +81,22 @@ def test_colocated_buckets_follow_the_users(spark, rows):
     merged = catalog_stored.m24_colocated_merge(spark, folder)
     assert merged.rdd.getNumPartitions() == len(data["customer"]) // EACH  # 8 before, however many users
     assert Counter(merged.collect()) == Counter(catalog.m24_churn_table(spark, folder).collect())
+
+
+def test_contributors_count_exactly_in_small_tasks(spark, rows):
+    folder, data = rows
+    df = repo_contributors(spark, folder)
+    plan = dealt(df)
+    assert all(plan[k] >= N_LINES // EACH for k in ("l_orderkey", "o_orderkey", "l_partkey", "p_partkey", "repo"))
+    brands = defaultdict(list)
+    for key, _, brand, *_ in data["part"]:
+        if key is not None:
+            brands[key].append(brand)
+    want = Counter((brand, cust) for cust, line in _lines_of_customers(data) if line[1] is not None for brand in brands[line[1]])
+    assert {(r.repo, r.login): r.repo_contributions_count for r in df.collect()} == want
+    filled = catalog.p11_p12_p15_serving_fill(spark, folder)
+    sides = re.findall(r"hashpartitioning\((?:login|actor)#\d+L, (\d+)\), REPARTITION_BY_NUM", filled._jdf.queryExecution().executedPlan().toString())
+    assert len(sides) == 2 and min(map(int, sides)) >= len(want) // EACH
+    first = {r.login: r.frequency for r in filled.collect()}
+    events = Counter(e[2] for e in data["events"] if e[1] < dt.datetime(2024, 1, 16))
+    assert first == {cust: events[cust] for _, cust in want if cust is not None} | ({None: 0} if None in first else {})
