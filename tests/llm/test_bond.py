@@ -77,3 +77,43 @@ def test_no_rows_and_no_anchors(spark, rows):
     none = frame(spark, rows[:1]).limit(0)
     assert mined(none) == []
     assert mined(frame(spark, [(1, [1.0], 1), (2, [1.0], 2)])) == []
+
+
+def test_nothing_is_broadcast(spark, rows, monkeypatch):
+    """What is broadcast passes through the driver; it grew with anchors times blocks of rows."""
+    monkeypatch.setattr(bond, "BLOCK", 64)
+    monkeypatch.setattr(bond, "ANCHORS", 16)
+    key = "spark.sql.maxBroadcastTableSize"
+    held = spark.conf.get(key)
+    spark.conf.set(key, "1")
+    try:
+        assert mined(frame(spark, rows)) == brute(rows, lambda i: i % 10 == 0)
+    finally:
+        spark.conf.set(key, held)
+
+
+@pytest.mark.parametrize("tasks, shared, blocks, scale", [(1, 100, 1, 256.0), (1, 2, 64, 2.0 ** 20), (3, 1, 2, 2.0 ** 27)])
+def test_tasks_of_many_blocks(spark, rows, monkeypatch, tasks, shared, blocks, scale):
+    """Rows of later blocks against the best of earlier ones; scores in single and double precision and in 64-bit integers."""
+    for name, value in (("BLOCK", 32), ("ANCHORS", 16), ("_STEP", 3), ("_TASKS", tasks), ("_SHARED", shared), ("_HELD_BLOCKS", blocks)):
+        monkeypatch.setattr(bond, name, value)
+    assert mined(frame(spark, rows), scale=scale) == brute(rows, lambda i: i % 10 == 0, scale=scale)
+
+
+@pytest.mark.parametrize("scale, kind", [(256.0, np.float32), (2.0 ** 20, np.float64), (2.0 ** 27, np.int64), (2.0 ** 40, object)])
+def test_scan_is_exact(scale, kind):
+    """Pairs that leave early have no place among the first; all others have exact scores."""
+    rng = np.random.default_rng(5)
+    m = rng.standard_normal((300, 16)) * np.geomspace(1, 0.01, 16)
+    x = bond._whole(m / np.linalg.norm(m, axis=1, keepdims=True), scale)
+    scan = bond.Scan(np.arange(300), np.zeros(300, dtype=np.int64), x.T)
+    q, ids = x[:20], np.arange(20)
+    assert scan.exact(q)[0] is kind
+    want = np.array([[min(max(sum(int(a) * int(b) for a, b in zip(p, r)), -2 ** 63), 2 ** 63 - 1) for r in x] for p in q], dtype=np.int64)
+    for k in (0, 5):
+        best = bond.Best([[(-2 ** 63, 2 ** 63 - 1, 0)]] * 20, 5)
+        i, j, score = scan.run(q, *best.span(ids), lambda i, j: j != i, best.thin, k)
+        assert (score == want[i, j]).all() and len(i) < 20 * 299
+        best.add(i, j, score)
+        found = sorted(best.rows())
+        assert found == sorted((n, 0, *c) for n in range(20) for c in sorted(((int(c), int(s)) for c, s in enumerate(want[n]) if c != n), key=lambda c: (-c[1], c[0]))[:5])
